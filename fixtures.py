@@ -16,6 +16,15 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread over the cores when the files give fewer splits than there are cores.
+
+    A table of one small file is one task otherwise; a large table is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(sql: str):
     return F.expr(sql).cast("string")
 
@@ -32,7 +41,7 @@ def _envelope(df: DataFrame, topic: str, partition: str, offset: str, time: str)
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = base(spark, sf_dir, "events").withColumns(
+    events = spread(base(spark, sf_dir, "events"), "event_id").withColumns(
         {
             "k": F.get_json_object("props", "$.k").cast("int"),
             "ms": F.unix_millis(F.col("ts").cast("timestamp")),
@@ -134,7 +143,9 @@ _TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order headers as database rows, plus `arrival`."""
-    orders = base(spark, sf_dir, "orders").filter("o_orderkey % 20 <> 7")
+    orders = spread(base(spark, sf_dir, "orders"), "o_orderkey").filter(
+        "o_orderkey % 20 <> 7"
+    )
     arrival = F.expr(_HEADER_TIME).cast("timestamp")
     amount = lambda name: F.lit(0.0).alias(name)
     return orders.select(
@@ -156,7 +167,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as database rows, plus `arrival` and the lines' own tie-break."""
     orders = base(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    lines = base(spark, sf_dir, "lineitem").join(
+    lines = spread(base(spark, sf_dir, "lineitem"), "l_orderkey").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
     header = F.expr(_HEADER_TIME)
