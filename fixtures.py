@@ -272,3 +272,8 @@ TABLE_LISTS = [
 def table_list(spark: SparkSession, kind: str) -> DataFrame:
     rows = ", ".join(f"('{t}')" for k, t in TABLE_LISTS if k == kind)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(table)")
+
+
+def lists(spark: SparkSession) -> DataFrame:
+    """Both table lists as the config table holds them."""
+    return spark.createDataFrame(TABLE_LISTS, S.TABLE_LIST)

@@ -6,10 +6,11 @@ checkpoint's commit and is keyed by batch or document id, so a replay repeats no
 """
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivermill import schemas as S
+from rivermill.functions.keyed import at_hand
 from rivermill.functions.parse import (
     parse_change,
     parse_log,
@@ -23,12 +24,20 @@ from rivermill.operators.changes import map_op, route_dims, route_facts
 from rivermill.operators.logs import fan_out
 from rivermill.plans.wide_tables import dau_dims, order_dims
 from rivermill.sinks.docs import write_dims, write_docs
-from rivermill.sinks.topics import append_ledger, offset_ledger, topic_stream, write_topic
+from rivermill.sinks.topics import (
+    append_ledger,
+    ledger_base,
+    offset_ledger,
+    topic_stream,
+    write_topic,
+)
 from rivermill.sources.tables import read_docs, read_provinces, read_table_list, read_users
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 DAU_KEYS = ["dt", "mid"]
 ORDER_KEYS = ["create_date", "detail_id"]
+# Days of a micro-batch that are still written out as a partition filter.
+MAX_DAYS = 1000
 
 
 def run_log_split(
@@ -36,11 +45,12 @@ def run_log_split(
     target: dict[str, str],
     checkpoint: str,
     bad_topic: str | None = None,
+    name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Raw behaviour logs -> the five detail topics, one pass, no shuffle."""
     out = fan_out(parse_log(msgs), bad_topic)
-    return topic_stream(out, target, checkpoint).trigger(**trigger).start()
+    return _started(topic_stream(out, target, checkpoint), name, trigger)
 
 
 def run_change_split(
@@ -51,6 +61,7 @@ def run_change_split(
     checkpoint: str,
     ledger_path: str | None = None,
     group: str = "change_split",
+    name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Database changes -> fact topics and the dimension store.
@@ -59,6 +70,8 @@ def run_change_split(
     restart. The parsed batch is kept for its two or three uses.
     """
 
+    base = ledger_base(msgs.sparkSession, ledger_path, group) if ledger_path else 0
+
     def split(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parse_change(batch).drop("key", "value").persist()
@@ -68,10 +81,10 @@ def run_change_split(
         write_topic(route_facts(changes, facts), target, batch_id)
         write_dims(route_dims(changes, dims), dims_path, batch_id)
         if ledger_path:
-            append_ledger(offset_ledger(parsed, group, batch_id), ledger_path)
+            append_ledger(offset_ledger(parsed, group, base + batch_id), ledger_path)
         parsed.unpersist()
 
-    return _each_batch(msgs, split, checkpoint, trigger)
+    return _each_batch(msgs, split, checkpoint, name, trigger)
 
 
 def pin_seen(spark: SparkSession, sink_path: str, pinned_path: str) -> DataFrame:
@@ -86,8 +99,26 @@ def pin_seen(spark: SparkSession, sink_path: str, pinned_path: str) -> DataFrame
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = read_docs(spark, sink_path, S.DAU_INFO, DAU_KEYS, columns=DAU_KEYS)
-        stored.write.mode("overwrite").parquet(pinned_path)
-    return spark.read.schema("dt string, mid string").parquet(pinned_path)
+        stored.write.mode("overwrite").partitionBy("dt").parquet(pinned_path)
+    return spark.read.schema("mid string, dt string").parquet(pinned_path)
+
+
+def _seen_by(batch: DataFrame, seen: DataFrame) -> DataFrame:
+    """The part of the snapshot a micro-batch can meet: its days' files, its devices.
+
+    Once the stream has moved past the snapshot's days nothing is read any more.
+    """
+    days = batch.select("dt").distinct().limit(MAX_DAYS + 1).collect()
+    if len(days) <= MAX_DAYS:
+        known = [r.dt for r in days if r.dt is not None]
+        seen = seen.filter(F.col("dt").isin(known) | F.col("dt").isNull())
+    return at_hand(seen, batch.select(*DAU_KEYS))
+
+
+def _needed_users(rows: DataFrame, dims_path: str) -> DataFrame:
+    """The user dimension as it stands, for the users of a micro-batch only."""
+    ids = rows.select(F.col("user_id").cast("string").alias("id")).distinct()
+    return read_users(rows.sparkSession, dims_path, ids=ids)
 
 
 def run_dau(
@@ -101,6 +132,7 @@ def run_dau(
     bounded: bool = True,
     lateness: str = "1 day",
     salt: int = 8,
+    name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Page log -> first visit per device and day -> DAU_INFO documents.
@@ -110,24 +142,24 @@ def run_dau(
     """
     pages = dau.observe_pages(parse_page_log(msgs))
     visits = dau.daily_first_visit(dau.first_pages(pages), bounded, lateness, salt)
-    if seen_path:
-        visits = dau.rebuild_seen(
-            visits, pin_seen(msgs.sparkSession, sink_path, seen_path)
-        )
+    seen = pin_seen(msgs.sparkSession, sink_path, seen_path) if seen_path else None
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        # Kept, because running the batch again would run its stateful steps again.
+        rows = batch.persist()
+        new = rows if seen is None else dau.rebuild_seen(rows, _seen_by(rows, seen))
         wide = dau_dims(
-            batch,
-            read_users(spark, dims_path),
-            read_provinces(spark, dims_path),
+            new,
+            _needed_users(rows, dims_path),
+            read_provinces(rows.sparkSession, dims_path),
             as_of,
             on_missing,
             salt,
         )
-        write_docs(wide, sink_path, DAU_KEYS, ["ts"], batch_id, day="dt")
+        write_docs(wide, sink_path, DAU_KEYS, ["ts"], batch_id, day="dt", unique=True)
+        rows.unpersist()
 
-    return _each_batch(visits, store, checkpoint, trigger)
+    return _each_batch(visits, store, checkpoint, name, trigger)
 
 
 def run_order_wide(
@@ -140,6 +172,7 @@ def run_order_wide(
     as_of: Column | None = None,
     on_missing: str = "null",
     salt: int = 8,
+    name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Order headers and lines, in whichever order they arrive -> ORDER_WIDE documents.
@@ -152,11 +185,12 @@ def run_order_wide(
     joined = orders.order_wide_join(headers, lines, retention, salt)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        # Kept, because running the batch again would run its stateful steps again.
+        rows = orders.merge_order_wide(batch).persist()
         wide = order_dims(
-            orders.merge_order_wide(batch),
-            read_users(spark, dims_path),
-            read_provinces(spark, dims_path),
+            rows,
+            _needed_users(rows, dims_path),
+            read_provinces(rows.sparkSession, dims_path),
             as_of,
             on_missing,
             salt,
@@ -164,10 +198,17 @@ def run_order_wide(
         write_docs(
             wide, sink_path, ORDER_KEYS, ["create_time"], batch_id, day="create_date"
         )
+        rows.unpersist()
 
-    return _each_batch(joined, store, checkpoint, trigger)
+    return _each_batch(joined, store, checkpoint, name, trigger)
 
 
-def _each_batch(df, store, checkpoint, trigger):
+def _each_batch(df, store, checkpoint, name, trigger):
     writer = df.writeStream.option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(store).trigger(**trigger).start()
+    return _started(writer.foreachBatch(store), name, trigger)
+
+
+def _started(writer, name, trigger):
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(**trigger).start()
