@@ -11,12 +11,15 @@ from rivermill.functions.scalars import age_years, create_parts, time_parts
 from rivermill.operators import changes, dau, dims, logs, orders
 from rivermill.operators.records import copy_matching, to_message
 from rivermill.plans.wide_tables import dau_wide, order_wide
-from rivermill.sinks.docs import split_by_day, upsert_docs, write_docs
+from rivermill.sinks.docs import split_by_day, upsert_docs, write_dims, write_docs
 from rivermill.sinks.topics import offset_ledger
-from rivermill.sources.tables import read_sink_field
-from rivermill.sources.topics import batch_offsets, starting_offsets
+from rivermill.sources.tables import read_dims, read_docs, read_sink_field
+from rivermill.sources.topics import batch_offsets, read_topic_files, starting_offsets
+from rivermill.streaming import jobs
 from rivermill.streaming.jobs import DAU_KEYS
 
+ALL_INPUT = {"availableNow": True}
+
 
 def as_of():
     return F.lit(X.AS_OF).cast("date")
@@ -95,8 +98,12 @@ def q_route_error(spark, d):
 
 
 def q_fan_out(spark, d):
+    return _message_fields(logs.fan_out(log(spark, d)))
+
+
+def _message_fields(msgs):
     field = lambda path: F.get_json_object("value", path)
-    return logs.fan_out(log(spark, d)).select(
+    return msgs.select(
         "topic",
         F.coalesce(field("$.mid"), field("$.common.mid")).alias("mid"),
         field("$.page_id").alias("page_id"),
@@ -149,8 +156,12 @@ def q_map_op(spark, d):
 
 
 def q_route_facts(spark, d):
+    return _fact_fields(changes.route_facts(ops(spark, d), X.table_list(spark, "fact")))
+
+
+def _fact_fields(msgs):
     field = lambda path: F.get_json_object("value", path)
-    return changes.route_facts(ops(spark, d), X.table_list(spark, "fact")).select(
+    return msgs.select(
         "topic",
         field("$.id").cast("bigint").alias("id"),
         F.coalesce(field("$.order_status"), field("$.sku_name"), field("$.name")).alias("field"),
@@ -343,6 +354,88 @@ def q_starting_offsets(spark, d):
     return starting_offsets(ledger, S.LOG_TOPIC, "log_split")
 
 
+# -- streams: message files in, all input read, results read back
+
+
+def _sent(spark, msgs, name):
+    """Message files of a frame, as a stream."""
+    path = scratch(spark, name)
+    msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE]).write.parquet(path)
+    return read_topic_files(spark, path)
+
+
+def _page_messages(spark, d):
+    ts = F.get_json_object("value", "$.ts").cast("bigint")
+    return X.page_log_messages(spark, d).select(
+        F.lit(None).cast("string").alias("key"),
+        "value",
+        F.lit(S.PAGE_TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        ts.alias("offset"),
+        F.timestamp_millis(ts).alias("timestamp"),
+    )
+
+
+def q_stream_log_split(spark, d):
+    out, ck = scratch(spark, "topics"), scratch(spark, "ck")
+    msgs = _sent(spark, X.raw_log(spark, d), "raw_log")
+    jobs.run_log_split(msgs, {"path": out}, ck, trigger=ALL_INPUT).awaitTermination()
+    schema = "key string, value string, topic string"
+    return _message_fields(spark.read.schema(schema).parquet(out))
+
+
+def _change_split(spark, d):
+    lists, out, stored = (scratch(spark, n) for n in ("lists", "facts", "dims"))
+    X.lists(spark).write.parquet(lists)
+    msgs = _sent(spark, X.change_log(spark, d), "changes")
+    jobs.run_change_split(
+        msgs, lists, {"path": out}, stored, scratch(spark, "ck"), trigger=ALL_INPUT
+    ).awaitTermination()
+    return out, stored
+
+
+def q_stream_change_facts(spark, d):
+    facts, _ = _change_split(spark, d)
+    schema = "key string, value string, topic string, batch_id long"
+    return _fact_fields(spark.read.schema(schema).parquet(facts))
+
+
+def q_stream_change_dims(spark, d):
+    _, stored = _change_split(spark, d)
+    return read_dims(spark, stored).select(
+        "dim_key", "op", "offset", _change_field().alias("field")
+    )
+
+
+def q_stream_dau(spark, d):
+    out, stored = scratch(spark, "dau"), scratch(spark, "dims")
+    write_dims(_dim_rows(spark, d), stored, 0)
+    jobs.run_dau(
+        _sent(spark, _page_messages(spark, d), "pages"),
+        stored,
+        out,
+        scratch(spark, "ck"),
+        as_of=as_of(),
+        trigger=ALL_INPUT,
+    ).awaitTermination()
+    # Columns that do not depend on which page of the day arrived first.
+    return read_docs(spark, out, S.DAU_INFO, DAU_KEYS).select(
+        "dt", "mid", "user_id", "user_gender", "user_age", "province_name"
+    )
+
+
+def q_stream_order_join(spark, d):
+    out = scratch(spark, "joined")
+    headers = parse.parse_order_info(_sent(spark, X.order_info_messages(spark, d), "info"))
+    lines = parse.parse_order_detail(_sent(spark, X.order_detail_messages(spark, d), "lines"))
+    wide = orders.merge_order_wide(
+        orders.order_wide_join(create_parts(headers), lines, salt=2)
+    )
+    writer = wide.writeStream.option("checkpointLocation", scratch(spark, "ck"))
+    writer.format("parquet").option("path", out).trigger(**ALL_INPUT).start().awaitTermination()
+    return spark.read.schema(S.ORDER_WIDE).parquet(out)
+
+
 def queries() -> dict:
     return {
         "parse_log": q_parse_log,
@@ -389,5 +482,10 @@ def queries() -> dict:
         "upsert_docs": q_upsert_docs,
         "starting_offsets": q_starting_offsets,
         "batch_offsets": lambda s, d: batch_offsets(X.raw_log(s, d)),
+        "stream_log_split": q_stream_log_split,
+        "stream_change_facts": q_stream_change_facts,
+        "stream_change_dims": q_stream_change_dims,
+        "stream_dau": q_stream_dau,
+        "stream_order_join": q_stream_order_join,
         "offset_ledger": lambda s, d: offset_ledger(X.raw_log(s, d), "log_split", 7),
     }

@@ -197,6 +197,10 @@ FAN_OUT = f"""WITH {_EV}
   UNION ALL
   SELECT 'DWD_START_LOG_TOPIC', mid, NULL, open_ad_id, ts FROM ({_STARTS})"""
 
+ROUTE_FACTS = f"""WITH {_CHANGES}
+  SELECT 'DWD_' || upper(tbl) || '_' || {_OP} AS topic, id, field
+  FROM changes WHERE id % 10 <> 3 AND tbl IN ({_listed("fact")})"""
+
 _JSON_TEXT = " || ".join(
     [
         "'{\"mid\":\"' || mid || '\"'",
@@ -260,13 +264,27 @@ def oracle_sql() -> dict[str, str]:
         "map_op": f"""WITH {_CHANGES}
           SELECT off AS "offset", tbl AS "table", {_TYPE} AS type, {_OP} AS op
           FROM changes WHERE id % 10 <> 3""",
-        "route_facts": f"""WITH {_CHANGES}
-          SELECT 'DWD_' || upper(tbl) || '_' || {_OP} AS topic, id, field
-          FROM changes WHERE id % 10 <> 3 AND tbl IN ({_listed("fact")})""",
+        "route_facts": ROUTE_FACTS,
         "route_dims": f"""WITH {_CHANGES}
           SELECT {_DIM_KEY} AS dim_key, CAST(id AS VARCHAR) AS id, {_OP} AS op,
                  off AS "offset", field
           FROM changes WHERE id % 10 <> 3 AND tbl IN ({_listed("dim")})""",
+        "stream_log_split": FAN_OUT,
+        "stream_change_facts": ROUTE_FACTS,
+        "stream_change_dims": _latest_dims(""),
+        "stream_dau": f"""WITH {_FIRST}, {_DIM_CHANGES}, latest AS (
+            SELECT id, arg_max(field, off) AS gender FROM dim_changes
+            WHERE tbl = 'user_info' AND id % 10 <> 3 GROUP BY id),
+          ages AS (SELECT c_custkey AS id, {_AGE} AS age FROM customer)
+          SELECT dt, mid, user_id, l.gender AS user_gender,
+                 CASE WHEN l.id IS NOT NULL THEN CAST(a.age AS VARCHAR) END AS user_age,
+                 CASE WHEN n_nationkey % 10 <> 3 THEN n_name END AS province_name
+          FROM visits v LEFT JOIN latest l ON v.user_id = CAST(l.id AS VARCHAR)
+          LEFT JOIN ages a ON a.id = l.id
+          LEFT JOIN nation ON v.province_id = CAST(n_nationkey AS VARCHAR)""",
+        "stream_order_join": f"""WITH {_ORDERS}
+          SELECT {_wide()}, {_NO_DIMS}
+          FROM detail d JOIN info i ON d.order_id = i.id AND {_WITHIN}""",
         "upsert_dim": _latest_dims(""),
         "upsert_dim_remove": _latest_dims("AND id % 10 <> 0"),
         "with_user_dim": f"""WITH {_PAGES}, {_USERS}

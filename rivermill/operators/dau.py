@@ -67,6 +67,11 @@ def observe_pages(page_log: DataFrame, name: str = "pages") -> DataFrame:
     )
 
 
+def observe_visits(visits: DataFrame, name: str = "visits") -> DataFrame:
+    """Same rows, with their count after daily_first_visit as an observed metric."""
+    return visits.observe(name, F.count("*").alias("first_visits"))
+
+
 def stage_counts(page_log: DataFrame) -> DataFrame:
     """One row: pages, first_pages and first_visits, from one pass."""
     per_device = (

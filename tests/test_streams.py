@@ -157,6 +157,8 @@ def test_dau_stream_equals_batch(spark, sf, tmp_path, dims_path, salt, bounded):
         as_of(),
     )
     assert rows(stored_dau(spark, tmp_path), *STEADY) == rows(batch, *STEADY)
+    kept = [p["observedMetrics"]["visits"].first_visits for p in query.recentProgress]
+    assert sum(kept) == batch.count()
     seen = [p["observedMetrics"]["pages"] for p in query.recentProgress]
     assert sum(r.pages for r in seen) == msgs.count()
     assert sum(r.first_pages for r in seen) == dau.first_pages(
