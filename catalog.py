@@ -357,11 +357,23 @@ def q_starting_offsets(spark, d):
 # -- streams: message files in, all input read, results read back
 
 
-def _sent(spark, msgs, name):
-    """Message files of a frame, as a stream."""
-    path = scratch(spark, name)
-    msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE]).write.parquet(path)
-    return read_topic_files(spark, path)
+def _sent(spark, *frames):
+    """Each frame as a stream of message files, all in one session of their own.
+
+    Stateful steps get a partition per input split, and at least one per core: the
+    number is fixed for a stream's life, and the caller's setting is left alone.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    streams, splits = [], 0
+    for msgs in frames:
+        path = scratch(spark, "messages")
+        msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE]).write.parquet(path)
+        splits += spark.read.parquet(path).rdd.getNumPartitions()
+        streams.append(read_topic_files(own, path))
+    cores = spark.sparkContext.defaultParallelism
+    own.conf.set("spark.sql.shuffle.partitions", max(cores, splits))
+    return streams
 
 
 def _page_messages(spark, d):
@@ -378,7 +390,7 @@ def _page_messages(spark, d):
 
 def q_stream_log_split(spark, d):
     out, ck = scratch(spark, "topics"), scratch(spark, "ck")
-    msgs = _sent(spark, X.raw_log(spark, d), "raw_log")
+    (msgs,) = _sent(spark, X.raw_log(spark, d))
     jobs.run_log_split(msgs, {"path": out}, ck, trigger=ALL_INPUT).awaitTermination()
     schema = "key string, value string, topic string"
     return _message_fields(spark.read.schema(schema).parquet(out))
@@ -387,7 +399,7 @@ def q_stream_log_split(spark, d):
 def _change_split(spark, d):
     lists, out, stored = (scratch(spark, n) for n in ("lists", "facts", "dims"))
     X.lists(spark).write.parquet(lists)
-    msgs = _sent(spark, X.change_log(spark, d), "changes")
+    (msgs,) = _sent(spark, X.change_log(spark, d))
     jobs.run_change_split(
         msgs, lists, {"path": out}, stored, scratch(spark, "ck"), trigger=ALL_INPUT
     ).awaitTermination()
@@ -410,13 +422,9 @@ def q_stream_change_dims(spark, d):
 def q_stream_dau(spark, d):
     out, stored = scratch(spark, "dau"), scratch(spark, "dims")
     write_dims(_dim_rows(spark, d), stored, 0)
+    (msgs,) = _sent(spark, _page_messages(spark, d))
     jobs.run_dau(
-        _sent(spark, _page_messages(spark, d), "pages"),
-        stored,
-        out,
-        scratch(spark, "ck"),
-        as_of=as_of(),
-        trigger=ALL_INPUT,
+        msgs, stored, out, scratch(spark, "ck"), as_of=as_of(), trigger=ALL_INPUT
     ).awaitTermination()
     # Columns that do not depend on which page of the day arrived first.
     return read_docs(spark, out, S.DAU_INFO, DAU_KEYS).select(
@@ -426,11 +434,12 @@ def q_stream_dau(spark, d):
 
 def q_stream_order_join(spark, d):
     out = scratch(spark, "joined")
-    headers = parse.parse_order_info(_sent(spark, X.order_info_messages(spark, d), "info"))
-    lines = parse.parse_order_detail(_sent(spark, X.order_detail_messages(spark, d), "lines"))
-    wide = orders.merge_order_wide(
-        orders.order_wide_join(create_parts(headers), lines, salt=2)
+    headers, lines = _sent(
+        spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d)
     )
+    headers = create_parts(parse.parse_order_info(headers))
+    lines = parse.parse_order_detail(lines)
+    wide = orders.merge_order_wide(orders.order_wide_join(headers, lines, salt=2))
     writer = wide.writeStream.option("checkpointLocation", scratch(spark, "ck"))
     writer.format("parquet").option("path", out).trigger(**ALL_INPUT).start().awaitTermination()
     return spark.read.schema(S.ORDER_WIDE).parquet(out)

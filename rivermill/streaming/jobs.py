@@ -31,7 +31,13 @@ from rivermill.sinks.topics import (
     topic_stream,
     write_topic,
 )
-from rivermill.sources.tables import read_docs, read_provinces, read_table_list, read_users
+from rivermill.sources.tables import (
+    first_batch,
+    read_docs,
+    read_provinces,
+    read_table_list,
+    read_users,
+)
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 DAU_KEYS = ["dt", "mid"]
@@ -72,6 +78,8 @@ def run_change_split(
     restart. The parsed batch is kept for its two or three uses.
     """
 
+    stores = [dims_path, *[target[p] for p in ("path",) if p in target]]
+    first = first_batch(msgs.sparkSession, checkpoint, *stores)
     base = ledger_base(msgs.sparkSession, ledger_path, group) if ledger_path else 0
 
     def split(batch: DataFrame, batch_id: int) -> None:
@@ -80,8 +88,8 @@ def run_change_split(
         changes = map_op(parsed)
         facts = read_table_list(spark, lists_path, "fact")
         dims = read_table_list(spark, lists_path, "dim")
-        write_topic(route_facts(changes, facts), target, batch_id)
-        write_dims(route_dims(changes, dims), dims_path, batch_id)
+        write_topic(route_facts(changes, facts), target, first + batch_id)
+        write_dims(route_dims(changes, dims), dims_path, first + batch_id)
         if ledger_path:
             append_ledger(offset_ledger(parsed, group, base + batch_id), ledger_path)
         parsed.unpersist()
@@ -147,6 +155,7 @@ def run_dau(
         dau.daily_first_visit(dau.first_pages(pages), bounded, lateness, salt)
     )
     seen = pin_seen(msgs.sparkSession, sink_path, seen_path) if seen_path else None
+    first = first_batch(msgs.sparkSession, checkpoint, sink_path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # Kept, because running the batch again would run its stateful steps again.
@@ -160,7 +169,9 @@ def run_dau(
             on_missing,
             salt,
         )
-        write_docs(wide, sink_path, DAU_KEYS, ["ts"], batch_id, day="dt", unique=True)
+        write_docs(
+            wide, sink_path, DAU_KEYS, ["ts"], first + batch_id, day="dt", unique=True
+        )
         rows.unpersist()
 
     return _each_batch(_unplaced(visits), store, checkpoint, name, trigger)
@@ -187,6 +198,7 @@ def run_order_wide(
     headers = create_parts(parse_order_info(info_msgs))
     lines = parse_order_detail(detail_msgs)
     joined = orders.order_wide_join(headers, lines, retention, salt)
+    first = first_batch(info_msgs.sparkSession, checkpoint, sink_path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         # Kept, because running the batch again would run its stateful steps again.
@@ -200,7 +212,12 @@ def run_order_wide(
             salt,
         )
         write_docs(
-            wide, sink_path, ORDER_KEYS, ["create_time"], batch_id, day="create_date"
+            wide,
+            sink_path,
+            ORDER_KEYS,
+            ["create_time"],
+            first + batch_id,
+            day="create_date",
         )
         rows.unpersist()
 

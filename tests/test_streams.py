@@ -190,6 +190,51 @@ def test_fresh_checkpoint_emits_nothing_twice(spark, sf, tmp_path, dims_path):
     assert spark.read.parquet(f"{tmp_path}/seen").count() == len(before)
 
 
+def test_fresh_checkpoint_replaces_no_stored_batch(spark, sf, tmp_path, dims_path):
+    msgs = page_messages(spark, sf)
+    days = (F.col("offset") >= 1_704_500_000_000) & (F.col("offset") < 1_705_000_000_000)
+    odd = F.get_json_object("value", "$.user_id").cast("int") % 2 == 1
+    for half, name in ((odd, "a"), (~odd, "b")):
+        append_file(msgs.filter(days & half), f"{tmp_path}/{name}/pages")
+        query = lambda: finish(
+            jobs.run_dau(
+                read_topic_files(spark, f"{tmp_path}/{name}/pages"),
+                dims_path,
+                f"{tmp_path}/dau",
+                f"{tmp_path}/{name}/ck",
+                salt=1,
+                trigger=NOW,
+            )
+        )
+        query()
+    query()
+    both = parse.parse_page_log(msgs.filter(days))
+    batch = dau.daily_first_visit(dau.first_pages(both))
+    assert batch.count() > 0
+    assert rows(stored_dau(spark, tmp_path), "dt", "mid") == rows(batch, "dt", "mid")
+
+
+def test_fresh_checkpoint_keeps_stored_dimensions(spark, sf, tmp_path):
+    changes_ = X.dim_changes(spark, sf)
+    X.lists(spark).write.parquet(f"{tmp_path}/lists")
+    first = F.col("offset") < X.SECOND_VERSION
+    for part, name in ((first, "a"), (~first, "b")):
+        append_file(changes_.filter(part), f"{tmp_path}/{name}")
+        finish(
+            jobs.run_change_split(
+                read_topic_files(spark, f"{tmp_path}/{name}"),
+                f"{tmp_path}/lists",
+                {"path": f"{tmp_path}/facts"},
+                f"{tmp_path}/dims",
+                f"{tmp_path}/ck_{name}",
+                trigger=NOW,
+            )
+        )
+    wanted = changes.upsert_dim(None, C._dim_rows(spark, sf))
+    got = read_dims(spark, f"{tmp_path}/dims")
+    assert rows(got, "dim_key", "op", "data") == rows(wanted, "dim_key", "op", "data")
+
+
 def order_job(spark, tmp, dims_path, **options):
     return finish(
         jobs.run_order_wide(
