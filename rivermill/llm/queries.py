@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, warc
+from . import exact_dedup, mixing, pii, token_counts, token_files, toxicity, warc
 from .shared import shared_path
 
 
@@ -14,6 +15,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "tokens")
+    token_files.write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, path)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -22,7 +29,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op5_exact_dedup, op8_mixing)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_warc, op3_token_files, op5_exact_dedup, op7_toxicity, op8_mixing, op9_pii, op10_token_counts)}
 
 #: Runs of white space, and words, in RE2.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"

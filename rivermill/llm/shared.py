@@ -111,8 +111,11 @@ def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     key = int(base)
     if key not in _POWERS or len(_POWERS[key][0]) < n:
         size = 1 << max(10, int(n - 1).bit_length())
-        with np.errstate(over="ignore"):
-            made = [np.cumprod(np.concatenate([[1], np.full(size - 1, x, np.uint64)]).astype(np.uint64), dtype=np.uint64) for x in (base, np.uint64(pow(key, -1, 1 << 64)))]
+        made = []
+        for x in (key, pow(key, -1, 1 << 64)):
+            factors = np.full(size, x, np.uint64)
+            factors[0] = 1
+            made.append(np.cumprod(factors, dtype=np.uint64))
         if size > 1 << 22:
             return made[0], made[1]
         _POWERS[key] = (made[0], made[1])
@@ -181,3 +184,19 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
 def lists(first: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """Values as one list for each text; first has their bounds."""
     return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind))
+
+
+def clean_words(texts: Texts) -> Texts:
+    """The words in lower case (ASCII) and without ASCII punctuation at their ends; words of
+    nothing else are left out."""
+    data = texts.data.copy()
+    upper = (data >= 65) & (data <= 90)
+    data[upper] += 32
+    solid = (data >= 128) | ((data >= 48) & (data <= 57)) | ((data >= 97) & (data <= 122))
+    places = np.arange(len(data))
+    last = np.maximum.accumulate(np.where(solid, places, -1)) if len(data) else places
+    nxt = np.minimum.accumulate(np.where(solid, places, len(data))[::-1])[::-1] if len(data) else places
+    start, end = nxt[texts.start], last[texts.end - 1] + 1
+    kept = start < end
+    whose = np.repeat(np.arange(len(texts)), np.diff(texts.first))[kept]
+    return Texts(data, texts.offsets, start[kept], end[kept], np.searchsorted(whose, np.arange(len(texts) + 1)))
