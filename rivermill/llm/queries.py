@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pii, token_counts, token_files, toxicity, warc
+from . import decontamination, exact_dedup, jaccard_join, mixing, pii, token_counts, token_files, toxicity, warc
 from .shared import shared_path
 
 
@@ -21,6 +21,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -29,6 +33,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -41,7 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_token_files, op5_exact_dedup, op7_toxicity, op8_mixing, op9_pii, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts)}
 
 #: Runs of white space, and words, in RE2.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"

@@ -87,6 +87,16 @@ class Texts:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    def text(self, i: int) -> str:
+        return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes().decode("utf-8")
+
+    def without(self, left_out: np.ndarray) -> Texts:
+        """The same texts, those that are left out being without words."""
+        sizes = np.diff(self.first)
+        kept = ~np.repeat(left_out, sizes)
+        first = np.concatenate([[0], np.cumsum(np.where(left_out, 0, sizes))])
+        return Texts(self.data, self.offsets, self.start[kept], self.end[kept], first)
+
     def word_hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
         n = len(self.data)

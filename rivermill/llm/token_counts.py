@@ -5,15 +5,19 @@ from __future__ import annotations
 import os
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters above which a text is encoded in chunks, and the first overlap of two chunks.
-CHUNK, OVERLAP = 1 << 14, 1 << 7
-#: Pieces that a task remembers with their tokens; the longest one that it remembers.
-REMEMBERED, LONGEST = 300_000, 48
+from .shared import Texts, slices
+
+#: Bytes above which a text is encoded in chunks of so many characters, and their first overlap.
+CHUNK, OVERLAP = 1 << 15, 1 << 7
+#: Pieces that a task remembers with their tokens.
+REMEMBERED = 400_000
 SPACES = " \t\n\r\x0b\x0c"
 
 
@@ -24,7 +28,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, chunk: int
     path on all executors). A null text counts as empty, with 0 tokens. Rows pass one
     by one: repeated rows give repeated rows, ids may be null, other columns are ignored.
 
-    A text of more than `chunk` characters is encoded in overlapping chunks, so memory
+    A text of more than `chunk` bytes is encoded in overlapping chunks, so memory
     follows the chunk and not the text. Each chunk yields the offsets of its tokens; two
     chunks are joined where both begin a token just after the same white space, where no
     token can reach across. If an overlap holds no such place it is doubled. Shorter
@@ -33,19 +37,20 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, chunk: int
     Returns doc_id, n_bytes, n_tokens, over_limit.
     """
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
-    text = F.coalesce(F.col(text_col), F.lit(""))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = load(tokenizer)
         pieces = Pieces(tokens)
-        for rows in batches:
-            texts = rows.pop("text").tolist()
-            counts = pieces.counts([t if len(t) <= chunk else "" for t in texts])
-            rows["n_tokens"] = [n if len(t) <= chunk else spliced(tokens, t, chunk, overlap) for t, n in zip(texts, counts, strict=True)]
-            rows["over_limit"] = rows["n_tokens"] > limit
-            yield rows
+        for batch in batches:
+            for lo, hi, texts in slices(batch.column("text")):
+                sizes = np.diff(texts.offsets)
+                counts = pieces.counts(texts.without(sizes > chunk))
+                for k in np.flatnonzero(sizes > chunk).tolist():
+                    counts[k] = spliced(tokens, texts.text(k), chunk, overlap)
+                arrays = [batch.column("doc_id")[lo:hi], pa.array(sizes), pa.array(counts), pa.array(counts > limit)]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text")).mapInPandas(count, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(count, schema)
 
 
 def load(path: str):
@@ -56,23 +61,50 @@ def load(path: str):
 
 
 class Pieces:
-    """Token counts of texts, as sums over the pieces between white space."""
+    """Tokens of the pieces of texts, by the hash of a piece.
+
+    The first REMEMBERED different pieces of a task are kept: frequent ones come early.
+    """
 
     def __init__(self, tokens) -> None:
-        self.tokens, self.known = tokens, {}
-
-    def counts(self, texts: list[str]) -> list[int]:
-        split = [t.encode("utf-8").split() for t in texts]
-        new = list(set().union(*split).difference(self.known)) if split else []
-        own = dict(zip(new, (len(e) for e in self.tokens.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)), strict=True))
-        if len(self.known) > REMEMBERED:
-            self.known = {w: self.known[w] for w in set().union(*split).intersection(self.known)}
-        self.known |= own
-        sums = [sum(map(self.known.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > LONGEST:
-                del self.known[w]
-        return sums
+        self.tokens = tokens
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Of each piece: its place among first; and where the tokens of each piece end up."""
+        keys, at, piece = np.unique(texts.word_hashes(), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        new = [x.decode("utf-8") for x in texts.spans(at[~known], at[~known] + 1)]
+        ids = [e.ids for e in self.tokens.encode_batch_fast(new, add_special_tokens=False)]
+        slots = np.empty(len(keys), np.int64)
+        slots[known] = self.slots[place[known]]
+        slots[~known] = len(self.first) - 1 + np.arange(len(new))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
+        if len(self.keys) + len(new) <= REMEMBERED:
+            where = np.searchsorted(self.keys, keys[~known])
+            self.keys, self.slots = np.insert(self.keys, where, keys[~known]), np.insert(self.slots, where, slots[~known])
+        slot = slots[piece]
+        return slot, np.concatenate([[0], np.cumsum(self.first[slot + 1] - self.first[slot])])
+
+    def forget(self) -> None:
+        """Drop the tokens of pieces that are not kept."""
+        self.first = self.first[: len(self.keys) + 1]
+        self.flat = self.flat[: self.first[-1]]
+
+    def counts(self, texts: Texts) -> np.ndarray:
+        _, upto = self.find(texts)
+        self.forget()
+        return np.diff(upto[texts.first])
+
+    def ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end to end, and the bounds of each text's."""
+        slot, upto = self.find(texts)
+        ids = self.flat[np.repeat(self.first[slot] - upto[:-1], np.diff(upto)) + np.arange(upto[-1])]
+        self.forget()
+        return ids, upto[texts.first]
 
 
 def token_starts(tokens, text: str, lo: int, hi: int) -> list[int]:

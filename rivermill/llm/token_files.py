@@ -9,17 +9,17 @@ level is one look-up and a few bit counts, and any id can be read without its ne
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import materialise
-from .token_counts import LONGEST, REMEMBERED, load
+from .shared import Texts, materialise, slices
+from .token_counts import Pieces, load
 
 MAGIC = b"RMDAC1\x00\x00"
 HEAD = np.dtype([("magic", "S8"), ("bytes", "<u8"), ("docs", "<u8"), ("ids", "<u8"), ("levels", "<u8")])
@@ -27,8 +27,9 @@ HEAD = np.dtype([("magic", "S8"), ("bytes", "<u8"), ("docs", "<u8"), ("ids", "<u
 BLOCK_IDS, RANK_BITS = 1 << 21, 512
 #: Text bytes that go to one file, about.
 FILE_BYTES = 32 << 20
-#: A space before a byte that begins no white space: the tokens of byte-level BPE never reach across.
-SPLIT = re.compile(rb" (?=[!-~\xc3-\xdf\xe4-\xf4])")
+#: Bytes that begin a character other than white space, whatever follows them.
+BEGINS = np.zeros(256, bool)
+BEGINS[33:127] = BEGINS[0xC3:0xE0] = BEGINS[0xE4:0xF5] = True
 
 
 # -- the code ------------------------------------------------------------------------
@@ -74,6 +75,21 @@ class Codes:
             at = rank(bits, ranks, at)
         return ids
 
+    def span(self, lo: int, hi: int) -> np.ndarray:
+        """The ids from lo to hi, whose places in each level lie together."""
+        ids, whose = np.zeros(hi - lo, np.uint32), slice(None)
+        for level, (low, bits, ranks) in enumerate(self.levels):
+            ids[whose] |= low[lo:hi].astype(np.uint32) << np.uint32(8 * level)
+            if level + 1 == len(self.levels) or lo == hi:
+                break
+            on = np.flatnonzero(np.unpackbits(bits[lo >> 3 : -(-hi // 8)], bitorder="little")[lo & 7 : (lo & 7) + hi - lo])
+            if not len(on):
+                break
+            whose = on if level == 0 else whose[on]
+            lo = int(rank(bits, ranks, np.array([lo]))[0])
+            hi = lo + len(on)
+        return ids
+
 
 def rank(bits: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
     """How many bits are set before each place."""
@@ -114,31 +130,23 @@ def blocks(content: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
 # -- writing and reading -------------------------------------------------------------
 
 
-class Encoder:
-    """Ids of texts as bytes of 32-bit numbers; pieces between spaces are remembered."""
-
-    def __init__(self, path: str) -> None:
-        self.tokens, self.known = load(path), {}
-        self.special = [t.content.encode() for t in self.tokens.get_added_tokens_decoder().values()]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        raw = [t.encode("utf-8") for t in texts]
-        split = [[b] if any(s in b for s in self.special) else self.pieces(b) for b in raw]
-        new = list(set().union(*split).difference(self.known)) if split else []
-        made = self.tokens.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        if len(self.known) > REMEMBERED:
-            self.known = {w: self.known[w] for w in set().union(*split).intersection(self.known)}
-        self.known |= {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, made, strict=True)}
-        found = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > LONGEST:
-                del self.known[w]
-        return found
-
-    @staticmethod
-    def pieces(text: bytes) -> list[bytes]:
-        first, *rest = SPLIT.split(text)
-        return [first, *[b" " + w for w in rest]]
+def pieces(texts: Texts, special: list[bytes]) -> Texts:
+    """The texts cut before each space that begins a word. No token of byte-level BPE reaches
+    across such a place; texts that hold a special token's string are left whole."""
+    data, size = texts.data, len(texts.data)
+    cut = np.zeros(size + 1, bool)
+    cut[: size - 1] = (data[:-1] == 32) & BEGINS[data[1:]] if size else False
+    cut[np.maximum(texts.offsets[1:] - 1, 0)] = False
+    whole = data.tobytes()
+    for mark in special:
+        at = whole.find(mark)
+        while at >= 0:
+            k = int(np.searchsorted(texts.offsets, at, "right"))
+            cut[texts.offsets[k - 1] : texts.offsets[k]] = False
+            at = whole.find(mark, at + 1)
+    cut[texts.offsets] = True
+    start = np.flatnonzero(cut[:size])
+    return Texts(data, texts.offsets, start, np.append(start[1:], size)[: len(start)], np.searchsorted(start, texts.offsets))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -150,35 +158,34 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     of their ids, so files follow each other in order and no task holds more than its
     range; a task holds one block at a time.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if files is None:
         files = max(1, (own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES + 1)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, held, size = Encoder(tokenizer), [], 0
-        end = np.array([end_id], "<u4").tobytes()
-        for rows in batches:
-            for lo in range(0, len(rows), 256):
-                part = rows.iloc[lo : lo + 256]
-                for doc_id, ids in zip(part["doc_id"].tolist(), encoder.encode(part["text"].tolist()), strict=True):
-                    held.append((doc_id, ids + end))
-                    size += len(ids) // 4 + 1
-                    if size >= BLOCK_IDS:
-                        yield packed(held)
-                        held, size = [], 0
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = load(tokenizer)
+        special = [t.content.encode() for t in tokens.get_added_tokens_decoder().values()]
+        known, held, size = Pieces(tokens), [], 0
+        for batch in batches:
+            for lo, hi, texts in slices(batch.column("text")):
+                ids, first = known.ids(pieces(texts, special))
+                held.append((batch.column("doc_id")[lo:hi], np.diff(first) + 1, np.insert(ids, first[1:], end_id)))
+                size += len(held[-1][-1])
+                if size >= BLOCK_IDS:
+                    yield packed(held)
+                    held, size = [], 0
         if held:
             yield packed(held)
 
-    ordered = own.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id").select(F.col("doc_id").cast("string"), "text")
-    ordered.mapInPandas(encode, "block binary").select(F.col("block").cast("string").alias("value")).write.text(path)
+    ordered = own.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    ordered.mapInArrow(encode, "block binary").select(F.col("block").cast("string").alias("value")).write.text(path)
 
 
-def packed(held: list[tuple[str | None, bytes]]) -> pd.DataFrame:
-    known = np.array([i is not None for i, _ in held])
-    doc_ids = np.array([int(i) if i is not None else 0 for i, _ in held], np.int64)
-    ids = np.frombuffer(b"".join(b for _, b in held), "<u4")
-    return pd.DataFrame({"block": [block(doc_ids, known, np.array([len(b) // 4 for _, b in held]), ids)]})
+def packed(held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    doc_ids = pa.concat_arrays([x for x, _, _ in held])
+    known = doc_ids.is_valid().to_numpy(zero_copy_only=False)
+    made = block(doc_ids.fill_null(0).to_numpy(), known, np.concatenate([x for _, x, _ in held]), np.concatenate([x for _, _, x in held]))
+    return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["block"])
 
 
 def read_token_files(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
@@ -190,7 +197,7 @@ def read_token_files(spark: SparkSession, path: str, ids: bool = False) -> DataF
         for files in batches:
             for name, content in zip(files["path"], files["content"], strict=True):
                 for nth, (doc_ids, known, starts, codes) in enumerate(blocks(content)):
-                    tokens = codes[np.arange(starts[-1])].astype("<u4")
+                    tokens = codes.span(0, int(starts[-1])).astype("<u4")
                     each = [tokens[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
                     rows = pd.DataFrame({"path": name, "nth": nth, "doc_id": pd.array(doc_ids, "Int64"), "place": starts[:-1], "n_tokens": np.diff(starts), "ids_crc32": [zlib.crc32(x.tobytes()) for x in each]})
                     rows.loc[~known, "doc_id"] = pd.NA

@@ -135,7 +135,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     # A fixed size: TERMS and USED numbers.
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.slot, model.w, model.v))
 
-    def scored(parts):
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = Model(*shared.value)
         for column in parts:
             out = [np.zeros(0)]
@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 out.append(sigmoid(m.scores(whose, m.slot[terms], hi - lo)))
             yield pd.Series(np.concatenate(out))
 
-    return docs.withColumn("toxic_score", F.pandas_udf(scored, "double", F.PandasUDFType.SCALAR_ITER)(F.col(text_col)))
+    return docs.withColumn("toxic_score", F.pandas_udf(scored, "double")(F.col(text_col)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
