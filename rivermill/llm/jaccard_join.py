@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graphs import components
-from .shared import WORD, Texts, gram_hashes, lists, materialise, mix, slices, whole_grams
+from .shared import WORD, Texts, gram_hashes, grouped, lists, materialise, mix, slices, whole_grams
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 #: Sampled tokens that stand for a set: its least shingles under so many hash functions.
@@ -122,33 +122,6 @@ def leaves(sets: DataFrame, runs: int) -> DataFrame:
     return materialise(done, "leaves")
 
 
-def grouped(rows: DataFrame, key: str, solve, schema: str) -> DataFrame:
-    """Apply solve(batch) to the rows of each key, which lie together in a task."""
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def solved(table: pa.Table) -> pa.RecordBatch:
-            out = solve(table)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
-
-        for batch in batches:
-            keys = batch.column(key).to_numpy()
-            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                part = batch.slice(lo, hi - lo)
-                if held and held[0].column(key)[0].as_py() != part.column(key)[0].as_py():
-                    yield solved(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                if len(part):
-                    held.append(part)
-        if held:
-            yield solved(pa.Table.from_batches(held).combine_chunks())
-
-    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
-
-
 def _alike(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join the sets of a leaf whose sketches say that they may be similar."""
     cls = table["cls"].to_numpy()

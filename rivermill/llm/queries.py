@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard_join, mixing, pii, token_counts, token_files, toxicity, warc
+from . import decontamination, exact_dedup, jaccard_join, mixing, pii, substring_dedup, token_counts, token_files, toxicity, warc
 from .shared import shared_path
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
@@ -49,7 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts)}
 
 #: Runs of white space, and words, in RE2.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"

@@ -9,7 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,6 +65,34 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def grouped(rows: DataFrame, key: str, solve: Callable[[pa.Table], Sequence[np.ndarray]], schema: str) -> DataFrame:
+    """Apply solve, from a table to arrays, to the rows of each key, which lie together in a
+    task and pass it one key after the other."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def solved(table: pa.Table) -> pa.RecordBatch:
+            out = solve(table)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+
+        for batch in batches:
+            keys = batch.column(key).to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                part = batch.slice(lo, hi - lo)
+                if held and held[0].column(key)[0].as_py() != part.column(key)[0].as_py():
+                    yield solved(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                if len(part):
+                    held.append(part)
+        if held:
+            yield solved(pa.Table.from_batches(held).combine_chunks())
+
+    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+
+
 def words_in(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
