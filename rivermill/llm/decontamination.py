@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .shared import Texts, clean_words, gram_hashes, mix, slices, whole_grams
 
+SIMILARITY, RECALL = 0.8, 0.99
 #: Words of the benchmark that one pass over the documents looks for.
 BLOCK_WORDS = 1 << 20
 #: Items of fewer words are not told from chance and are left out.
@@ -199,7 +200,7 @@ def blocks(benchmark: DataFrame, similarity: float, recall: float, id_col: str =
         yield Items(ids, found, edits, tables_for(recall))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Find benchmark items in the texts, up to (1 - similarity) edits for each item word.
 
     Words are compared in lower case and without punctuation at their ends. A text that

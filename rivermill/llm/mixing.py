@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import materialise, words_in
@@ -29,21 +29,43 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), id_col: str = "doc_
     documents by the next one. No document is sorted, and a document is compared with one
     number. The hash is made of id and text, so reruns agree; identical rows have the same
     hash and are taken alike. The documents at the threshold are taken if that comes nearer
-    to the target. An empty table gives no rows; a source of empty documents has target 0.
+    to the target. Ids may be null, other columns are ignored, an empty table gives no
+    rows; a source of empty documents has target 0.
 
     Returns doc_id, size, source_size, target, taken.
     """
+    rows = materialise(_measured(docs, id_col, text_col, source_col), "sizes")
+    taken = F.when(F.col("h") < F.col("cut"), 1).otherwise(0) + F.col("whole")
+    plan = _plan(rows, weights)
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", (F.col("size") * taken).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents of the mix themselves, each as often as it is taken; columns as in docs."""
+    rows = materialise(_measured(docs, id_col, text_col, source_col), "sizes")
+    plan = _plan(rows, weights).select(F.struct("s", "cut", "whole").alias("_plan"))
+    again = F.when(_hash(id_col, text_col) < F.col("_plan.cut"), 1).otherwise(0) + F.col("_plan.whole")
+    repeated = F.explode(F.when(again > 0, F.sequence(F.lit(1), again.cast("int"))))
+    return docs.join(plan, F.col(source_col).eqNullSafe(F.col("_plan.s"))).select(*[docs[c] for c in docs.columns], repeated.alias("_nth")).drop("_nth")
+
+
+def _hash(id_col: str, text_col: str) -> Column:
     digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))))
-    rows = materialise(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"), F.conv(F.substring(digest, 1, LEVELS * DIGIT // 4), 16, 10).cast("long").alias("h")),
-        "sizes",
-    )
-    sources = materialise(targets(rows, weights).withColumn("whole", F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
-    cut = materialise(thresholds(rows, sources.select("source", "rest")), "thresholds")
-    both = rows.join(sources.withColumnRenamed("source", "s"), rows["source"].eqNullSafe(F.col("s"))).drop("s")
-    both = both.join(cut.withColumnRenamed("source", "s"), both["source"].eqNullSafe(F.col("s"))).drop("s")
-    once_more = F.when(F.col("h") < F.col("cut"), 1).otherwise(0)
-    return both.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("whole") + once_more)).cast("long").alias("taken"))
+    return F.conv(F.substring(digest, 1, LEVELS * DIGIT // 4), 16, 10).cast("long")
+
+
+def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"), _hash(id_col, text_col).alias("h"))
+
+
+def _plan(rows: DataFrame, weights: Sequence[int]) -> DataFrame:
+    """s (source), source_size, target, whole, cut: one row for each source."""
+    whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
+    sources = targets(rows, weights).withColumn("whole", whole).withColumn("rest", F.col("target") - whole * F.col("source_size"))
+    sources = materialise(sources, "targets")
+    cut = thresholds(rows, sources.select("source", "rest"))
+    both = sources.withColumnRenamed("source", "s").join(cut, F.col("s").eqNullSafe(F.col("source")))
+    return materialise(both.select("s", "source_size", "target", "whole", "cut"), "plan")
 
 
 def targets(rows: DataFrame, weights: Sequence[int]) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import Texts, clean_words, lists, slices
@@ -130,10 +130,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Add the column toxic_score, 0 to 1, to docs; a null text scores as an empty one."""
+def score(spark: SparkSession, model: Model, text: Column) -> Column:
+    """The score of a text, 0 to 1; a null scores as an empty text."""
     # A fixed size: TERMS and USED numbers.
-    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.slot, model.w, model.v))
+    shared = spark.sparkContext.broadcast((model.bias, model.slot, model.w, model.v))
 
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = Model(*shared.value)
@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 out.append(sigmoid(m.scores(whose, m.slot[terms], hi - lo)))
             yield pd.Series(np.concatenate(out))
 
-    return docs.withColumn("toxic_score", F.pandas_udf(scored, "double")(F.col(text_col)))
+    return F.pandas_udf(scored, "double")(text)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,5 +160,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col:
     Returns doc_id, held_out, score, predicted (1 if the score is at least threshold).
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scored = score(own, fit(docs, labels, id_col, text_col))
-    return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= threshold).cast("int").alias("predicted"))
+    model = fit(docs, labels, id_col, text_col)
+    scored = own.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), score(docs.sparkSession, model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
