@@ -269,12 +269,15 @@ def keep_one(docs: DataFrame, recall: float = RECALL, id_col: str = "doc_id", te
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     group = rows.filter("n > 0").join(similar.select("cls", "root"), "cls", "left").groupBy(F.coalesce("root", "cls").alias("root"))
     stays = materialise(group.agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "stays")
-    key, wordless = text_key(F.col(text_col)), ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
-    kept = docs.filter(~wordless).join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_semi")
+    wordless = ~F.coalesce(docs[text_col], F.lit("")).rlike(WORD)
+
+    def among(table: DataFrame) -> Column:
+        return docs[id_col].cast("long").eqNullSafe(table["_id"]) & (text_key(docs[text_col]) == table["_key"])
+
+    kept = docs.filter(~wordless).join(stays, among(stays), "left_semi")
     repeated = rows.filter("n > 0").groupBy("doc_id", "text_key").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     repeated = materialise(repeated, "repeated")
     if repeated.limit(1).count():
-        same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
-        once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
-        kept = kept.join(repeated, same, "left_anti").unionByName(once)
+        once = kept.join(repeated, among(repeated), "left_semi").dropDuplicates([id_col, text_col])
+        kept = kept.join(repeated, among(repeated), "left_anti").unionByName(once)
     return kept.unionByName(docs.filter(wordless))

@@ -43,19 +43,20 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), id_col: str = "doc_
 def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix themselves, each as often as it is taken; columns as in docs."""
     rows = materialise(_measured(docs, id_col, text_col, source_col), "sizes")
-    plan = _plan(rows, weights).select(F.struct("s", "cut", "whole").alias("_plan"))
-    again = F.when(_hash(id_col, text_col) < F.col("_plan.cut"), 1).otherwise(0) + F.col("_plan.whole")
+    plan = _plan(rows, weights)
+    again = F.when(_hash(docs[id_col], docs[text_col]) < plan["cut"], 1).otherwise(0) + plan["whole"]
     repeated = F.explode(F.when(again > 0, F.sequence(F.lit(1), again.cast("int"))))
-    return docs.join(plan, F.col(source_col).eqNullSafe(F.col("_plan.s"))).select(*[docs[c] for c in docs.columns], repeated.alias("_nth")).drop("_nth")
+    columns = [docs[c] for c in docs.columns]
+    return docs.join(plan, docs[source_col].eqNullSafe(plan["s"])).select(*columns, repeated).select(*columns)
 
 
-def _hash(id_col: str, text_col: str) -> Column:
-    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))))
+def _hash(doc_id: Column, text: Column) -> Column:
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
     return F.conv(F.substring(digest, 1, LEVELS * DIGIT // 4), 16, 10).cast("long")
 
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"), _hash(id_col, text_col).alias("h"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"), _hash(F.col(id_col), F.col(text_col)).alias("h"))
 
 
 def _plan(rows: DataFrame, weights: Sequence[int]) -> DataFrame:

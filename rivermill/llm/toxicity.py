@@ -16,12 +16,14 @@ from .shared import Texts, clean_words, lists, slices
 #: Hashed terms, those of them that the model uses at most, and factors for each.
 TERMS, USED, FACTORS = 1 << 18, 4096, 4
 #: Labelled rows that a fit reads at most, for each label; a term must occur in so many of them.
-MOST_EACH, LEAST_DOCS = 10_000, 4
+MOST_EACH, LEAST_DOCS = 10_000, 3
 #: How many times its spread a term's share must differ between the labels.
-LEAST_SPREADS = 4
+LEAST_SPREADS = 2
 #: Leading bytes of a word that are terms of their own: they stand for inflected forms.
 STEMS = (4, 5)
-ROUNDS, RATE, SHRINK = 200, 0.05, 1e-4
+ROUNDS, RATE, SHRINK = 200, 0.05, 1e-3
+#: How much more a toxic row weighs than another one.
+EVEN = 6
 
 
 @dataclass
@@ -104,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = kept["y"].to_numpy().astype(float)
     lengths = kept["terms"].combine_chunks().value_lengths().to_numpy()
     slots = slot[kept["terms"].combine_chunks().flatten().to_numpy()]
-    weight = np.where(y == 1, sizes[1] / totals[1], sizes[0] / totals[0])
+    weight = np.where(y == 1, EVEN * sizes[1] / totals[1], sizes[0] / totals[0])
     return _train(y, weight / weight.mean(), np.repeat(np.arange(len(y)), lengths), slots, slot, len(used))
 
 
