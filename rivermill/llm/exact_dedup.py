@@ -2,20 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, materialise
-
-#: Bits of the filter for each row, and the most that it has in all (32 MB).
-BITS_PER_ROW = 16
-MOST_BITS = 1 << 28
-#: Bits in one row of the broadcast filter; all bits of a text lie in the same row.
-PART_BITS = 1 << 16
-SEEDS = (11, 23, 47)
-
+from .shared import MOST_BITS, SPACE, bloom_bits, bloom_part, bloom_parts, in_bloom, materialise, pack_bloom
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = MOST_BITS) -> DataFrame:
     """Mark all but one row of each group of equal texts.
@@ -41,8 +31,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ).withColumn("rid", F.monotonically_increasing_id()),
         "hashes",
     )
-    parts = min(most_bits, max(1, BITS_PER_ROW * rows.count())) // PART_BITS + 1
-    tested = maybe_repeated(rows, parts)
+    tested = maybe_repeated(rows, bloom_parts(rows.count(), most_bits))
     again = tested.filter("again")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     groups = materialise(again.groupBy("text_sha256").agg(F.min(order).alias("stays"), F.count(F.lit(1)).alias("group_size")), "groups")
@@ -53,26 +42,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def maybe_repeated(rows: DataFrame, parts: int) -> DataFrame:
     """Add `again`: more than one row has set each of the row's bits."""
-    marked = rows.withColumn("part", F.pmod(F.xxhash64("text_sha256"), F.lit(parts)).cast("int")).withColumn(
-        "bits", F.array(*[F.pmod(F.xxhash64("text_sha256", F.lit(s)), F.lit(PART_BITS)).cast("int") for s in SEEDS])
-    )
+    marked = rows.withColumn("part", bloom_part(F.col("text_sha256"), parts)).withColumn("bits", bloom_bits(F.col("text_sha256")))
     shared = marked.select("part", F.explode(F.array_distinct("bits")).alias("bit")).groupBy("part", "bit").count().filter("count > 1")
-
-    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        flags = np.zeros(PART_BITS, np.uint8)
-        flags[group["bit"].to_numpy()] = 1
-        return pd.DataFrame({"part": [key[0]], "flags": [np.packbits(flags).tobytes()]})
-
-    bloom = materialise(shared.groupBy("part").applyInPandas(pack, "part int, flags binary"), "filter")
-    hits = [_bit("flags", F.col("bits")[i]) == 1 for i in range(len(SEEDS))]
-    all_set = hits[0]
-    for hit in hits[1:]:
-        all_set = all_set & hit
-    # Bounded by MOST_BITS: 32 MB.
-    return marked.join(F.broadcast(bloom), "part", "left").select("doc_id", "text_sha256", "rid", F.coalesce(all_set, F.lit(False)).alias("again"))
-
-
-def _bit(flags: str, at: Column) -> Column:
-    """Bit `at` of packed flags, the first bit being the highest of the first byte."""
-    byte = F.conv(F.hex(F.substr(F.col(flags), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, F.lit(7) - at % 8)
+    bloom = pack_bloom(shared)
+    return marked.join(F.broadcast(bloom), "part", "left").select("doc_id", "text_sha256", "rid", in_bloom(F.col("bits"), F.col("flags")).alias("again"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graphs import components
-from .shared import WORD, Texts, gram_hashes, grouped, lists, materialise, mix, slices, whole_grams
+from .shared import WORD, Texts, gram_hashes, grouped, lists, materialise, mix, slices, split_by_keys, whole_grams
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 #: Sampled tokens that stand for a set: its least shingles under so many hash functions.
@@ -211,6 +211,8 @@ def similar_classes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str
     wanted = materialise(groups.join(sets.select("cls", "one", "size"), groups["node"] == F.col("cls")).select("cls", "root", "one.*", "size"), "wanted")
     # One document of each class is read again, for its whole set; of repeated rows one is left.
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
+    # Most documents are near no other one: a filter lets them go before the shuffle.
+    own, _ = split_by_keys(own, own["key"], wanted.select("text_key"))
     texts = own.join(wanted.select("doc_id", "text_key"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_semi")
     members = materialise(texts.select("text").mapInArrow(_sets, "cls long, members array<bigint>").dropDuplicates(["cls"]), "members")
     sizes = materialise(wanted.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
@@ -268,16 +270,22 @@ def keep_one(docs: DataFrame, recall: float = RECALL, id_col: str = "doc_id", te
     similar = similar_classes(docs, rows, id_col, text_col, recall)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     group = rows.filter("n > 0").join(similar.select("cls", "root"), "cls", "left").groupBy(F.coalesce("root", "cls").alias("root"))
-    stays = materialise(group.agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")), "stays")
+    stays = materialise(group.agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("_n")).select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), "_n"), "stays")
     wordless = ~F.coalesce(docs[text_col], F.lit("")).rlike(WORD)
 
     def among(table: DataFrame) -> Column:
         return docs[id_col].cast("long").eqNullSafe(table["_id"]) & (text_key(docs[text_col]) == table["_key"])
 
-    kept = docs.filter(~wordless).join(stays, among(stays), "left_semi")
+    # Documents alone in their group pass straight through; only the others meet `stays`.
+    grouped_rows = rows.filter("n > 0").select("doc_id", F.col("text_key").alias("_key"))
+    lone = stays.filter("_n = 1")
+    many = grouped_rows.join(lone, grouped_rows["doc_id"].eqNullSafe(lone["_id"]) & (grouped_rows["_key"] == lone["_key"]), "left_anti")
+    maybe, straight = split_by_keys(docs.filter(~wordless), text_key(docs[text_col]), materialise(many.select("_key"), "many"))
+    kept = maybe.join(stays, among(stays), "left_semi")
     repeated = rows.filter("n > 0").groupBy("doc_id", "text_key").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     repeated = materialise(repeated, "repeated")
     if repeated.limit(1).count():
         once = kept.join(repeated, among(repeated), "left_semi").dropDuplicates([id_col, text_col])
         kept = kept.join(repeated, among(repeated), "left_anti").unionByName(once)
+    kept = kept.unionByName(straight)
     return kept.unionByName(docs.filter(wordless))

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,63 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# -- Bloom filters of bounded size ---------------------------------------------------
+
+#: Bits of a filter for each key, and the most that it has in all (32 MB).
+BITS_PER_KEY, MOST_BITS = 16, 1 << 28
+#: Bits in one row of a broadcast filter; all bits of a key lie in the same row.
+PART_BITS = 1 << 16
+SEEDS = (11, 23, 47)
+
+
+def bloom_parts(keys: int, most_bits: int = MOST_BITS) -> int:
+    return min(most_bits, BITS_PER_KEY * keys) // PART_BITS + 1
+
+
+def bloom_part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def bloom_bits(key: Column) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(key, F.lit(s)), F.lit(PART_BITS)).cast("int") for s in SEEDS])
+
+
+def pack_bloom(bits: DataFrame) -> DataFrame:
+    """(part, flags): the set bits (part, bit) packed, a row of 8 KB for each part."""
+
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(PART_BITS, np.uint8)
+        flags[group["bit"].to_numpy()] = 1
+        return pd.DataFrame({"part": [key[0]], "flags": [np.packbits(flags).tobytes()]})
+
+    return materialise(bits.groupBy("part").applyInPandas(pack, "part int, flags binary"), "filter")
+
+
+def in_bloom(bits: Column, flags: Column) -> Column:
+    """Whether all bits are set; false where the part has no flags."""
+    found = F.lit(True)
+    for i in range(len(SEEDS)):
+        byte = F.conv(F.hex(F.substr(flags, (bits[i] / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        found = found & (F.getbit(byte, F.lit(7) - bits[i] % 8) == 1)
+    return F.coalesce(found, F.lit(False))
+
+
+def split_by_keys(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among keys, rows whose key is not), without a shuffle of df.
+
+    keys has one column. Its Bloom filter is broadcast, of at most MOST_BITS bits: beyond
+    that more rows count as maybe, so an exact join of those has to follow at any size.
+    """
+    name = keys.columns[0]
+    parts = bloom_parts(keys.count())
+    marked = keys.select(bloom_part(F.col(name), parts).alias("part"), F.explode(bloom_bits(F.col(name))).alias("bit"))
+    bloom = pack_bloom(marked.distinct())
+    both = df.join(F.broadcast(bloom), bloom_part(key, parts) == bloom["part"], "left")
+    maybe = in_bloom(bloom_bits(key), bloom["flags"])
+    columns = [df[c] for c in df.columns]
+    return both.filter(maybe).select(*columns), both.filter(~maybe).select(*columns)
+
+
 def grouped(rows: DataFrame, key: str, solve: Callable[[pa.Table], Sequence[np.ndarray]], schema: str) -> DataFrame:
     """Apply solve, from a table to arrays, to the rows of each key, which lie together in a
     task and pass it one key after the other."""
