@@ -19,7 +19,7 @@ TOKENS = 64
 #: A bucket of more sets is split again, up to DEEPEST times; levels that `RECALL` allows for.
 LIMIT, DEEPEST, LEVELS = 512, 12, 4
 #: Sets that are compared at once, and how much lower a sketch's estimate may be than SIMILARITY.
-BLOCK, SLACK = 1024, 0.2
+BLOCK, SLACK = 512, 0.2
 _SALTS = np.random.default_rng(5).integers(1, 1 << 62, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -179,20 +179,18 @@ def _links(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         has = np.zeros((n, min(4096, most - lo)), np.float32)
         has[whose[a:b], ids[a:b] - lo] = 1
         shared += has @ has.T
-    either = counts[:, None] + counts[None, :] - shared
-    similar = shared >= SIMILARITY * either - 1e-6
+    sizes = counts.astype(np.float32)
+    similar = (1 + SIMILARITY) * shared >= SIMILARITY * (sizes[:, None] + sizes[None, :]) - 1e-3
     np.fill_diagonal(similar, False)
     if (side != side[0]).any():
         similar &= side[:, None] != side[None, :]
-    x, y = np.nonzero(similar)
-    links = np.bincount(x, size[y].astype(float), n).astype(np.int64)
-    root = np.arange(n)
-    by_name = np.argsort(cls)
-    rank = np.empty(n, np.int64)
-    rank[by_name] = np.arange(n)
-    merge(root, rank[x], rank[y])
+    links = similar @ size
+    least, before = cls, None
+    while before is None or (least != before).any():  # the least class goes from set to set
+        before = least
+        least = np.minimum(least, np.where(similar, least, np.iinfo(np.int64).max).min(1))
     found = np.flatnonzero(links > 0)
-    return cls[found], links[found], cls[by_name][root[rank[found]]]
+    return cls[found], links[found], least[found]
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
