@@ -179,8 +179,7 @@ def _links(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         has = np.zeros((n, min(4096, most - lo)), np.float32)
         has[whose[a:b], ids[a:b] - lo] = 1
         shared += has @ has.T
-    sizes = counts.astype(np.float32)
-    similar = (1 + SIMILARITY) * shared >= SIMILARITY * (sizes[:, None] + sizes[None, :]) - 1e-3
+    similar = (1 + SIMILARITY) * shared.astype(np.float64) >= SIMILARITY * (counts[:, None] + counts[None, :]) - 1e-6
     np.fill_diagonal(similar, False)
     if (side != side[0]).any():
         similar &= side[:, None] != side[None, :]
