@@ -1,5 +1,6 @@
 """The registered queries: each runs one operator or job over whole tables."""
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession, functions as F
@@ -13,12 +14,14 @@ from rivermill.operators.records import copy_matching, to_message
 from rivermill.plans.wide_tables import dau_wide, order_wide
 from rivermill.sinks.docs import split_by_day, upsert_docs, write_dims, write_docs
 from rivermill.sinks.topics import offset_ledger
-from rivermill.sources.tables import read_dims, read_docs, read_sink_field
+from rivermill.session import SETTINGS
+from rivermill.sources.tables import compact_dims, compact_docs, read_dims, read_docs, read_sink_field
 from rivermill.sources.topics import batch_offsets, read_topic_files, starting_offsets
 from rivermill.streaming import jobs
 from rivermill.streaming.jobs import DAU_KEYS
 
 ALL_INPUT = {"availableNow": True}
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def as_of():
@@ -31,6 +34,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     if shared:
         run = spark.sql("SELECT uuid()").head()[0]
         return f"{shared.rstrip('/')}/{name}-{run}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-") + "/out"
 
 
@@ -42,8 +47,8 @@ def page_log(spark, d):
     return parse.parse_page_log(X.page_log_messages(spark, d))
 
 
-def info(spark, d):
-    return parse.parse_order_info(X.order_info_messages(spark, d))
+def info(spark, d, misses=True):
+    return parse.parse_order_info(X.order_info_messages(spark, d, misses))
 
 
 def detail(spark, d):
@@ -82,11 +87,49 @@ def q_parse_log(spark, d):
 
 
 def q_quarantine(spark, d):
-    return parse.quarantine(X.raw_log(spark, d)).select(
-        "topic", "partition", "offset", _ms("timestamp").alias("sent_ms")
+    return _places(parse.quarantine(X.raw_log(spark, d)))
+
+
+def _places(msgs):
+    return msgs.select("topic", "partition", "offset", _ms("timestamp").alias("sent_ms"))
+
+
+def q_quarantine_change(spark, d):
+    return _places(parse.quarantine_change(X.with_bad(X.change_log(spark, d), "table")))
+
+
+def q_quarantine_page(spark, d):
+    msgs = X.with_bad(_page_messages(spark, d), "mid")
+    return parse.quarantine_page(msgs).select(F.col("offset").alias("ts"))
+
+
+def _bad_orders(spark, d):
+    return (
+        X.with_bad(X.order_info_messages(spark, d, misses=False), "id"),
+        X.with_bad(X.order_detail_messages(spark, d), "order_id"),
     )
 
 
+def q_quarantine_order(spark, d):
+    headers, lines = _bad_orders(spark, d)
+    bad = parse.quarantine_order(headers, "info").unionByName(parse.quarantine_order(lines, "detail"))
+    return _places(bad)
+
+
+def q_order_wide_bad(spark, d):
+    """The wide table where some messages are unusable: they take no part."""
+    headers, lines = _bad_orders(spark, d)
+    users, provinces = X.user_info(spark, d), X.base_province(spark, d)
+    wide = order_wide(parse.parse_order_info(headers), parse.parse_order_detail(lines), users, provinces, as_of())
+    return wide.select("detail_id", "order_id", "sku_id", "order_price", "user_gender", "create_date")
+
+
+def q_dau_wide_bad(spark, d):
+    pages = parse.parse_page_log(X.with_bad(_page_messages(spark, d), "mid"))
+    wide = dau_wide(pages, X.user_info(spark, d), X.base_province(spark, d), as_of())
+    return wide.select("dt", "mid", "page_id", "ts", "user_gender")
+
+
 def q_route_error(spark, d):
     field = lambda path: F.get_json_object("value", path)
     return logs.route_error(log(spark, d)).select(
@@ -222,7 +265,7 @@ def q_with_province_dim(spark, d):
 
 
 def q_age_years(spark, d):
-    return X.user_info(spark, d).select(
+    return X.user_info(spark, d, misses=False).select(
         "id", "birthday", age_years("birthday", as_of()).alias("age")
     )
 
@@ -232,7 +275,7 @@ def q_time_parts(spark, d):
 
 
 def q_create_parts(spark, d):
-    return create_parts(info(spark, d)).select("id", "create_time", "create_date", "create_hour")
+    return create_parts(info(spark, d, misses=False)).select("id", "create_time", "create_date", "create_hour")
 
 
 # -- daily active devices
@@ -252,7 +295,7 @@ def q_rebuild_seen(spark, d):
 
 def _stored_dau(spark, d):
     path = scratch(spark, "dau_docs")
-    write_docs(q_dau_wide(spark, d), path, DAU_KEYS, ["ts"], 0, "dt", many_days=True)
+    write_docs(q_dau_wide(spark, d), path, DAU_KEYS, ["ts"], 0, "dt")
     return path
 
 
@@ -262,7 +305,12 @@ def q_read_sink_field(spark, d):
 
 
 def q_partition_counts(spark, d):
-    return dau.partition_counts(visits(spark, d)).agg(F.sum("rows").alias("rows"))
+    """Rows over all partitions before and after the dedup, dealt out anew before it."""
+    total = lambda df, stage: dau.partition_counts(df).agg(
+        F.lit(stage).alias("stage"), F.sum("rows").alias("rows")
+    )
+    before = total(page_log(spark, d).repartition(5, "mid"), "before")
+    return before.unionByName(total(visits(spark, d), "after"))
 
 
 def q_split_by_day(spark, d):
@@ -317,7 +365,9 @@ def q_pending_orders(spark, d):
 
 def q_distinct_pending(spark, d):
     pending = orders.pending_details(info(spark, d), detail(spark, d))
-    return orders.distinct_pending(pending).select(*LINE)
+    # Some lines are delivered again, later.
+    again = pending.filter("id % 3 = 0").withColumn("arrival", F.expr("arrival + INTERVAL 1 HOUR"))
+    return orders.distinct_pending(pending.unionByName(again)).select(*LINE)
 
 
 def q_merge_order_wide(spark, d):
@@ -351,31 +401,50 @@ def q_starting_offsets(spark, d):
     ledger = offset_ledger(msgs.filter("offset % 2 = 0"), "log_split", 0).unionByName(
         offset_ledger(msgs, "log_split", 1)
     )
-    return starting_offsets(ledger, S.LOG_TOPIC, "log_split")
+    # The topic has one more partition, which never had a message.
+    return starting_offsets(ledger, S.LOG_TOPIC, "log_split", [0, 1, 2, 3])
 
 
 # -- streams: message files in, all input read, results read back
 
 
+BATCHES = 4
+
+
 def _sent(spark, *frames):
-    """Each frame as a stream of message files, all in one session of their own.
+    """Each frame as a stream of message files, cut by time into BATCHES micro-batches.
 
-    Stateful steps get a partition per input split, and at least one per core: the
-    number is fixed for a stream's life, and the caller's setting is left alone.
+    All streams are in one session with the jobs' settings; the number of shuffle
+    partitions is the caller's.
     """
     own = spark.newSession()
-    own.conf.set("spark.sql.session.timeZone", "UTC")
-    streams, splits = [], 0
+    for key, value in [*SETTINGS.items(), (PARTITIONS, spark.conf.get(PARTITIONS))]:
+        own.conf.set(key, value)
+    streams = []
     for msgs in frames:
         path = scratch(spark, "messages")
-        msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE]).write.parquet(path)
-        splits += spark.read.parquet(path).rdd.getNumPartitions()
-        streams.append(read_topic_files(own, path))
-    cores = spark.sparkContext.defaultParallelism
-    own.conf.set("spark.sql.shuffle.partitions", max(cores, splits))
+        msgs = msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE])
+        at = F.unix_micros("timestamp")
+        lo, hi = msgs.agg(F.min(at), F.max(at)).head()
+        width = ((hi or 0) - (lo or 0)) // BATCHES + 1
+        # A file for each span of time, which the stream reads in that order.
+        ranged = msgs.withColumn("slice", F.floor((at - F.lit(lo or 0)) / width).cast("int")).persist()
+        for nth in range(BATCHES):
+            part = ranged.filter(F.col("slice") == nth).drop("slice")
+            part.repartition(1).write.parquet(f"{path}/slice={nth}")
+        ranged.unpersist()
+        streams.append(read_topic_files(own, f"{path}/*", 1))
     return streams
 
 
+def _run(query, least=BATCHES):
+    """Wait until all input is read, and see that it came in several micro-batches."""
+    query.awaitTermination()
+    ran = [p for p in query.recentProgress if p.numInputRows]
+    if len(ran) < min(least, 2):
+        raise RuntimeError(f"{len(ran)} micro-batches ran")
+
+
 def _page_messages(spark, d):
     ts = F.get_json_object("value", "$.ts").cast("bigint")
     return X.page_log_messages(spark, d).select(
@@ -391,18 +460,21 @@ def _page_messages(spark, d):
 def q_stream_log_split(spark, d):
     out, ck = scratch(spark, "topics"), scratch(spark, "ck")
     (msgs,) = _sent(spark, X.raw_log(spark, d))
-    jobs.run_log_split(msgs, {"path": out}, ck, trigger=ALL_INPUT).awaitTermination()
-    schema = "key string, value string, topic string"
-    return _message_fields(spark.read.schema(schema).parquet(out))
+    _run(jobs.run_log_split(msgs, {"path": out}, ck, trigger=ALL_INPUT))
+    schema = "key string, value string, topic string, batch_id long"
+    sent = spark.read.schema(schema).parquet(out)
+    return _message_fields(sent.filter(F.col("topic") != S.BAD_TOPIC))
 
 
 def _change_split(spark, d):
     lists, out, stored = (scratch(spark, n) for n in ("lists", "facts", "dims"))
     X.lists(spark).write.parquet(lists)
     (msgs,) = _sent(spark, X.change_log(spark, d))
-    jobs.run_change_split(
-        msgs, lists, {"path": out}, stored, scratch(spark, "ck"), trigger=ALL_INPUT
-    ).awaitTermination()
+    _run(
+        jobs.run_change_split(
+            msgs, lists, {"path": out}, stored, scratch(spark, "ck"), trigger=ALL_INPUT
+        )
+    )
     return out, stored
 
 
@@ -423,29 +495,76 @@ def q_stream_dau(spark, d):
     out, stored = scratch(spark, "dau"), scratch(spark, "dims")
     write_dims(_dim_rows(spark, d), stored, 0)
     (msgs,) = _sent(spark, _page_messages(spark, d))
-    jobs.run_dau(
-        msgs, stored, out, scratch(spark, "ck"), as_of=as_of(), trigger=ALL_INPUT
-    ).awaitTermination()
+    ck = scratch(spark, "ck")
+    _run(jobs.run_dau(msgs, stored, out, ck, as_of=as_of(), trigger=ALL_INPUT))
     # Columns that do not depend on which page of the day arrived first.
     return read_docs(spark, out, S.DAU_INFO, DAU_KEYS).select(
         "dt", "mid", "user_id", "user_gender", "user_age", "province_name"
     )
 
 
-def q_stream_order_join(spark, d):
-    out = scratch(spark, "joined")
+def _order_docs(spark, d):
+    """Documents of the order job over all headers and lines."""
+    out, stored = scratch(spark, "orders"), scratch(spark, "dims")
+    write_dims(_dim_rows(spark, d), stored, 0)
     headers, lines = _sent(
         spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d)
     )
-    headers = create_parts(parse.parse_order_info(headers))
-    lines = parse.parse_order_detail(lines)
-    wide = orders.merge_order_wide(orders.order_wide_join(headers, lines, salt=2))
-    writer = wide.writeStream.option("checkpointLocation", scratch(spark, "ck"))
-    writer.format("parquet").option("path", out).trigger(**ALL_INPUT).start().awaitTermination()
-    return spark.read.schema(S.ORDER_WIDE).parquet(out)
+    _run(
+        jobs.run_order_wide(
+            headers, lines, stored, out, scratch(spark, "ck"), as_of=as_of(), trigger=ALL_INPUT
+        )
+    )
+    return out
+
+
+def q_stream_order_wide(spark, d):
+    docs = read_docs(
+        spark, _order_docs(spark, d), S.ORDER_DOC, jobs.ORDER_KEYS, order_by=jobs.ORDER_LAST
+    )
+    return docs.select(
+        "detail_id", "create_date", "order_id", "user_gender", "user_age", "province_name",
+        _ms("line_arrival").alias("line_ms"),
+    )
+
+
+def q_compact_docs(spark, d):
+    """Two batches of documents, the second over the first, folded into a snapshot."""
+    path, row = scratch(spark, "docs"), S.DAU_INFO
+    wide = q_dau_wide(spark, d)
+    write_docs(wide.withColumn("page_id", F.lit("old")), path, DAU_KEYS, ["ts"], 0)
+    write_docs(wide, path, DAU_KEYS, ["ts"], 1)
+    compact_docs(spark, path, row, DAU_KEYS)
+    return read_docs(spark, path, row, DAU_KEYS)
+
+
+def q_compact_dims(spark, d):
+    path = scratch(spark, "dims")
+    rows = _dim_rows(spark, d)
+    first = F.col("offset") < X.SECOND_VERSION
+    write_dims(rows.filter(first), path, 0)
+    compact_dims(spark, path)
+    write_dims(rows.filter(~first), path, 1)
+    compact_dims(spark, path)
+    return read_dims(spark, path).select("dim_key", "op", "offset", _change_field().alias("field"))
+
+
+def _in_utc(query):
+    """Queries cut days in UTC, whatever zone the caller's session had."""
+
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict:
+    return {name: _in_utc(query) for name, query in _queries().items()}
+
+
+def _queries() -> dict:
     return {
         "parse_log": q_parse_log,
         "parse_change": q_parse_change,
@@ -477,7 +596,7 @@ def queries() -> dict:
         "split_by_day": q_split_by_day,
         "stage_counts": lambda s, d: dau.stage_counts(page_log(s, d)),
         "partition_counts": q_partition_counts,
-        "parse_order_info": lambda s, d: info(s, d).withColumn("arrival", _ms("arrival")),
+        "parse_order_info": lambda s, d: info(s, d, misses=False).withColumn("arrival", _ms("arrival")),
         "parse_order_detail": lambda s, d: detail(s, d).withColumn("arrival", _ms("arrival")),
         "order_batch_join": q_order_batch_join,
         "order_wide_join": q_order_wide_join,
@@ -495,6 +614,13 @@ def queries() -> dict:
         "stream_change_facts": q_stream_change_facts,
         "stream_change_dims": q_stream_change_dims,
         "stream_dau": q_stream_dau,
-        "stream_order_join": q_stream_order_join,
+        "stream_order_wide": q_stream_order_wide,
+        "quarantine_change": q_quarantine_change,
+        "quarantine_page": q_quarantine_page,
+        "quarantine_order": q_quarantine_order,
+        "order_wide_bad": q_order_wide_bad,
+        "dau_wide_bad": q_dau_wide_bad,
+        "compact_docs": q_compact_docs,
+        "compact_dims": q_compact_dims,
         "offset_ledger": lambda s, d: offset_ledger(X.raw_log(s, d), "log_split", 7),
     }

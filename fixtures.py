@@ -1,6 +1,8 @@
 """Input relations of the warehouse, derived by Spark from the base tables.
 
-`FIXTURES.md` part B gives each rule. Every relation covers the whole base table.
+`FIXTURES.md` part B gives each rule. Every relation covers the whole base table, but for
+the headers and users of lookups and joins: `misses` leaves some out, so that there are
+rows without a partner. Base timestamps have no zone: the session's must be UTC.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,18 +13,12 @@ AS_OF = "2024-02-01"
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Base timestamps have no zone; the jobs cut days in the session's.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows spread over the cores when the files give fewer splits than there are cores.
-
-    A table of one small file is one task otherwise; a large table is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt out by key, as a topic's partitions would give them."""
+    return df.repartition(key)
 
 
 def _text(sql: str):
@@ -121,9 +117,10 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users as a dimension; every eleventh is left out to give misses."""
-    rows = _users(spark, sf_dir).filter("id % 11 <> 3")
+def user_info(spark: SparkSession, sf_dir: str, misses: bool = True) -> DataFrame:
+    """Users as a dimension; for lookups every eleventh is left out to give misses."""
+    rows = _users(spark, sf_dir)
+    rows = rows.filter("id % 11 <> 3") if misses else rows
     return rows.withColumn("id", F.col("id").cast("string"))
 
 
@@ -141,11 +138,10 @@ _HEADER_TIME = "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 as int),
 _TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order headers as database rows, plus `arrival`."""
-    orders = spread(base(spark, sf_dir, "orders"), "o_orderkey").filter(
-        "o_orderkey % 20 <> 7"
-    )
+def order_info(spark: SparkSession, sf_dir: str, misses: bool = True) -> DataFrame:
+    """Order headers as database rows, plus `arrival`; for joins one in twenty is missing."""
+    orders = spread(base(spark, sf_dir, "orders"), "o_orderkey")
+    orders = orders.filter("o_orderkey % 20 <> 7") if misses else orders
     arrival = F.expr(_HEADER_TIME).cast("timestamp")
     amount = lambda name: F.lit(0.0).alias(name)
     return orders.select(
@@ -201,8 +197,15 @@ def messages_of(rows: DataFrame, topic: str) -> DataFrame:
     return _envelope(timed, topic, "id % 3", "id", "arrival")
 
 
-def order_info_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_of(order_info(spark, sf_dir), S.ORDER_INFO_TOPIC)
+def order_info_messages(spark: SparkSession, sf_dir: str, misses: bool = True) -> DataFrame:
+    return messages_of(order_info(spark, sf_dir, misses), S.ORDER_INFO_TOPIC)
+
+
+def with_bad(msgs: DataFrame, key: str) -> DataFrame:
+    """The messages, every 97th of them cut short and every 89th without its key."""
+    without = F.regexp_replace("value", f'"{key}":', f'"no_{key}":')
+    cut = F.when(F.expr("offset % 97 = 0"), F.expr("left(value, 9)"))
+    return msgs.withColumn("value", cut.when(F.expr("offset % 89 = 0"), without).otherwise(F.col("value")))
 
 
 def order_detail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +255,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")
     )
     return (
-        _changes(order_info(spark, sf_dir), "order_info")
+        _changes(order_info(spark, sf_dir, misses=False), "order_info")
         .unionByName(_changes(order_detail(spark, sf_dir), "order_detail"))
         .unionByName(_changes(region, "region"))
         .unionByName(dim_changes(spark, sf_dir))

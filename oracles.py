@@ -69,6 +69,7 @@ _INFO = f"""info AS (
          CAST(0 AS DOUBLE) AS feight_fee_reduce,
          strftime({_ARRIVAL}, '%Y-%m-%d %H:%M:%S') AS create_time, {_ARRIVAL} AS arrival
   FROM orders WHERE o_orderkey % 20 <> 7)"""
+_ALL_INFO = _INFO.replace(" WHERE o_orderkey % 20 <> 7", "").replace("info AS", "all_info AS", 1)
 _DETAIL = f"""detail AS (
   SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS order_id,
          l_partkey AS sku_id, l_extendedprice AS order_price,
@@ -98,8 +99,12 @@ _DIM_CHANGES = f"""dim_changes AS (
   FROM customer WHERE c_custkey % 5 = 0
   UNION ALL
   SELECT 'base_province', n_nationkey, n_nationkey, n_name FROM nation)"""
-_CHANGES = f"""{_ORDERS}, {_DIM_CHANGES}, changes AS (
-  SELECT 'order_info' AS tbl, id, id AS off, order_status AS field FROM info
+_LATEST_USERS = f"""{_DIM_CHANGES}, latest AS (
+  SELECT id, arg_max(field, off) AS gender FROM dim_changes
+  WHERE tbl = 'user_info' AND id % 10 <> 3 GROUP BY id),
+  ages AS (SELECT c_custkey AS id, {_AGE} AS age FROM customer)"""
+_CHANGES = f"""{_ALL_INFO}, {_DETAIL}, {_DIM_CHANGES}, changes AS (
+  SELECT 'order_info' AS tbl, id, id AS off, order_status AS field FROM all_info
   UNION ALL SELECT 'order_detail', id, id, sku_name FROM detail
   UNION ALL SELECT 'region', r_regionkey, r_regionkey, r_name FROM region
   UNION ALL SELECT * FROM dim_changes)"""
@@ -272,19 +277,54 @@ def oracle_sql() -> dict[str, str]:
         "stream_log_split": FAN_OUT,
         "stream_change_facts": ROUTE_FACTS,
         "stream_change_dims": _latest_dims(""),
-        "stream_dau": f"""WITH {_FIRST}, {_DIM_CHANGES}, latest AS (
-            SELECT id, arg_max(field, off) AS gender FROM dim_changes
-            WHERE tbl = 'user_info' AND id % 10 <> 3 GROUP BY id),
-          ages AS (SELECT c_custkey AS id, {_AGE} AS age FROM customer)
+        "stream_dau": f"""WITH {_FIRST}, {_LATEST_USERS}
           SELECT dt, mid, user_id, l.gender AS user_gender,
                  CASE WHEN l.id IS NOT NULL THEN CAST(a.age AS VARCHAR) END AS user_age,
                  CASE WHEN n_nationkey % 10 <> 3 THEN n_name END AS province_name
           FROM visits v LEFT JOIN latest l ON v.user_id = CAST(l.id AS VARCHAR)
           LEFT JOIN ages a ON a.id = l.id
           LEFT JOIN nation ON v.province_id = CAST(n_nationkey AS VARCHAR)""",
-        "stream_order_join": f"""WITH {_ORDERS}
-          SELECT {_wide()}, {_NO_DIMS}
-          FROM detail d JOIN info i ON d.order_id = i.id AND {_WITHIN}""",
+        "stream_order_wide": f"""WITH {_ORDERS}, {_LATEST_USERS}
+          SELECT detail_id, create_date, order_id, user_gender, user_age, province_name, line_ms
+          FROM (
+            SELECT d.id AS detail_id, strftime(i.arrival, '%Y-%m-%d') AS create_date, d.order_id,
+                   l.gender AS user_gender,
+                   CASE WHEN l.id IS NOT NULL THEN a.age END AS user_age,
+                   CASE WHEN n_nationkey % 10 <> 3 THEN n_name END AS province_name,
+                   epoch_ms(d.arrival) AS line_ms,
+                   row_number() OVER (PARTITION BY d.id, strftime(i.arrival, '%Y-%m-%d')
+                                      ORDER BY d.arrival DESC) AS rn
+            FROM detail d JOIN info i ON d.order_id = i.id AND {_WITHIN}
+            LEFT JOIN latest l ON i.user_id = l.id
+            LEFT JOIN ages a ON a.id = l.id
+            LEFT JOIN nation ON i.province_id = n_nationkey)
+          WHERE rn = 1""",
+        "quarantine_change": f"""WITH {_CHANGES}
+          SELECT 'ODS_BASE_DB' AS topic, CAST(id % 3 AS INTEGER) AS partition, off AS "offset",
+                 (epoch(TIMESTAMP '2024-01-01') + id + CASE WHEN off > {SECOND_VERSION} OR tbl = 'user_info' AND off <> id THEN 86400 ELSE 0 END)::BIGINT * 1000 AS sent_ms
+          FROM changes WHERE off % 97 = 0 OR off % 89 = 0""",
+        "quarantine_page": f"""WITH {_PAGES}
+          SELECT ts FROM pages_ WHERE ts % 97 = 0 OR ts % 89 = 0""",
+        "quarantine_order": f"""WITH {_ALL_INFO}, {_DETAIL}
+          SELECT 'DWD_ORDER_INFO_I' AS topic, CAST(id % 3 AS INTEGER) AS partition,
+                 id AS "offset", epoch_ms(arrival) AS sent_ms
+          FROM all_info WHERE id % 97 = 0 OR id % 89 = 0
+          UNION ALL
+          SELECT 'DWD_ORDER_DETAIL_I', CAST(id % 3 AS INTEGER), id, epoch_ms(arrival)
+          FROM detail WHERE id % 97 = 0 OR id % 89 = 0""",
+        "order_wide_bad": f"""WITH {_ALL_INFO}, {_DETAIL}, {_USERS}
+          SELECT d.id AS detail_id, d.order_id, d.sku_id, d.order_price, u.gender AS user_gender,
+                 strftime(i.arrival, '%Y-%m-%d') AS create_date
+          FROM detail d JOIN all_info i ON d.order_id = i.id AND {_WITHIN}
+          LEFT JOIN users u ON i.user_id = u.uid
+          WHERE d.id % 97 <> 0 AND d.id % 89 <> 0 AND i.id % 97 <> 0 AND i.id % 89 <> 0""",
+        "dau_wide_bad": f"""WITH {_PAGES}, {_USERS}, good AS (
+            SELECT *, {_DT} AS dt, row_number() OVER (PARTITION BY {_DT}, mid ORDER BY ts) AS rn
+            FROM pages_ WHERE last_page_id IS NULL AND ts % 97 <> 0 AND ts % 89 <> 0)
+          SELECT dt, mid, page_id, ts, u.gender AS user_gender
+          FROM good LEFT JOIN users u ON user_id = CAST(u.uid AS VARCHAR) WHERE rn = 1""",
+        "compact_docs": f"WITH {_DAU} SELECT * FROM dau",
+        "compact_dims": _latest_dims(""),
         "upsert_dim": _latest_dims(""),
         "upsert_dim_remove": _latest_dims("AND id % 10 <> 0"),
         "with_user_dim": f"""WITH {_PAGES}, {_USERS}
@@ -302,12 +342,12 @@ def oracle_sql() -> dict[str, str]:
           FROM pages_ LEFT JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR)""",
         "age_years": f"""SELECT CAST(c_custkey AS VARCHAR) AS id,
             strftime({_BIRTHDAY}, '%Y-%m-%d') AS birthday, {_AGE} AS age
-          FROM customer WHERE c_custkey % 11 <> 3""",
+          FROM customer""",
         "time_parts": f"WITH {_PAGES} SELECT mid, ts, {_DT} AS dt, {_HR} AS hr FROM pages_",
-        "create_parts": f"""WITH {_INFO}
+        "create_parts": f"""WITH {_ALL_INFO}
           SELECT id, create_time, strftime(arrival, '%Y-%m-%d') AS create_date,
                  strftime(arrival, '%H') AS create_hour
-          FROM info""",
+          FROM all_info""",
         "parse_page_log": f"WITH {_PAGES} SELECT * FROM pages_",
         "first_pages": f"WITH {_PAGES} SELECT * FROM pages_ WHERE last_page_id IS NULL",
         "daily_first_visit": f"WITH {_FIRST} SELECT * FROM visits",
@@ -326,15 +366,16 @@ def oracle_sql() -> dict[str, str]:
                                      THEN {_DT} || ' ' || mid END) AS first_visits
           FROM pages_""",
         "partition_counts": f"""WITH {_FIRST}
-          SELECT CAST(count(*) AS BIGINT) AS rows FROM visits""",
-        "parse_order_info": f"""WITH {_INFO}
+          SELECT 'before' AS stage, CAST(count(*) AS BIGINT) AS rows FROM pages_
+          UNION ALL SELECT 'after', CAST(count(*) AS BIGINT) FROM visits""",
+        "parse_order_info": f"""WITH {_ALL_INFO}
           SELECT * REPLACE (epoch_ms(arrival) AS arrival),
                  CAST(NULL AS VARCHAR) AS expire_time,
                  CAST(NULL AS VARCHAR) AS refundable_time,
                  CAST(NULL AS VARCHAR) AS operate_time,
                  CAST(NULL AS VARCHAR) AS create_date,
                  CAST(NULL AS VARCHAR) AS create_hour, {_NO_DIMS}
-          FROM info""",
+          FROM all_info""",
         "parse_order_detail": f"""WITH {_DETAIL}
           SELECT {_DETAIL_COLUMNS}, epoch_ms(arrival) AS arrival FROM detail""",
         "order_batch_join": f"""WITH {_ORDERS}
@@ -373,7 +414,7 @@ def oracle_sql() -> dict[str, str]:
               shipped DESC, sku_id DESC, supplier DESC, order_price DESC) AS rn
             FROM detail) WHERE rn = 1""",
         "starting_offsets": f"""SELECT '{{"ODS_BASE_LOG":{{'
-            || string_agg('"' || part || '":' || hi, ',' ORDER BY part) || '}}}}'
+            || string_agg('"' || part || '":' || hi, ',' ORDER BY part) || ',"3":-1}}}}'
             AS starting_offsets
           FROM ({_OFFSETS})""",
         "batch_offsets": f"""SELECT 'ODS_BASE_LOG' AS topic, part AS partition,

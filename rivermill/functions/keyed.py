@@ -37,20 +37,12 @@ def every_salt(df: DataFrame, n: int, name: str = "salt") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
-# Keys sent to every executor at most; about 50 MB of short ids.
-MAX_SENT_KEYS = 500_000
-
-
 def at_hand(stored: DataFrame, keys: DataFrame) -> DataFrame:
     """Stored rows whose key is among `keys`, whose columns are the key's, all distinct.
 
-    A micro-batch's keys are few beside the stored rows: counted up to a limit, they are
-    broadcast below it, so that the stored rows are filtered where they are read. Above
-    it the join decides by itself.
+    A micro-batch's kept keys have a known size, so the planner broadcasts them while
+    they are few and then skips the partitions of the stored rows that hold none.
     """
-    few = keys.limit(MAX_SENT_KEYS + 1).count() <= MAX_SENT_KEYS
     side = keys.select(*[F.col(c).alias(f"wanted_{c}") for c in keys.columns])
-    on = F.lit(True)
-    for c in keys.columns:
-        on = on & F.col(c).eqNullSafe(F.col(f"wanted_{c}"))
-    return stored.join(F.broadcast(side) if few else side, on, "left_semi")
+    on = [F.col(c) == F.col(f"wanted_{c}") for c in keys.columns]
+    return stored.join(side, on, "left_semi")

@@ -36,12 +36,23 @@ def quarantine(msgs: DataFrame) -> DataFrame:
     return bad.select(*msgs.columns)
 
 
+_CHANGE_KEYS = "type IS NOT NULL AND table IS NOT NULL"
+
+
 def parse_change(msgs: DataFrame) -> DataFrame:
-    """Envelope columns plus type, table and data (the row's JSON text)."""
-    return _fields(msgs, S.CHANGE, *msgs.columns)
+    """Envelope columns plus type, table and data (the row's JSON text) of usable changes."""
+    return _fields(msgs, S.CHANGE, *msgs.columns).filter(_CHANGE_KEYS)
+
+
+def quarantine_change(msgs: DataFrame) -> DataFrame:
+    """Messages that name no table or no change type, or are not JSON."""
+    bad = _fields(msgs, S.CHANGE, *msgs.columns).filter(f"NOT ({_CHANGE_KEYS})")
+    return bad.select(*msgs.columns)
 
 
-def _typed_row(msgs: DataFrame, schema: T.StructType, zero: bool, *keep: str) -> DataFrame:
+def _typed_row(
+    msgs: DataFrame, schema: T.StructType, zero: bool, *keep: str, needs: tuple[str, ...]
+) -> DataFrame:
     def cell(field):
         if not isinstance(field.dataType, _NUMERIC):
             return F.col(field.name)
@@ -50,28 +61,67 @@ def _typed_row(msgs: DataFrame, schema: T.StructType, zero: bool, *keep: str) ->
             value = F.coalesce(value, F.lit(0).cast(field.dataType))
         return value.alias(field.name)
 
-    text = _fields(msgs, _as_text(schema), *keep)
+    text = _fields(msgs, _as_text(schema), *keep).filter(_usable(schema, needs))
     return text.select(*keep, *[cell(f) for f in schema])
 
 
+def _usable(schema: T.StructType, needs: tuple[str, ...]) -> Column:
+    """Whether a record parsed and holds its keys, in their types."""
+    found = F.lit(True)
+    for name in needs:
+        kind = schema[name].dataType
+        value = number(name, kind.simpleString()) if isinstance(kind, _NUMERIC) else F.col(name)
+        found = found & value.isNotNull()
+    return found
+
+
+def _unusable(msgs: DataFrame, schema: T.StructType, needs: tuple[str, ...]) -> DataFrame:
+    text = msgs.select(
+        F.struct(*msgs.columns).alias("msg"),
+        F.inline(F.array(F.from_json("value", _as_text(schema)))),
+    )
+    return text.filter(~_usable(schema, needs)).select("msg.*")
+
+
+# Without these a page has no visit, a header no order and a line no place.
+PAGE_KEYS, INFO_KEYS, DETAIL_KEYS = ("mid", "ts"), ("id",), ("id", "order_id")
+
+
 def parse_page_log(msgs: DataFrame) -> DataFrame:
-    return _typed_row(msgs, S.PAGE_LOG, False)
+    """PAGE_LOG rows of the messages that hold a device and a time."""
+    return _typed_row(msgs, S.PAGE_LOG, False, needs=PAGE_KEYS)
+
 
+def quarantine_page(msgs: DataFrame) -> DataFrame:
+    """The other messages, unchanged."""
+    return _unusable(msgs, S.PAGE_LOG, PAGE_KEYS)
 
-def _order_row(msgs: DataFrame, schema: T.StructType) -> DataFrame:
+
+def _order_row(
+    msgs: DataFrame, schema: T.StructType, needs: tuple[str, ...], keep: tuple[str, ...]
+) -> DataFrame:
     # Order rows default a missing number to 0; their clock is the message timestamp.
     timed = msgs.withColumn("arrival", F.col("timestamp"))
-    return _typed_row(timed, schema, True, "arrival").select(*schema.names, "arrival")
+    rows = _typed_row(timed, schema, True, "arrival", *keep, needs=needs)
+    return rows.select(*schema.names, "arrival", *keep)
 
 
 def parse_order_info(msgs: DataFrame) -> DataFrame:
-    """ORDER_INFO columns plus `arrival`."""
-    return _order_row(msgs, S.ORDER_INFO)
+    """ORDER_INFO columns plus `arrival` of the messages that hold an id."""
+    return _order_row(msgs, S.ORDER_INFO, INFO_KEYS, ())
+
+
+def parse_order_detail(msgs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """ORDER_DETAIL columns plus `arrival` (and `keep` of the envelope) of the messages
+    that hold an id and an order's id."""
+    return _order_row(msgs, S.ORDER_DETAIL, DETAIL_KEYS, keep)
 
 
-def parse_order_detail(msgs: DataFrame) -> DataFrame:
-    """ORDER_DETAIL columns plus `arrival`."""
-    return _order_row(msgs, S.ORDER_DETAIL)
+def quarantine_order(msgs: DataFrame, kind: str) -> DataFrame:
+    """The other messages of kind 'info' or 'detail', unchanged."""
+    if kind == "info":
+        return _unusable(msgs, S.ORDER_INFO, INFO_KEYS)
+    return _unusable(msgs, S.ORDER_DETAIL, DETAIL_KEYS)
 
 
 def parse_dim(dims: DataFrame, table: str, schema: T.StructType) -> DataFrame:

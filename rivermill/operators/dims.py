@@ -88,7 +88,8 @@ def with_province_dim(
     key: str = "province_id",
     names: str = "dau",
     on_missing: str = "null",
+    salt: int = 1,
 ) -> DataFrame:
     """Add the province's name and codes under the wide table's column names."""
     added = {name: F.col(attr) for attr, name in PROVINCE_NAMES[names].items()}
-    return _lookup(df, provinces, key, added, on_missing, salt=1)
+    return _lookup(df, provinces, key, added, on_missing, salt)

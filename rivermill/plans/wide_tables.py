@@ -19,7 +19,9 @@ def dau_dims(
     """First visits -> DAU_INFO."""
     rows = copy_matching(visits, S.DAU_INFO)
     rows = dims.with_user_dim(rows, users, as_of=as_of, on_missing=on_missing, salt=salt)
-    rows = dims.with_province_dim(rows, provinces, names="dau", on_missing=on_missing)
+    rows = dims.with_province_dim(
+        rows, provinces, names="dau", on_missing=on_missing, salt=salt
+    )
     return time_parts(rows).select(*S.DAU_INFO.names)
 
 
@@ -48,7 +50,7 @@ def order_dims(
         rows, users, as_of=as_of, on_missing=on_missing, age_type="int", salt=salt
     )
     return dims.with_province_dim(
-        filled, provinces, names="order", on_missing=on_missing
+        filled, provinces, names="order", on_missing=on_missing, salt=salt
     ).select(*rows.columns)
 
 

@@ -13,6 +13,8 @@ ERROR_TOPIC = "DWD_ERROR_LOG_TOPIC"
 FACT_TOPIC_PREFIX = "DWD"
 ORDER_INFO_TOPIC = "DWD_ORDER_INFO_I"
 ORDER_DETAIL_TOPIC = "DWD_ORDER_DETAIL_I"
+# Where messages go that cannot be used.
+BAD_TOPIC = "DWD_BAD_RECORD"
 USER_TABLE = "user_info"
 PROVINCE_TABLE = "base_province"
 OP_CODES = {
@@ -26,6 +28,7 @@ OP_CODES = {
 STR, LONG, INT, DBL = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
 
 
+# The row types below, field by field.
 def _row(spec: str) -> T.StructType:
     """'name:type' pairs; a bare name is a string."""
     kinds = {"": STR, "long": LONG, "int": INT, "double": DBL}
@@ -117,4 +120,14 @@ USER_INFO = _row("id gender birthday")
 BASE_PROVINCE = _row("id name iso_code iso_3166_2 area_code")
 
 TABLE_LIST = _row("kind table")
+# When and where an order line arrived; the last one to arrive counts.
+LINE_PLACE = ["arrival", "partition", "offset"]
+ORDER_DOC = T.StructType(
+    [
+        *ORDER_WIDE.fields,
+        T.StructField("line_arrival", T.TimestampType()),
+        T.StructField("line_partition", T.IntegerType()),
+        T.StructField("line_offset", T.LongType()),
+    ]
+)
 LEDGER = _row("topic group_id partition:int offset:long batch_id:long")

@@ -18,6 +18,18 @@ SETTINGS = {
 }
 
 
+# Without these a job gives other days or loses rows; the others are for size.
+REQUIRED = ("spark.sql.session.timeZone", "spark.sql.streaming.multipleWatermarkPolicy")
+
+
+def check(spark: SparkSession) -> None:
+    """Fail where a session would cut other days or forget rows too early."""
+    for key in REQUIRED:
+        found = spark.conf.get(key, None)
+        if found != SETTINGS[key]:
+            raise ValueError(f"{key} must be {SETTINGS[key]!r}, not {found!r}")
+
+
 def builder(app: str) -> SparkSession.Builder:
     made = SparkSession.builder.appName(app)
     for name, value in SETTINGS.items():

@@ -36,28 +36,52 @@ def read_topic_files(
     return reader.parquet(path)
 
 
-def starting_offsets(ledger: DataFrame, topic: str, group: str) -> DataFrame:
+# Fixed values of the topic source: the newest and the oldest offset of a partition.
+NEWEST, OLDEST = -1, -2
+
+
+def starting_offsets(
+    ledger: DataFrame,
+    topic: str,
+    group: str,
+    partitions: list[int] | None = None,
+    unknown: int = NEWEST,
+) -> DataFrame:
     """One row with `starting_offsets`, the JSON a topic read starts from.
 
     The newest ledger row of each partition counts. No row comes out when the ledger
-    has none for the topic and group. Partitions of a topic are few, rows are not:
-    the first aggregate folds them before anything is gathered.
+    has none for the topic and group. A topic read needs every partition named: those of
+    `partitions` that the ledger does not know start at `unknown`. Partitions of a
+    topic are few, rows are not: the first aggregate folds them before anything is gathered.
     """
     mine = ledger.filter((F.col("topic") == topic) & (F.col("group_id") == group))
     newest = mine.groupBy("topic", "partition").agg(
         F.max(F.struct("batch_id", "offset"))["offset"].alias("offset")
     )
+    known = newest.withColumn("known", F.lit(True))
+    if partitions:
+        named = ledger.sparkSession.createDataFrame([(topic, p) for p in partitions], "topic string, partition int")
+        named = named.withColumns({"offset": F.lit(unknown).cast("bigint"), "known": F.lit(False)})
+        both = known.unionByName(named).groupBy("topic", "partition")
+        known = both.agg(F.max(F.struct("known", "offset")).alias("last")).select("topic", "partition", "last.*")
     entries = F.array_sort(F.collect_list(F.struct(F.col("partition").cast("string"), "offset")))
     return (
-        newest.groupBy("topic")
-        .agg(F.map_from_entries(entries).alias("offsets"))
+        known.groupBy("topic")
+        .agg(F.map_from_entries(entries).alias("offsets"), F.max("known").alias("any"))
+        .filter("any")
         .select(F.to_json(F.create_map("topic", "offsets")).alias("starting_offsets"))
     )
 
 
-def resume_point(ledger: DataFrame, topic: str, group: str) -> str | None:
+def resume_point(
+    ledger: DataFrame,
+    topic: str,
+    group: str,
+    partitions: list[int] | None = None,
+    unknown: int = NEWEST,
+) -> str | None:
     """The JSON of `starting_offsets` as text, or None to start from the default."""
-    found = starting_offsets(ledger, topic, group).head()
+    found = starting_offsets(ledger, topic, group, partitions, unknown).head()
     return found.starting_offsets if found else None
 
 

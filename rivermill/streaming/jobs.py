@@ -3,10 +3,12 @@
 Each returns a started query; the caller waits for it. The default trigger is a
 micro-batch every five seconds, tests pass `availableNow=True`. Output comes before the
 checkpoint's commit and is keyed by batch or document id, so a replay repeats nothing.
+Messages that cannot be used go, as they came, to the topic S.BAD_TOPIC.
 """
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rivermill import schemas as S
@@ -17,48 +19,44 @@ from rivermill.functions.parse import (
     parse_order_detail,
     parse_order_info,
     parse_page_log,
+    quarantine_change,
+    quarantine_order,
+    quarantine_page,
 )
 from rivermill.functions.scalars import create_parts
 from rivermill.operators import dau, orders
 from rivermill.operators.changes import map_op, route_dims, route_facts
 from rivermill.operators.logs import fan_out
 from rivermill.plans.wide_tables import dau_dims, order_dims
+from rivermill.session import check
 from rivermill.sinks.docs import write_dims, write_docs
-from rivermill.sinks.topics import (
-    append_ledger,
-    ledger_base,
-    offset_ledger,
-    topic_stream,
-    write_topic,
-)
-from rivermill.sources.tables import (
-    first_batch,
-    read_docs,
-    read_provinces,
-    read_table_list,
-    read_users,
-)
+from rivermill.sinks.topics import append_ledger, ledger_base, offset_ledger, write_topic
+from rivermill.sources.stores import first_batch, read_or_empty
+from rivermill.sources.tables import read_docs, read_provinces, read_table_list, read_users
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 DAU_KEYS = ["dt", "mid"]
 ORDER_KEYS = ["create_date", "detail_id"]
-# Days of a micro-batch that are still written out as a partition filter.
-MAX_DAYS = 1000
-# More than any stateful step has partitions.
-ANY_NUMBER = 1_000_000
+# What orders two stored rows of one order line: the arrival of the line's message.
+ORDER_LAST = tuple(f"line_{c}" for c in S.LINE_PLACE)
+_BAD = "bad_message"
 
 
 def run_log_split(
     msgs: DataFrame,
     target: dict[str, str],
     checkpoint: str,
-    bad_topic: str | None = None,
+    bad_topic: str = S.BAD_TOPIC,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
-    """Raw behaviour logs -> the five detail topics, one pass, no shuffle."""
-    out = fan_out(parse_log(msgs), bad_topic)
-    return _started(topic_stream(out, target, checkpoint), name, trigger)
+    """Raw behaviour logs -> the five detail topics and the bad one, one pass, no shuffle."""
+    first = first_batch(msgs.sparkSession, checkpoint, *_folder(target))
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        write_topic(fan_out(parse_log(batch), bad_topic), target, first + batch_id)
+
+    return _each_batch(msgs, split, checkpoint, name, trigger)
 
 
 def run_change_split(
@@ -69,60 +67,53 @@ def run_change_split(
     checkpoint: str,
     ledger_path: str | None = None,
     group: str = "change_split",
+    bad_topic: str = S.BAD_TOPIC,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Database changes -> fact topics and the dimension store.
 
     The table lists are read anew for every micro-batch, so routing changes without a
-    restart. The parsed batch is kept for its two or three uses.
+    restart. The batch is kept for its uses.
     """
-
-    stores = [dims_path, *[target[p] for p in ("path",) if p in target]]
-    first = first_batch(msgs.sparkSession, checkpoint, *stores)
-    base = ledger_base(msgs.sparkSession, ledger_path, group) if ledger_path else 0
+    spark = msgs.sparkSession
+    first = first_batch(spark, checkpoint, dims_path, *_folder(target))
+    base = first_batch(spark, f"{checkpoint}/ledger", ledger_path) if ledger_path else 0
 
     def split(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = parse_change(batch).drop("key", "value").persist()
-        changes = map_op(parsed)
-        facts = read_table_list(spark, lists_path, "fact")
-        dims = read_table_list(spark, lists_path, "dim")
-        write_topic(route_facts(changes, facts), target, first + batch_id)
-        write_dims(route_dims(changes, dims), dims_path, first + batch_id)
-        if ledger_path:
-            append_ledger(offset_ledger(parsed, group, base + batch_id), ledger_path)
-        parsed.unpersist()
+        rows = batch.persist()
+        try:
+            changes = map_op(parse_change(rows))
+            facts = read_table_list(spark, lists_path, "fact")
+            dims = read_table_list(spark, lists_path, "dim")
+            sent = route_facts(changes, facts).unionByName(_bad_messages(quarantine_change(rows), bad_topic))
+            write_topic(sent, target, first + batch_id)
+            write_dims(route_dims(changes, dims), dims_path, first + batch_id)
+            if ledger_path:
+                append_ledger(offset_ledger(rows, group, base + batch_id), ledger_path, base + batch_id)
+        finally:
+            rows.unpersist()
 
     return _each_batch(msgs, split, checkpoint, name, trigger)
 
 
+PINNED = T.StructType([T.StructField("path", T.StringType())])
+
+
 def pin_seen(spark: SparkSession, sink_path: str, pinned_path: str) -> DataFrame:
     """(dt, mid) of the visits stored so far, written once.
 
-    A restart finds the finished snapshot and uses it again, so that a replayed batch is
-    never compared with its own output.
+    A restart finds the finished snapshot by its marker row, which is written last, and
+    uses it again, so that a replayed batch is never compared with its own output.
     """
-    try:
-        spark.read.text(f"{pinned_path}/_SUCCESS")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    where = f"{pinned_path}/visits"
+    if read_or_empty(spark, f"{pinned_path}/marker", PINNED).head() is None:
         stored = read_docs(spark, sink_path, S.DAU_INFO, DAU_KEYS, columns=DAU_KEYS)
-        stored.write.mode("overwrite").partitionBy("dt").parquet(pinned_path)
-    return spark.read.schema("mid string, dt string").parquet(pinned_path)
-
-
-def _seen_by(batch: DataFrame, seen: DataFrame) -> DataFrame:
-    """The part of the snapshot a micro-batch can meet: its days' files, its devices.
-
-    Once the stream has moved past the snapshot's days nothing is read any more.
-    """
-    days = batch.select("dt").distinct().limit(MAX_DAYS + 1).collect()
-    if len(days) <= MAX_DAYS:
-        known = [r.dt for r in days if r.dt is not None]
-        seen = seen.filter(F.col("dt").isin(known) | F.col("dt").isNull())
-    return at_hand(seen, batch.select(*DAU_KEYS))
+        stored.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(where)
+        marker = spark.createDataFrame([(where,)], PINNED)
+        marker.write.mode("overwrite").parquet(f"{pinned_path}/marker")
+    return spark.read.schema("mid string, dt string").parquet(where)
 
 
 def _needed_users(rows: DataFrame, dims_path: str) -> DataFrame:
@@ -139,28 +130,32 @@ def run_dau(
     seen_path: str | None = None,
     as_of: Column | None = None,
     on_missing: str = "null",
-    bounded: bool = True,
+    bounded: bool = False,
     lateness: str = "1 day",
     salt: int = 8,
+    bad: dict[str, str] | None = None,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Page log -> first visit per device and day -> DAU_INFO documents.
 
     Dimensions are read as they stand when the micro-batch is written. `seen_path`, for
-    a fresh checkpoint over a sink that already has rows, holds the pinned snapshot.
+    a fresh checkpoint over a sink that already has rows, holds the pinned snapshot. By
+    default devices are remembered for ever and no row is too late; `bounded` forgets
+    them after `lateness` and drops later rows. Unusable messages go to `bad`, by
+    default message files beside the sink.
     """
+    spark = msgs.sparkSession
+    bad = bad or {"path": f"{sink_path}_bad"}
     pages = dau.observe_pages(parse_page_log(msgs))
     visits = dau.observe_visits(
         dau.daily_first_visit(dau.first_pages(pages), bounded, lateness, salt)
     )
-    seen = pin_seen(msgs.sparkSession, sink_path, seen_path) if seen_path else None
-    first = first_batch(msgs.sparkSession, checkpoint, sink_path)
+    seen = pin_seen(spark, sink_path, seen_path) if seen_path else None
+    first = first_batch(spark, checkpoint, sink_path, *_folder(bad))
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        # Kept, because running the batch again would run its stateful steps again.
-        rows = batch.persist()
-        new = rows if seen is None else dau.rebuild_seen(rows, _seen_by(rows, seen))
+    def store(rows: DataFrame, batch_id: int) -> None:
+        new = rows if seen is None else dau.rebuild_seen(rows, at_hand(seen, rows.select(*DAU_KEYS)))
         wide = dau_dims(
             new,
             _needed_users(rows, dims_path),
@@ -169,12 +164,10 @@ def run_dau(
             on_missing,
             salt,
         )
-        write_docs(
-            wide, sink_path, DAU_KEYS, ["ts"], first + batch_id, day="dt", unique=True
-        )
-        rows.unpersist()
+        write_docs(wide, sink_path, DAU_KEYS, ["ts"], batch_id, day="dt", unique=True)
 
-    return _each_batch(_unplaced(visits), store, checkpoint, name, trigger)
+    both = _with_bad(visits, quarantine_page(msgs))
+    return _each_batch(both, _apart(store, bad, first), checkpoint, name, trigger)
 
 
 def run_order_wide(
@@ -187,22 +180,27 @@ def run_order_wide(
     as_of: Column | None = None,
     on_missing: str = "null",
     salt: int = 8,
+    lateness: str | None = None,
+    bad: dict[str, str] | None = None,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Order headers and lines, in whichever order they arrive -> ORDER_WIDE documents.
 
-    Dimensions are added after the join, so the day of join state holds narrow headers
-    and a restart is not needed to see new dimension rows.
+    Dimensions are added after the join, so the join state holds narrow headers and a
+    restart is not needed to see new dimension rows. Of several rows of an order line the
+    one whose message arrived last counts. State is kept for `retention` and `lateness`
+    (by default the same again): a row further behind the newest message is dropped.
     """
+    spark = info_msgs.sparkSession
+    bad = bad or {"path": f"{sink_path}_bad"}
     headers = create_parts(parse_order_info(info_msgs))
-    lines = parse_order_detail(detail_msgs)
-    joined = orders.order_wide_join(headers, lines, retention, salt)
-    first = first_batch(info_msgs.sparkSession, checkpoint, sink_path)
+    lines = parse_order_detail(detail_msgs, tuple(S.LINE_PLACE[1:]))
+    joined = orders.order_wide_join(headers, lines, retention, salt, lateness)
+    first = first_batch(spark, checkpoint, sink_path, *_folder(bad))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Kept, because running the batch again would run its stateful steps again.
-        rows = orders.merge_order_wide(batch).persist()
+        rows = orders.merge_order_wide(batch, place=True)
         wide = order_dims(
             rows,
             _needed_users(rows, dims_path),
@@ -211,34 +209,47 @@ def run_order_wide(
             on_missing,
             salt,
         )
-        write_docs(
-            wide,
-            sink_path,
-            ORDER_KEYS,
-            ["create_time"],
-            first + batch_id,
-            day="create_date",
-        )
-        rows.unpersist()
+        write_docs(wide, sink_path, ORDER_KEYS, list(ORDER_LAST), batch_id, day="create_date")
 
-    return _each_batch(_unplaced(joined), store, checkpoint, name, trigger)
+    unusable = quarantine_order(info_msgs, "info").unionByName(quarantine_order(detail_msgs, "detail"))
+    both = _with_bad(joined, unusable)
+    return _each_batch(both, _apart(store, bad, first), checkpoint, name, trigger)
 
 
-def _unplaced(df: DataFrame) -> DataFrame:
-    """The same partitions, no longer said to be hashed by the stateful step's key.
+def _folder(target: dict[str, str]) -> list[str]:
+    return [target["path"]] if "path" in target else []
 
-    Spark does not find a kept micro-batch again where a plan uses it twice if it states
-    a hash partitioning, and would run the stateful tasks a second time.
-    """
-    return df.coalesce(ANY_NUMBER)
 
+def _bad_messages(msgs: DataFrame, topic: str = S.BAD_TOPIC) -> DataFrame:
+    return msgs.select(F.lit(topic).alias("topic"), F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
-def _each_batch(df, store, checkpoint, name, trigger):
-    writer = df.writeStream.option("checkpointLocation", checkpoint)
-    return _started(writer.foreachBatch(store), name, trigger)
 
+def _with_bad(rows: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows of the job and, in the same micro-batches, the messages it cannot use."""
+    message = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.MESSAGE])
+    marked = rows.withColumn(_BAD, F.lit(None).cast(S.MESSAGE))
+    return marked.unionByName(bad.select(message.alias(_BAD)), allowMissingColumns=True)
 
-def _started(writer, name, trigger):
+
+def _apart(store: Callable, bad: dict[str, str], first: int) -> Callable:
+    """Store the rows of a micro-batch, and send the unusable messages to `bad`."""
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        # Kept, because running the batch again would run its stateful steps again.
+        kept = batch.persist()
+        try:
+            store(kept.filter(F.col(_BAD).isNull()).drop(_BAD), first + batch_id)
+            messages = kept.filter(F.col(_BAD).isNotNull()).select(f"{_BAD}.*")
+            write_topic(_bad_messages(messages), bad, first + batch_id)
+        finally:
+            kept.unpersist()
+
+    return both
+
+
+def _each_batch(df, store, checkpoint, name, trigger):
+    check(df.sparkSession)
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**trigger).start()

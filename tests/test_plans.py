@@ -180,3 +180,17 @@ def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, sf, conf):
 def test_wide_rows_have_their_types(spark, sf):
     assert C.q_order_wide(spark, sf).schema.simpleString() == S.ORDER_WIDE.simpleString()
     assert C.q_dau_wide(spark, sf).schema.simpleString() == S.DAU_INFO.simpleString()
+
+
+def test_a_hot_province_is_salted(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="32")
+    provinces = spark.range(50).select(
+        F.col("id").cast("string"), *[F.lit("x").alias(c) for c in dims.PROVINCE_NAMES["dau"]]
+    )
+    rows_ = hot_lines(spark).withColumn("province_id", F.lit("7"))
+    for salt, most in ((1, 30_000), (8, 12_000)):
+        joined = dims.with_province_dim(rows_, provinces, salt=salt)
+        text = physical(joined)
+        assert ("row_salt" in text) == (salt > 1)
+        sizes = dau.partition_counts(joined).agg(F.max("rows")).head()[0]
+        assert sizes <= most

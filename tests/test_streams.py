@@ -9,10 +9,23 @@ import catalog as C
 import fixtures as X
 from rivermill import schemas as S
 from rivermill.functions import parse
+from rivermill.functions.keyed import last_by_key
+from rivermill.functions.scalars import create_parts
 from rivermill.operators import changes, dau, logs
-from rivermill.plans.wide_tables import dau_wide, order_wide
+from rivermill.operators.orders import merge_order_wide, order_wide_join
+from rivermill.plans.wide_tables import dau_wide, order_dims
 from rivermill.sinks.docs import write_dims, write_docs
-from rivermill.sources.tables import read_dims, read_docs, read_provinces, read_users
+from rivermill.sinks.topics import read_ledger, write_topic
+from rivermill.sources.stores import snapshot
+from rivermill.sources.tables import (
+    compact_dims,
+    compact_docs,
+    compact_ledger,
+    read_dims,
+    read_docs,
+    read_provinces,
+    read_users,
+)
 from rivermill.sources.topics import read_topic_files, resume_point
 from rivermill.streaming import jobs
 
@@ -47,13 +60,8 @@ def page_messages(spark, sf):
     )
 
 
-def some_orders(spark, sf):
-    """Messages of two months: the stream writes one folder per day."""
-    window = (F.col("timestamp") >= "1995-03-01") & (F.col("timestamp") < "1995-05-01")
-    return (
-        X.order_info_messages(spark, sf).filter(window),
-        X.order_detail_messages(spark, sf).filter(window),
-    )
+def order_messages(spark, sf):
+    return X.order_info_messages(spark, sf), X.order_detail_messages(spark, sf)
 
 
 def run_dau(spark, tmp, dims_path, **options):
@@ -140,9 +148,11 @@ def test_change_split_follows_the_lists_and_keeps_a_ledger(spark, sf, tmp_path):
     )
     tops = msgs.groupBy("partition").agg((F.max("offset") + 1).alias("o")).collect()
     wanted = ",".join(f'"{r.partition}":{r.o}' for r in sorted(tops))
-    point = resume_point(spark.read.parquet(ledger), S.CHANGE_TOPIC, "g")
+    point = resume_point(read_ledger(spark, ledger), S.CHANGE_TOPIC, "g")
     assert point == '{"ODS_BASE_DB":{' + wanted + "}}"
-    assert resume_point(spark.read.parquet(ledger), S.CHANGE_TOPIC, "other") is None
+    assert resume_point(read_ledger(spark, ledger), S.CHANGE_TOPIC, "other") is None
+    compact_ledger(spark, ledger, delete=True)
+    assert resume_point(read_ledger(spark, ledger), S.CHANGE_TOPIC, "g") == point
 
 
 @pytest.mark.parametrize("salt, bounded", [(1, True), (8, True), (8, False)])
@@ -187,7 +197,7 @@ def test_fresh_checkpoint_emits_nothing_twice(spark, sf, tmp_path, dims_path):
         C.visits(spark, sf), "dt", "mid"
     )
     assert spark.read.parquet(f"{tmp_path}/dau").count() == len(after)
-    assert spark.read.parquet(f"{tmp_path}/seen").count() == len(before)
+    assert spark.read.parquet(f"{tmp_path}/seen/visits").count() == len(before)
 
 
 def test_fresh_checkpoint_replaces_no_stored_batch(spark, sf, tmp_path, dims_path):
@@ -250,35 +260,33 @@ def order_job(spark, tmp, dims_path, **options):
     )
 
 
-def wanted_orders(spark, info, detail, dims_path):
-    wide = order_wide(
-        parse.parse_order_info(info),
-        parse.parse_order_detail(detail),
-        read_users(spark, dims_path),
-        read_provinces(spark, dims_path),
-        as_of(),
-    )
-
-    return wide
-
-
 def stored_orders(spark, tmp):
-    return read_docs(spark, f"{tmp}/wide", S.ORDER_WIDE, jobs.ORDER_KEYS)
+    docs = read_docs(
+        spark, f"{tmp}/wide", S.ORDER_DOC, jobs.ORDER_KEYS, order_by=jobs.ORDER_LAST
+    )
+    return docs
 
 
-def same_documents(stored, wide):
-    """One stored row per key, and each is one of the joined rows."""
-    assert rows(stored, *jobs.ORDER_KEYS) == rows(wide.select(*jobs.ORDER_KEYS).distinct())
-    assert set(rows(stored)) <= set(rows(wide))
+def same_documents(stored, info, detail, dims_path):
+    """One stored row per key: that of the line whose message arrived last."""
+    spark = stored.sparkSession
+    headers = create_parts(parse.parse_order_info(info))
+    lines = parse.parse_order_detail(detail, ("partition", "offset"))
+    wide = merge_order_wide(order_wide_join(headers, lines), place=True)
+    wide = order_dims(
+        wide, read_users(spark, dims_path), read_provinces(spark, dims_path), as_of()
+    )
+    last = last_by_key(wide, jobs.ORDER_KEYS, list(jobs.ORDER_LAST))
+    assert rows(stored, *S.ORDER_DOC.names) == rows(last, *S.ORDER_DOC.names)
 
 
 @pytest.mark.parametrize("salt", [1, 8])
 def test_order_stream_equals_batch(spark, sf, tmp_path, dims_path, salt):
-    info, detail = some_orders(spark, sf)
+    info, detail = order_messages(spark, sf)
     write_slices(info, f"{tmp_path}/info", 3)
     write_slices(detail, f"{tmp_path}/detail", 3)
     query = order_job(spark, tmp_path, dims_path, salt=salt)
-    same_documents(stored_orders(spark, tmp_path), wanted_orders(spark, info, detail, dims_path))
+    same_documents(stored_orders(spark, tmp_path), info, detail, dims_path)
     dropped = [
         o["numRowsDroppedByWatermark"]
         for p in query.recentProgress
@@ -334,8 +342,81 @@ def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
     write_docs(docs.filter(~part), path, keys, ["ts"], 1)
     assert rows(read_docs(spark, path, row, keys)) == once == rows(docs)
     newer = docs.withColumn("page_id", F.lit("new"))
-    write_docs(newer.filter(part), path, keys, ["ts"], 2, many_days=True)
+    write_docs(newer.filter(part), path, keys, ["ts"], 2)
     got = read_docs(spark, path, row, keys)
     assert rows(got) == rows(newer.filter(part).unionByName(docs.filter(~part)))
     assert read_docs(spark, path, row, keys, day="1999-01-01").count() == 0
     assert read_docs(spark, f"{path}_absent", row, keys).count() == 0
+
+
+def test_two_checkpoints_write_one_folder(spark, sf, tmp_path):
+    raw = X.raw_log(spark, sf)
+    for name, part in (("a", "offset < 400"), ("b", "offset >= 400")):
+        append_file(raw.filter(part), f"{tmp_path}/{name}/log")
+        finish(
+            jobs.run_log_split(
+                read_topic_files(spark, f"{tmp_path}/{name}/log"),
+                {"path": f"{tmp_path}/topics"},
+                f"{tmp_path}/{name}/ck",
+                trigger=NOW,
+            )
+        )
+    got = spark.read.parquet(f"{tmp_path}/topics").select("topic", "key", "value")
+    assert rows(got) == rows(logs.fan_out(parse.parse_log(raw), S.BAD_TOPIC))
+
+
+def test_a_replay_after_a_list_change_leaves_nothing_stale(spark, tmp_path):
+    rows_ = lambda *topics: spark.createDataFrame([(t, "v") for t in topics], "topic string, value string")
+    target = {"path": f"{tmp_path}/topics"}
+    write_topic(rows_("A", "B"), target, 7)
+    write_topic(rows_("C"), target, 8)
+    write_topic(rows_("A"), target, 7)
+    assert rows(spark.read.parquet(target["path"]), "topic") == [("A",), ("C",)]
+
+
+def test_unusable_messages_are_kept_apart(spark, sf, tmp_path, dims_path):
+    pages = X.with_bad(page_messages(spark, sf), "mid")
+    write_slices(pages, f"{tmp_path}/pages", 2)
+    run_dau(spark, tmp_path, dims_path)
+    stored = stored_dau(spark, tmp_path)
+    assert stored.filter("mid IS NULL OR dt IS NULL").count() == 0
+    good = dau.daily_first_visit(dau.first_pages(parse.parse_page_log(pages)))
+    assert rows(stored, "dt", "mid") == rows(good, "dt", "mid")
+    bad = spark.read.parquet(f"{tmp_path}/dau_bad")
+    assert rows(bad, "value") == rows(parse.quarantine_page(pages), "value")
+    info, detail = (X.with_bad(m, "id") for m in order_messages(spark, sf))
+    few = "timestamp < '1995-04-01'"
+    info, detail = info.filter(few), detail.filter(few)
+    tmp = f"{tmp_path}/orders"
+    write_slices(info, f"{tmp}/info", 2)
+    write_slices(detail, f"{tmp}/detail", 2)
+    order_job(spark, tmp, dims_path)
+    same_documents(stored_orders(spark, tmp), info, detail, dims_path)
+    wanted = parse.quarantine_order(info, "info").unionByName(parse.quarantine_order(detail, "detail"))
+    assert rows(spark.read.parquet(f"{tmp}/wide_bad"), "value") == rows(wanted, "value")
+
+
+def test_folded_stores_read_the_same(spark, sf, tmp_path):
+    path, keys = f"{tmp_path}/docs", ["dt", "mid"]
+    docs = C.visits(spark, sf)
+    for batch in range(5):
+        write_docs(docs.withColumn("page_id", F.lit(f"p{batch}")), path, keys, ["ts"], batch)
+    before = rows(read_docs(spark, path, docs.schema, keys))
+    assert compact_docs(spark, path, docs.schema, keys) == 4
+    newest = snapshot(spark, path)
+    text = read_docs(spark, path, docs.schema, keys)._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id#" in text and "> 4" in text  # folded batches are pruned by their folder
+    assert spark.read.parquet(newest.path).count() == len(before)
+    assert rows(read_docs(spark, path, docs.schema, keys)) == before
+    write_docs(docs.limit(3).withColumn("page_id", F.lit("new")), path, keys, ["ts"], 5)
+    compact_docs(spark, path, docs.schema, keys, delete=True)
+    after = read_docs(spark, path, docs.schema, keys)
+    assert after.count() == len(before) and after.filter("page_id = 'new'").count() == 3
+    assert compact_docs(spark, f"{tmp_path}/none", docs.schema, keys) == -1
+    dims = f"{tmp_path}/dims"
+    routed = C._dim_rows(spark, sf)
+    for batch in range(3):
+        write_dims(routed, dims, batch)
+    wanted = rows(read_dims(spark, dims), "dim_key", "op", "data")
+    compact_dims(spark, dims, delete=True)
+    assert rows(read_dims(spark, dims), "dim_key", "op", "data") == wanted

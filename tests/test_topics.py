@@ -12,7 +12,7 @@ from rivermill.sinks.topics import (
     offset_ledger,
     progress_ledger,
 )
-from rivermill.sources.topics import kafka_options, resume_point, starting_offsets
+from rivermill.sources.topics import OLDEST, kafka_options, resume_point, starting_offsets
 
 
 def test_read_options():
@@ -50,7 +50,7 @@ def test_ledger_newest_row_counts(spark):
 def test_ledger_replay_replaces(spark, sf, tmp_path):
     rows_ = offset_ledger(X.raw_log(spark, sf), "g", 4)
     for _ in range(2):
-        append_ledger(rows_, f"{tmp_path}/ledger")
+        append_ledger(rows_, f"{tmp_path}/ledger", 4)
     stored = spark.read.schema(S.LEDGER).parquet(f"{tmp_path}/ledger")
     assert rows(stored, *S.LEDGER.names) == rows(rows_)
 
@@ -71,10 +71,17 @@ def test_ledger_out_of_progress(spark):
 def test_rows_of_a_fresh_checkpoint_count_as_newest(spark, tmp_path):
     path = f"{tmp_path}/ledger"
     row = lambda offset, batch: spark.createDataFrame([("t", "g", 0, offset, batch)], S.LEDGER)
-    assert ledger_base(spark, path, "g") == 0
-    append_ledger(row(50, 7), path)
-    base = ledger_base(spark, path, "g")
-    append_ledger(row(20, base + 0), path)
-    assert (base, ledger_base(spark, path, "other")) == (8, 0)
+    assert ledger_base(spark, path) == 0
+    append_ledger(row(50, 7), path, 7)
+    base = ledger_base(spark, path)
+    append_ledger(row(20, base), path, base)
+    assert (base, ledger_base(spark, path)) == (8, 9)
     stored = spark.read.schema(S.LEDGER).parquet(path)
     assert resume_point(stored, "t", "g") == '{"t":{"0":20}}'
+
+
+def test_partitions_without_rows_are_named(spark):
+    ledger = spark.createDataFrame([("t", "g", 1, 5, 1), ("t", "g", 1, 6, 2)], S.LEDGER)
+    assert resume_point(ledger, "t", "g", [0, 1, 2]) == '{"t":{"0":-1,"1":6,"2":-1}}'
+    assert resume_point(ledger, "t", "g", [0, 1], OLDEST) == '{"t":{"0":-2,"1":6}}'
+    assert resume_point(ledger, "t", "other", [0, 1]) is None
