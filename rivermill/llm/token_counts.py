@@ -77,7 +77,8 @@ class Pieces:
         place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
         new = [x.decode("utf-8") for x in texts.spans(at[~known], at[~known] + 1)]
-        ids = [e.ids for e in self.tokens.encode_batch_fast(new, add_special_tokens=False)]
+        # Few at a time: encodings are large objects.
+        ids = [e.ids for k in range(0, len(new), 256) for e in self.tokens.encode_batch_fast(new[k : k + 256], add_special_tokens=False)]
         slots = np.empty(len(keys), np.int64)
         slots[known] = self.slots[place[known]]
         slots[~known] = len(self.first) - 1 + np.arange(len(new))

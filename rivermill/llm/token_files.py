@@ -26,7 +26,7 @@ HEAD = np.dtype([("magic", "S8"), ("bytes", "<u8"), ("docs", "<u8"), ("ids", "<u
 #: Ids in a block, about; bits for each entry of the rank directory.
 BLOCK_IDS, RANK_BITS = 1 << 21, 512
 #: Text bytes that go to one file, about.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 48 << 20
 #: Bytes that begin a character other than white space, whatever follows them.
 BEGINS = np.zeros(256, bool)
 BEGINS[33:127] = BEGINS[0xC3:0xE0] = BEGINS[0xE4:0xF5] = True
