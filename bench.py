@@ -26,7 +26,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = (
     "parse_log fan_out route_facts upsert_dim daily_first_visit stage_counts dau_wide "
     "order_batch_join order_wide_join order_wide upsert_docs read_sink_field "
-    "stream_log_split stream_change_facts stream_dau stream_order_join"
+    "stream_log_split stream_change_facts stream_dau stream_order_join stream_order_wide"
 ).split()
 
 

@@ -208,6 +208,9 @@ def _fact_fields(msgs):
         "topic",
         field("$.id").cast("bigint").alias("id"),
         F.coalesce(field("$.order_status"), field("$.sku_name"), field("$.name")).alias("field"),
+        F.coalesce(field("$.total_amount"), field("$.order_price")).cast("double").alias("amount"),
+        field("$.create_time").alias("create_time"),
+        F.size(F.json_object_keys("value")).alias("fields"),
     )
 
 
@@ -503,6 +506,19 @@ def q_stream_dau(spark, d):
     )
 
 
+def q_stream_order_join(spark, d):
+    out = scratch(spark, "joined")
+    headers, lines = _sent(
+        spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d)
+    )
+    headers = create_parts(parse.parse_order_info(headers))
+    lines = parse.parse_order_detail(lines)
+    wide = orders.merge_order_wide(orders.order_wide_join(headers, lines, salt=2))
+    writer = wide.writeStream.option("checkpointLocation", scratch(spark, "ck"))
+    _run(writer.format("parquet").option("path", out).trigger(**ALL_INPUT).start())
+    return spark.read.schema(S.ORDER_WIDE).parquet(out)
+
+
 def _order_docs(spark, d):
     """Documents of the order job over all headers and lines."""
     out, stored = scratch(spark, "orders"), scratch(spark, "dims")
@@ -614,6 +630,7 @@ def _queries() -> dict:
         "stream_change_facts": q_stream_change_facts,
         "stream_change_dims": q_stream_change_dims,
         "stream_dau": q_stream_dau,
+        "stream_order_join": q_stream_order_join,
         "stream_order_wide": q_stream_order_wide,
         "quarantine_change": q_quarantine_change,
         "quarantine_page": q_quarantine_page,

@@ -202,9 +202,15 @@ FAN_OUT = f"""WITH {_EV}
   UNION ALL
   SELECT 'DWD_START_LOG_TOPIC', mid, NULL, open_ad_id, ts FROM ({_STARTS})"""
 
-ROUTE_FACTS = f"""WITH {_CHANGES}
-  SELECT 'DWD_' || upper(tbl) || '_' || {_OP} AS topic, id, field
-  FROM changes WHERE id % 10 <> 3 AND tbl IN ({_listed("fact")})"""
+ROUTE_FACTS = f"""WITH {_CHANGES}, facts AS (
+    SELECT 'order_info' AS tbl, id, order_status AS field, total_amount AS amount, create_time,
+           CAST(11 AS INTEGER) AS fields FROM all_info
+    UNION ALL
+    SELECT 'order_detail', id, sku_name, order_price, create_time, CAST(10 AS INTEGER) FROM detail
+    UNION ALL
+    SELECT 'base_province', n_nationkey, n_name, NULL, NULL, CAST(5 AS INTEGER) FROM nation)
+  SELECT 'DWD_' || upper(tbl) || '_' || {_OP} AS topic, id, field, amount, create_time, fields
+  FROM facts WHERE id % 10 <> 3 AND tbl IN ({_listed("fact")})"""
 
 _JSON_TEXT = " || ".join(
     [
@@ -284,6 +290,9 @@ def oracle_sql() -> dict[str, str]:
           FROM visits v LEFT JOIN latest l ON v.user_id = CAST(l.id AS VARCHAR)
           LEFT JOIN ages a ON a.id = l.id
           LEFT JOIN nation ON v.province_id = CAST(n_nationkey AS VARCHAR)""",
+        "stream_order_join": f"""WITH {_ORDERS}
+          SELECT {_wide()}, {_NO_DIMS}
+          FROM detail d JOIN info i ON d.order_id = i.id AND {_WITHIN}""",
         "stream_order_wide": f"""WITH {_ORDERS}, {_LATEST_USERS}
           SELECT detail_id, create_date, order_id, user_gender, user_age, province_name, line_ms
           FROM (
