@@ -17,7 +17,7 @@ WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 #: Sampled tokens that stand for a set: its least shingles under so many hash functions.
 TOKENS = 64
 #: A bucket of more sets is split again, up to DEEPEST times; levels that `RECALL` allows for.
-LIMIT, DEEPEST, LEVELS = 512, 12, 4
+LIMIT, DEEPEST, LEVELS = 512, 6, 4
 #: Sets that are compared at once, and how much lower a sketch's estimate may be than SIMILARITY.
 BLOCK, SLACK = 512, 0.2
 _SALTS = np.random.default_rng(5).integers(1, 1 << 62, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
