@@ -19,6 +19,8 @@ TERMS, USED, FACTORS = 1 << 18, 4096, 4
 MOST_EACH, LEAST_DOCS = 10_000, 3
 #: How many times its spread a term's share must differ between the labels.
 LEAST_SPREADS = 2
+#: How many times more common it must be under one label than under the other.
+LEAST_LIFT = 2
 #: Leading bytes of a word that are terms of their own: they stand for inflected forms.
 STEMS = (4, 5)
 ROUNDS, RATE, SHRINK = 200, 0.05, 1e-3
@@ -95,7 +97,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             return Model(np.log((share + 1e-6) / (1 - share + 1e-6)), np.full(TERMS, -1), np.zeros(1), np.zeros((1, FACTORS)))
         p, q = F.col("pos") / totals[1], (F.col("n") - F.col("pos")) / totals[0]
         spread = F.sqrt((p + F.lit(1 / totals[1])) / totals[1] + (q + F.lit(1 / totals[0])) / totals[0])
-        clear = counts.withColumn("z", F.abs(p - q) / spread).filter(F.col("z") >= LEAST_SPREADS)
+        telling = (p >= LEAST_LIFT * q) | (q >= LEAST_LIFT * p)
+        clear = counts.withColumn("z", F.abs(p - q) / spread).filter(telling & (F.col("z") >= LEAST_SPREADS))
         used = [r[0] for r in clear.orderBy("z", "term", ascending=[False, True]).limit(USED).select("term").collect()]
         slot = np.full(TERMS, -1, np.int32)
         slot[np.array(used, np.int64)] = np.arange(len(used))
