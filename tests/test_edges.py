@@ -110,7 +110,7 @@ def test_fan_out_equals_separate_routes(spark, sf):
 
 
 def test_empty_last_page_is_not_a_first_page(spark):
-    msgs = messages(spark, {"mid": "a", "last_page_id": ""}, {"mid": "b"})
+    msgs = messages(spark, {"mid": "a", "ts": 1, "last_page_id": ""}, {"mid": "b", "ts": 2})
     got = dau.first_pages(parse.parse_page_log(msgs))
     assert rows(got, "mid") == [("b",)]
 
@@ -126,11 +126,10 @@ def test_same_device_on_both_sides_of_midnight(spark):
         {"ts": midnight + 7, "page_id": "no device either"},
     )
     got = dau.daily_first_visit(parse.parse_page_log(msgs))
-    assert rows(got, "dt", "page_id") == [
-        ("2024-01-01", "x"),
-        ("2024-01-02", "no device"),
-        ("2024-01-02", "y"),
-    ]
+    assert rows(got, "dt", "page_id") == [("2024-01-01", "x"), ("2024-01-02", "y")]
+    # Pages without a device are no visit of anyone: they are set apart, unchanged.
+    apart = parse.quarantine_page(msgs)
+    assert rows(apart) == rows(msgs.filter("value LIKE '%no device%'"))
 
 
 def test_rebuild_seen_also_matches_missing_device(spark):
@@ -269,11 +268,14 @@ NOON = datetime(2024, 1, 1, 12)
 
 def test_order_defaults_and_numeric_text(spark):
     info, detail = order_rows(
-        spark, [({"id": "5", "user_id": 6}, NOON)], [({"id": 1, "order_price": "2.5"}, NOON)]
+        spark,
+        [({"id": "5", "user_id": 6}, NOON), ({"user_id": 7}, NOON)],
+        [({"id": 1, "order_id": "5", "order_price": "2.5"}, NOON), ({"id": 2}, NOON)],
     )
     assert rows(info, "id", "user_id", "total_amount", "user_age") == [(5, 6, 0.0, 0)]
+    # A line without an order is not a line of order 0.
     assert rows(detail, "id", "order_id", "order_price", "split_coupon_amount") == [
-        (1, 0, 2.5, 0.0)
+        (1, 5, 2.5, 0.0)
     ]
 
 
