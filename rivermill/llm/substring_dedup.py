@@ -304,7 +304,8 @@ def _search_windows(different: DataFrame, span: int) -> DataFrame:
     windows = materialise(windows.join(often, "window", "left_semi"), "windows")
     rows = windows.groupBy("window", "content").agg(F.sum("copies").alias("copies")).select(F.col("window").alias("anchor"), F.col("window").alias("name"), "content", "copies")
     again = search_shards(materialise(rows, "window_texts"), span).select(F.col("name").alias("window"))
-    return windows.select("name", "nth", "window").join(again, "window", "left_semi").groupBy("name").agg(F.sum(F.expr("shiftleft(1L, nth)")).alias("mask"))
+    # A name has a row for each white space between its words, so a bit may come twice.
+    return windows.select("name", "nth", "window").join(again, "window", "left_semi").groupBy("name").agg(F.bit_or(F.expr("shiftleft(1L, nth)")).alias("mask"))
 
 
 def _cut(span: int, gram: int, give_texts: bool):

@@ -114,6 +114,13 @@ def test_substring_dedup(spark, odd, documents, monkeypatch, span, hot):
         same(substring_dedup.substring_dedup(df, span).collect(), removed(pairs(df), span))
 
 
+def test_copies_that_differ_in_white_space(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 1)
+    copies = [gap.join(f"p{k}x{i}" for i in range(40 + 7 * k)) for k in range(3) for gap in (" ", "  ", "\n")[: 2 + k % 2]]
+    df = spark.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
+    same(substring_dedup.substring_dedup(df).collect(), removed(pairs(df), 35))
+
+
 def test_index_matches_longest_repeats():
     rng = np.random.default_rng(1)
     for _ in range(30):
