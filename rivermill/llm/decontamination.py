@@ -19,19 +19,38 @@ SIMILARITY, RECALL = 0.8, 0.99
 BLOCK_WORDS = 1 << 20
 #: Items of fewer words are not told from chance and are left out.
 LEAST_WORDS = 5
-#: Embedding steps for each word; those among which positions are sampled; positions in a key.
-STEPS, SAMPLED_STEPS, KEY_POSITIONS = 3, 1.5, 2
-#: Walks, each of which gives as many keys as the recall needs.
-WALKS = 4
+#: Words that one walk goes over, and positions of it in a key.
+STRETCH, KEY_POSITIONS = 10, 2
+#: Pairs of an item and its edited copy by which the number of keys is measured; most keys.
+TRIALS, MOST_KEYS = 1000, 96
 LARGEST_GRAM = 4
 #: Windows that are embedded at once.
 WINDOWS = 1 << 13
 
 
-def tables_for(recall: float, agreement: float = 0.5) -> int:
-    """Keys for each window so that, when an embedded position agrees with probability
-    `agreement`, at least one key agrees with probability `recall`."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement**KEY_POSITIONS))
+def tables_for(recall: float, length: int, edits: int) -> int:
+    """Keys for each window of `length` words, so that at least one agrees with probability
+    `recall` with that of a copy in which `edits` words were substituted.
+
+    Measured on drawn pairs with the very keys that are used, the edits being anywhere, evenly
+    spread, at the front or at the end; half of the allowed misses are left for chance. The
+    floor is what keys need of which each position agrees in half of all cases.
+    """
+    floor = math.ceil(math.log(1 - recall) / math.log(1 - 0.5**KEY_POSITIONS))
+    if not edits:
+        return 1
+    rng = np.random.default_rng(length)
+    trials = max(100, min(TRIALS, (1 << 21) // length))
+    words = rng.integers(1, 1 << 63, (trials, length), np.uint64)
+    keys, most = keys_of(words, MOST_KEYS), floor
+    anywhere = rng.permuted(np.tile(np.arange(length), (trials, 1)), axis=1)[:, :edits]
+    for places in (anywhere, np.arange(edits) * length // edits, np.arange(edits), np.arange(length - edits, length)):
+        other = words.copy()
+        np.put_along_axis(other, np.broadcast_to(places, (trials, edits)), rng.integers(1, 1 << 63, (trials, edits), np.uint64), 1)
+        met = np.logical_or.accumulate(keys == keys_of(other, MOST_KEYS), axis=1).mean(0)
+        enough = met >= 1 - (1 - recall) / 2
+        most = max(most, int(enough.argmax()) + 1 if enough.any() else MOST_KEYS)
+    return most
 
 
 @dataclass
@@ -41,10 +60,11 @@ class Items:
     ids: list
     words: list[np.ndarray]
     edits: np.ndarray
-    tables: int
+    recall: float
     grams: dict[int, tuple] = field(default_factory=dict)
     keys: dict[int, tuple] = field(default_factory=dict)
     need: dict[int, tuple[int, int]] = field(default_factory=dict)
+    tables: dict[int, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         by_gram: dict[int, list[tuple[int, int, int]]] = {}
@@ -61,41 +81,41 @@ class Items:
             seen[found[:, 0] >> np.uint64(44)] = True
             self.grams[size] = (seen, found[:, 0].copy(), found[:, 1].astype(np.int64), found[:, 2].astype(np.int64))
         for length, own in by_length.items():
-            keys = keys_of(np.stack([self.words[i] for i in own]), self.tables)
+            self.tables[length] = tables_for(self.recall, length, int(self.edits[own[0]]))
+            keys = keys_of(np.stack([self.words[i] for i in own]), self.tables[length])
             order = np.argsort(keys.ravel(), kind="stable")
-            self.keys[length] = (keys.ravel()[order], np.repeat(own, self.tables)[order])
+            self.keys[length] = (keys.ravel()[order], np.repeat(own, self.tables[length])[order])
 
 
 def keys_of(windows: np.ndarray, tables: int) -> np.ndarray:
-    """Sampled positions of the random-walk embedding of each window (words, 0 past the
-    end), as `tables` hashes for each window.
+    """Sampled positions of random-walk embeddings of each window, as `tables` hashes for
+    each window; the first keys are the same for any number of tables.
 
-    At every step the walk writes the word it stands on and moves on to the next one or
+    At every step a walk writes the word it stands on and moves on to the next one or
     stays, as a random function of step and word says. Two windows that differ by
-    an edit fall out of step there and soon fall in again, so few written words differ.
+    an edit fall out of step there and soon fall in again, so few written words differ. As
+    walks drift apart with every edit, each key has a walk of its own, over a stretch of
+    STRETCH words, so that a window's length does not matter. It takes a step for each word,
+    and so never passes the end.
     """
     n, length = windows.shape
     rng = np.random.default_rng(1000 + length)
-    steps = max(KEY_POSITIONS, int(SAMPLED_STEPS * length))
-    made, each = [], -(-tables // WALKS)
-    rows = np.arange(n)
-    for _ in range(WALKS):
-        coins = rng.integers(0, 1 << 63, STEPS * length, np.uint64) * np.uint64(2) + np.uint64(1)
-        picks = [np.sort(rng.choice(steps, KEY_POSITIONS, replace=False)) for _ in range(each)]
-        wanted = {int(t) for p in picks for t in p}
-        at, written = np.zeros(n, np.int64), {}
-        for t in range(max(wanted) + 1):
-            here = np.where(at < length, windows[rows, np.minimum(at, length - 1)], np.uint64(0))
-            if t in wanted:
-                written[t] = here
+    size, rows, made = min(STRETCH, length), np.arange(n), []
+    for k in range(tables):
+        coins = rng.integers(0, 1 << 63, size, np.uint64) * np.uint64(2) + np.uint64(1)
+        at = np.full(n, rng.integers(0, length - size + 1), np.int64)
+        # Half a stretch apart, so that they seldom are the same word.
+        early = int(rng.integers(0, size - size // 2))
+        late = int(rng.integers(early + size // 2, size))
+        key = np.full(n, k, np.uint64)
+        for t in range(late + 1):
+            here = windows[rows, at]
+            if t in (early, late):
+                key = mix(key + here)
             with np.errstate(over="ignore"):
                 at += (here * coins[t] >> np.uint64(63)).astype(np.int64)
-        for p in picks:
-            key = np.full(n, len(made), np.uint64)
-            for t in p.tolist():
-                key = mix(key + written[t])
-            made.append(key)
-    return np.stack(made[:tables], 1)
+        made.append(key)
+    return np.stack(made, 1)
 
 
 def distances(items: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +180,7 @@ def _candidates(windows: np.ndarray, length: int, padded: np.ndarray, first: np.
         at = lo[:, None] + np.arange(width)
         return padded[np.where(at < first[whose + 1][:, None], at, len(padded) - 1)]
 
-    own = keys_of(cut(begin, whose, length), items.tables)
+    own = keys_of(cut(begin, whose, length), items.tables[length])
     lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
     pairs = set()
     while len(rows := np.argwhere(lo < hi)):
@@ -197,7 +217,7 @@ def blocks(benchmark: DataFrame, similarity: float, recall: float, id_col: str =
                     ids.append(table["id"][lo + r].as_py())
                     found.append(hashes[clean.first[r] : clean.first[r + 1]])
         edits = np.array([int((1 - similarity) * len(w) + 1e-9) for w in found], np.int64)
-        yield Items(ids, found, edits, tables_for(recall))
+        yield Items(ids, found, edits, recall)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,7 +229,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     window is embedded by random walks that turn word edits into differing positions, and
     sampled positions are keys; an item with an equal key is a candidate, and the edits
     are then counted exactly, with some words to spare on either side. The number of keys
-    follows from `recall`. Only the benchmark is sent to the tasks, in blocks of bounded
+    for each length follows from `recall`, measured at the most edits. Only the benchmark is sent to the tasks, in blocks of bounded
     size with a pass over the documents for each; nothing is shuffled.
 
     Null and empty texts hold nothing, items of fewer than LEAST_WORDS words are left out,

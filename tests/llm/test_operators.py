@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,6 +27,7 @@ from rivermill.llm import (
     toxicity,
     warc,
 )
+from rivermill.llm.shared import slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE, LOWER = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
@@ -306,6 +308,22 @@ def test_leaks_under_edits(spark, odd):
     assert decontamination.find_leaks(odd, bench).collect() == []
 
 
+@pytest.mark.parametrize("length", [20, 30, 60, 100, 200])
+@pytest.mark.parametrize("where", ["anywhere", "front"])
+def test_leaks_at_the_most_edits(length, where):
+    rng = np.random.default_rng(length)
+    items = [[f"i{k}x{n}" for n in range(length)] for k in range(150)]
+    texts = []
+    for k, item in enumerate(items):
+        places = rng.choice(length, length // 5, replace=False) if where == "anywhere" else range(length // 5)
+        own = [f"e{k}x{n}" if n in set(places) else w for n, w in enumerate(item)]
+        texts.append(" ".join([*["before"] * 9, *own, *["after"] * 9]))
+    hashes = [next(slices(pa.array([" ".join(x)])))[2].word_hashes() for x in items]
+    block = decontamination.Items(list(range(150)), hashes, np.full(150, length // 5), decontamination.RECALL)
+    found = {(lo + t, i) for lo, _, part in slices(pa.array(texts)) for t, i, *_ in decontamination.search(part, block)}
+    assert len(found & {(k, k) for k in range(150)}) >= 0.98 * 150
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
