@@ -95,12 +95,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # -- paths ---------------------------------------------------------------------------
 
 
-def leaves(sets: DataFrame, runs: int) -> DataFrame:
-    """leaf, cls: the small buckets of all runs that hold more than one set.
+def leaves(sets: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
+    """(leaf, cls), the small buckets of all runs that hold more than one set; and (a, b), edges
+    that join the sets of each large one.
 
     A bucket is a path of tokens. Its own hash chooses which sampled tokens split it, so
     all its sets are split alike. Buckets of one set are dropped, those of up to LIMIT sets
-    are leaves, larger ones are split again; what is left at the deepest level is a leaf too.
+    are leaves, larger ones are split again. A bucket that is still larger at the deepest level
+    is not compared: all its sets are joined to the least of them, so that the exact check has
+    them in one group.
     """
     here = sets.select("cls", "tokens", F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run")).select("cls", "tokens", F.xxhash64("run").alias("path"))
     done = None
@@ -112,14 +115,16 @@ def leaves(sets: DataFrame, runs: int) -> DataFrame:
         split = here.select("cls", "tokens", "path", chosen.alias("at")).select("cls", F.xxhash64("path", "at", F.element_at("tokens", F.col("at") + 1)).alias("path"))
         split = materialise(split, f"level{level}")
         sizes = materialise(split.groupBy("path").count().filter("count > 1"), f"sizes{level}")
-        small = sizes if level == DEEPEST - 1 else sizes.filter(F.col("count") <= LIMIT)
-        found = split.join(small, "path", "left_semi").select(F.col("path").alias("leaf"), "cls")
+        found = split.join(sizes.filter(F.col("count") <= LIMIT), "path", "left_semi").select(F.col("path").alias("leaf"), "cls")
         done = found if done is None else done.unionByName(found)
         large = sizes.filter(F.col("count") > LIMIT)
         if level == DEEPEST - 1 or not large.limit(1).count():
             break
         here = split.join(large, "path", "left_semi").join(sets.select("cls", "tokens"), "cls")
-    return materialise(done, "leaves")
+    # Of a large bucket a task sees its own rows and one number, however many sets it holds.
+    rest = split.join(large, "path", "left_semi")
+    least = materialise(rest.groupBy("path").agg(F.min("cls").alias("b")), "pivots")
+    return materialise(done, "leaves"), rest.join(least, "path").filter("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
 
 
 def _alike(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -202,9 +207,9 @@ def similar_classes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str
     """cls, root, links of the classes that are similar to another one: the least class of
     their group, and how many documents of other classes each of their documents is similar to."""
     sets = materialise(rows.filter("n > 0").groupBy("cls", "tokens").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("size")), "classes")
-    leaf = leaves(sets, runs_for(recall, SIMILARITY))
-    near = grouped(leaf.join(sets.select("cls", "tokens"), "cls"), "leaf", _alike, "a long, b long")
-    groups = components(near)
+    leaf, near = leaves(sets, runs_for(recall, SIMILARITY))
+    compared = grouped(leaf.join(sets.select("cls", "tokens"), "cls"), "leaf", _alike, "a long, b long")
+    groups = components(compared.unionByName(near))
     wanted = materialise(groups.join(sets.select("cls", "one", "size"), groups["node"] == F.col("cls")).select("cls", "root", "one.*", "size"), "wanted")
     # One document of each class is read again, for its whole set; of repeated rows one is left.
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
@@ -232,7 +237,7 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL, id_col: str = "doc_id"
     Documents of one set of shingles form a class, and only one of each goes on. It is
     stood for by its least shingles under TOKENS hash functions. In each of several runs the
     classes are split by sampled tokens that they share, bucket by bucket, until buckets are
-    small; there all sketches are compared. `recall` sets the number of runs. What is
+    small; there all sketches are compared. Sets that no split parts are joined without. `recall` sets the number of runs. What is
     alike in any run forms groups, and within each group all sets are compared exactly, large
     groups in pairs of blocks of BLOCK sets, so counts of links are complete for a group.
     The work of that last step grows with the square of a group's different texts; no pairs

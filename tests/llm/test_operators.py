@@ -255,6 +255,17 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     same([(r.doc_id, r.class_id, r.n_links) for r in got], [(k, 0, n) for k, n in enumerate(links)])
 
 
+def test_no_task_compares_more_than_a_small_leaf(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIMIT", 10)
+    base = [f"v{i}" for i in range(100)]
+    df = spark.createDataFrame([(k, " ".join(base[:k] + ["z"] + base[k:])) for k in range(60)], "doc_id long, text string")
+    rows = jaccard_join.sketch(df, "doc_id", "text")
+    leaf, near = jaccard_join.leaves(rows.select("cls", "tokens"), 6)
+    sizes = [r["count"] for r in leaf.groupBy("leaf").count().collect()]
+    assert sizes and max(sizes) <= 10
+    assert near.count() > 0
+
+
 def test_runs_reach_the_recall():
     assert jaccard_join.runs_for(0.99, 0.8) == 6
     assert jaccard_join.runs_for(0.999, 0.8) > 6
