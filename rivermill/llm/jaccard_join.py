@@ -16,7 +16,8 @@ from .shared import WORD, Texts, gram_hashes, grouped, lists, materialise, mix,
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 #: Sampled tokens that stand for a set: its least shingles under so many hash functions.
 TOKENS = 64
-#: A bucket of more sets is split again, up to DEEPEST times; levels that `RECALL` allows for.
+#: A bucket of more sets is split again, up to DEEPEST times, which the join's runs allow for;
+#: levels that runs_for counts if none are named.
 LIMIT, DEEPEST, LEVELS = 512, 6, 4
 #: Sets that are compared at once, and how much lower a sketch's estimate may be than SIMILARITY.
 BLOCK, SLACK = 512, 0.2
@@ -207,7 +208,7 @@ def similar_classes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str
     """cls, root, links of the classes that are similar to another one: the least class of
     their group, and how many documents of other classes each of their documents is similar to."""
     sets = materialise(rows.filter("n > 0").groupBy("cls", "tokens").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("size")), "classes")
-    leaf, near = leaves(sets, runs_for(recall, SIMILARITY))
+    leaf, near = leaves(sets, runs_for(recall, SIMILARITY, DEEPEST))
     compared = grouped(leaf.join(sets.select("cls", "tokens"), "cls"), "leaf", _alike, "a long, b long")
     groups = components(compared.unionByName(near))
     wanted = materialise(groups.join(sets.select("cls", "one", "size"), groups["node"] == F.col("cls")).select("cls", "root", "one.*", "size"), "wanted")

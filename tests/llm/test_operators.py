@@ -271,6 +271,23 @@ def test_runs_reach_the_recall():
     assert jaccard_join.runs_for(0.999, 0.8) > 6
 
 
+def test_runs_allow_for_the_deepest_level(spark, monkeypatch):
+    class Enough(Exception):
+        pass
+
+    def stop(sets, runs):
+        raise Enough(runs)
+
+    monkeypatch.setattr(jaccard_join, "leaves", stop)
+    with pytest.raises(Enough) as told:
+        jaccard_join.jaccard_join(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"))
+    together = 1.0
+    for _ in range(jaccard_join.DEEPEST):
+        once = 0.8 * together
+        together = 0.75 * once + 0.25 * (1 - (1 - once) ** 2)
+    assert 1 - (1 - together) ** told.value.args[0] >= jaccard_join.RECALL
+
+
 # -- exact dedup
 
 
