@@ -7,6 +7,7 @@ UTF-8, so word boundaries are found on bytes, a batch of texts at a time.
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -24,6 +25,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+LANE_BYTES = 256
 
 
 # -- intermediate tables -------------------------------------------------------------
@@ -184,14 +188,36 @@ class Texts:
         return Texts(self.data, self.offsets, self.start[kept], self.end[kept], first)
 
     def word_hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        n = len(self.data)
+        """A 64-bit hash of each word's bytes; words of up to eight bytes with the same
+        length never share one."""
+        return self._chained([_STEP])[0]
+
+    def word_names(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of each word, a name of 128 bits together."""
+        first, second = self._chained([_STEP, _BASE])
+        return first, second
+
+    def _chained(self, factors: list[np.uint64]) -> list[np.ndarray]:
+        """A hash for each factor: eight bytes after the other are added and mixed in."""
+        size = self.end - self.start
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        lanes = np.ndarray((len(self.data) + 1,), "<u8", buffer=padded, strides=(1,))
         with np.errstate(over="ignore"):
-            power, inverse = powers(_BASE, n + 1)
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-            own = (sums[self.end] - sums[self.start]) * inverse[self.start]
-            return mix(own + (self.end - self.start).astype(np.uint64) * _STEP)
+            out = [mix(size.astype(np.uint64) * f + np.uint64(1)) for f in factors]
+            which, at = np.arange(len(size)), 0
+            while len(which):
+                lane = lanes[self.start[which] + at] & _LOW_BYTES[np.minimum(size[which] - at, 8)]
+                for h, f in zip(out, factors, strict=True):
+                    h[which] = mix((h[which] ^ lane) * f)
+                at += 8
+                which = which[size[which] > at]
+                if at == LANE_BYTES:
+                    break
+        for w in which.tolist():  # the rest of a very long word
+            word = self.data[self.start[w] : self.end[w]].tobytes()
+            for k, h in enumerate(out):
+                h[w] = np.frombuffer(hashlib.blake2b(word, digest_size=16).digest(), np.uint64)[k]
+        return out
 
     def spans(self, lo: np.ndarray, hi: np.ndarray) -> list[bytes]:
         """The bytes from the start of word lo to the end of word hi - 1."""
@@ -199,25 +225,6 @@ class Texts:
         return [data[a:b] for a, b in zip(self.start[lo].tolist(), self.end[hi - 1].tolist(), strict=True)]
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n; base is odd."""
-    key = int(base)
-    if key not in _POWERS or len(_POWERS[key][0]) < n:
-        size = 1 << max(10, int(n - 1).bit_length())
-        made = []
-        for x in (key, pow(key, -1, 1 << 64)):
-            factors = np.full(size, x, np.uint64)
-            factors[0] = 1
-            made.append(np.cumprod(factors, dtype=np.uint64))
-        if size > 1 << 22:
-            return made[0], made[1]
-        _POWERS[key] = (made[0], made[1])
-    return _POWERS[key]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
@@ -259,8 +266,9 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Texts:
     return Texts(data, offsets, start, end, np.searchsorted(start, offsets))
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
-    """Parts (from row, to row, Texts) of a string column; a null counts as an empty text."""
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
+    """Parts (from row, to row, Texts) of a string column; a null counts as an empty text.
+    A part has `most` bytes or one row."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not len(column):
@@ -271,7 +279,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SLICE_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most, "right")) - 1)
         hi = min(hi, len(column))
         yield lo, hi, split_words(raw[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo])
         lo = hi

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Texts, gram_hashes, grouped, lists, materialise, mix, powers, slices, split_words
+from .shared import Texts, gram_hashes, grouped, lists, materialise, mix, slices, split_words
 
 SPAN, GRAM = 35, 8
 #: Bytes of segments in a shard, about; different segments of an anchor above which its
@@ -61,8 +61,30 @@ def segments(texts: Texts, words: np.ndarray, span: int, gram: int) -> tuple[np.
     return np.searchsorted(texts.first, start[first], "right") - 1, start[first], count, anchor[first]
 
 
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i below n; base is odd.
+
+    Sums over them tell short runs apart; runs of 1,024 or more could be made to agree.
+    """
+    key = int(base)
+    if key not in _POWERS or len(_POWERS[key][0]) < n:
+        size = 1 << max(10, int(n - 1).bit_length())
+        made = []
+        for x in (key, pow(key, -1, 1 << 64)):
+            factors = np.full(size, x, np.uint64)
+            factors[0] = 1
+            made.append(np.cumprod(factors, dtype=np.uint64))
+        if size > 1 << 22:
+            return made[0], made[1]
+        _POWERS[key] = (made[0], made[1])
+    return _POWERS[key]
+
+
 def segment_names(words: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """A 64-bit name of the words from lo to hi - 1."""
+    """A 64-bit name of the words from lo to hi - 1, which are less than 2 * span."""
     power, inverse = powers(_CHAIN, len(words) + 1)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(words) + 1, np.uint64)

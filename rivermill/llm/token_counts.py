@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -16,7 +17,7 @@ from .shared import Texts, slices
 
 #: Bytes above which a text is encoded in chunks of so many characters, and their first overlap.
 CHUNK, OVERLAP = 1 << 15, 1 << 7
-#: Pieces that a task remembers with their tokens.
+#: Pieces that a Python worker remembers with their tokens, some 50 bytes each.
 REMEMBERED = 400_000
 SPACES = " \t\n\r\x0b\x0c"
 
@@ -39,8 +40,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, chunk: int
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = load(tokenizer)
-        pieces = Pieces(tokens)
+        tokens, pieces = load(tokenizer), known_pieces(tokenizer)
         for batch in batches:
             for lo, hi, texts in slices(batch.column("text")):
                 sizes = np.diff(texts.offsets)
@@ -53,6 +53,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, chunk: int
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(count, schema)
 
 
+@functools.cache
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -60,22 +61,35 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.cache
+def known_pieces(path: str) -> Pieces:
+    """The pieces that this Python worker remembers, over the tasks that it runs."""
+    return Pieces(load(path))
+
+
 class Pieces:
-    """Tokens of the pieces of texts, by the hash of a piece.
+    """Tokens of the pieces of texts, by the 128-bit name of a piece.
 
-    The first REMEMBERED different pieces of a task are kept: frequent ones come early.
+    The first REMEMBERED different pieces of a worker are kept: frequent ones come early.
     """
 
     def __init__(self, tokens) -> None:
         self.tokens = tokens
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.keys, self.checks, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def find(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Of each piece: its place among first; and where the tokens of each piece end up."""
-        keys, at, piece = np.unique(texts.word_hashes(), return_index=True, return_inverse=True)
+        names, checks = texts.word_names()
+        keys, at, piece = np.unique(names, return_index=True, return_inverse=True)
+        if not np.array_equal(checks, checks[at][piece]):  # two pieces share half a name
+            order = np.lexsort((checks, names))
+            new = np.ones(len(order), bool)
+            new[1:] = (names[order][1:] != names[order][:-1]) | (checks[order][1:] != checks[order][:-1])
+            at, piece = order[new], np.empty(len(order), np.int64)
+            keys, piece[order] = names[at], np.cumsum(new) - 1
         place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        known = (self.keys[place] == keys) & (self.checks[place] == checks[at]) if len(self.keys) else np.zeros(len(keys), bool)
         new = [x.decode("utf-8") for x in texts.spans(at[~known], at[~known] + 1)]
         # Few at a time: encodings are large objects.
         ids = [e.ids for k in range(0, len(new), 256) for e in self.tokens.encode_batch_fast(new[k : k + 256], add_special_tokens=False)]
@@ -86,14 +100,15 @@ class Pieces:
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
         if len(self.keys) + len(new) <= REMEMBERED:
             where = np.searchsorted(self.keys, keys[~known])
-            self.keys, self.slots = np.insert(self.keys, where, keys[~known]), np.insert(self.slots, where, slots[~known])
+            self.keys, self.checks, self.slots = (np.insert(a, where, b[~known]) for a, b in ((self.keys, keys), (self.checks, checks[at]), (self.slots, slots)))
         slot = slots[piece]
         return slot, np.concatenate([[0], np.cumsum(self.first[slot + 1] - self.first[slot])])
 
     def forget(self) -> None:
         """Drop the tokens of pieces that are not kept."""
-        self.first = self.first[: len(self.keys) + 1]
-        self.flat = self.flat[: self.first[-1]]
+        if len(self.first) > len(self.keys) + 1:
+            self.first = self.first[: len(self.keys) + 1].copy()
+            self.flat = self.flat[: self.first[-1]].copy()
 
     def counts(self, texts: Texts) -> np.ndarray:
         _, upto = self.find(texts)

@@ -19,14 +19,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import Texts, materialise, slices
-from .token_counts import Pieces, load
+from .token_counts import known_pieces, load
 
 MAGIC = b"RMDAC1\x00\x00"
 HEAD = np.dtype([("magic", "S8"), ("bytes", "<u8"), ("docs", "<u8"), ("ids", "<u8"), ("levels", "<u8")])
 #: Ids in a block, about; bits for each entry of the rank directory.
-BLOCK_IDS, RANK_BITS = 1 << 21, 512
+BLOCK_IDS, RANK_BITS = 1 << 19, 512
+#: Bytes of text that are encoded at once; one longer text makes a part of its own.
+SLICE_BYTES = 1 << 19
 #: Text bytes that go to one file, about.
-FILE_BYTES = 48 << 20
+FILE_BYTES = 24 << 20
 #: Bytes that begin a character other than white space, whatever follows them.
 BEGINS = np.zeros(256, bool)
 BEGINS[33:127] = BEGINS[0xC3:0xE0] = BEGINS[0xE4:0xF5] = True
@@ -165,9 +167,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = load(tokenizer)
         special = [t.content.encode() for t in tokens.get_added_tokens_decoder().values()]
-        known, held, size = Pieces(tokens), [], 0
+        known, held, size = known_pieces(tokenizer), [], 0
         for batch in batches:
-            for lo, hi, texts in slices(batch.column("text")):
+            for lo, hi, texts in slices(batch.column("text"), SLICE_BYTES):
                 ids, first = known.ids(pieces(texts, special))
                 held.append((batch.column("doc_id")[lo:hi], np.diff(first) + 1, np.insert(ids, first[1:], end_id)))
                 size += len(held[-1][-1])
@@ -205,7 +207,7 @@ def read_token_files(spark: SparkSession, path: str, ids: bool = False) -> DataF
 
     rows = materialise(spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, schema), "tokens")
     per_block = rows.groupBy("path", "nth").agg(F.min("doc_id").alias("least"), F.sum("n_tokens").alias("n"))
-    # One row for each block of two million ids.
+    # One row for each block of half a million ids.
     before = Window.orderBy(F.col("least").asc_nulls_first(), "path", "nth").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialise(per_block.select("path", "nth", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "offsets")
     out = rows.join(offsets, ["path", "nth"]).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", *["token_ids"] * ids)

@@ -479,3 +479,23 @@ def test_disguises(text, kind, span):
         assert found == [] and not any(base)
     else:
         assert (kind, span) in found or any(span.endswith(text[a:b]) for own in base for a, b in own)
+
+
+def thue_morse(a, b, levels=11):
+    """Words that a polynomial with an odd base modulo 2**64 cannot tell apart."""
+    for _ in range(levels):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_made_to_collide_keep_apart(spark):
+    words = [*thue_morse("a", "b", 10), *thue_morse("a", "c", 10), *thue_morse("a", "b"), "x" * 300, "x" * 299 + "y"]
+    texts = next(slices(pa.array([" ".join(words)])))[2]
+    assert len(set(texts.word_hashes().tolist())) == len(set(zip(*(x.tolist() for x in texts.word_names()), strict=True))) == len(words)
+    rest = " ".join(f"own{i}" for i in range(34))
+    docs = spark.createDataFrame([(i, f"{rest} {w}") for i, w in enumerate(words[:2])], "doc_id long, text string").coalesce(1)
+    assert [r.n_removed for r in substring_dedup.substring_dedup(docs).collect()] == [0, 0]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").coalesce(1)
+    lower = Tokenizer.from_file(LOWER)
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, LOWER).collect()}
+    assert got == {i: len(lower.encode(w, add_special_tokens=False).ids) for i, w in enumerate(words)}
