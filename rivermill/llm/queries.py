@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, mixing, pii, substring_dedup, token_counts, token_files, toxicity, warc
+from . import decontamination, exact_dedup, jaccard_join, mixing, pii, prefix_trie, substring_dedup, token_counts, token_files, toxicity, warc
 from .shared import shared_path
 
 
@@ -53,7 +54,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts)}
+def rebuilt(sequences: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
+    """Conversations that begin with the first h turns of the one whose id is the next lower
+    multiple of `every` (as the remainder of SQL counts), and go on with their own after
+    those; h is the crc32 of the id modulo `most`."""
+    own = sequences.withColumn("h", F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(most)).cast("int"))
+    heads = sequences.filter(F.col("conv_id") % every == 0).select(F.col("conv_id").alias("head_id"), *[F.slice(c, 1, most - 1).alias(f"head_{c}") for c in ("ids", "words")])
+    both = own.join(heads, F.col("conv_id") - F.col("conv_id") % every == F.col("head_id"), "left")
+    none = F.array().cast("array<bigint>")
+    begun = lambda c: F.slice(F.coalesce(f"head_{c}", none), F.lit(1), F.col("h"))
+    return both.select("conv_id", *[F.concat(begun(c), F.slice(c, F.col("h") + 1, F.size(c))).alias(c) for c in ("ids", "words")])
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences, _ = prefix_trie.encode(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.trie(rebuilt(sequences)).drop("turn_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts, op12_prefix_trie)}
 
 #: Runs of white space, and words, in RE2.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
@@ -103,3 +121,34 @@ MIX_SQL = rf"""
     FROM c"""
 
 ORACLE_SQL["op8_mixing"] = MIX_SQL.format(documents="documents", columns="doc_id, size, source_size, target")
+
+#: The crc32 of a decimal number, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS UBIGINT))),
+              lambda a, b: list_reduce(list_prepend(xor(a, b), [1, 2, 3, 4, 5, 6, 7, 8]::UBIGINT[]), lambda v, k: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT)"""
+
+ORACLE_SQL["op12_prefix_trie"] = rf"""
+    WITH e AS (
+        SELECT conv_id AS c, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+               CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS w
+        FROM conversations WHERE conv_id IS NOT NULL),
+    t AS (SELECT c, k, w, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i FROM e),
+    i AS (SELECT c, {_CRC} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+    r AS (
+        SELECT i.c, t.i, t.k, t.w FROM i JOIN t ON t.c = i.c - i.c % 20 AND t.i <= i.h
+        UNION ALL SELECT i.c, t.i, t.k, t.w FROM i JOIN t ON t.c = i.c AND t.i > i.h),
+    s AS (
+        SELECT i.c, coalesce(q.k, []::VARCHAR[]) AS k, coalesce(q.w, []::BIGINT[]) AS w
+        FROM i LEFT JOIN (SELECT c, list(k ORDER BY i) AS k, list(w ORDER BY i) AS w FROM r GROUP BY c) q ON q.c = i.c),
+    p AS (SELECT c, d, list_slice(k, 1, d) AS k, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS w, len(k) = d AS whole FROM s, LATERAL unnest(range(0, len(k) + 1)) AS u(d)),
+    n AS (
+        SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(w) AS own,
+               sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE whole), '')) AS ends_sha256
+        FROM p GROUP BY k, d),
+    m AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+    f AS (SELECT n.*, coalesce(m.n_children, 0) AS n_children FROM n LEFT JOIN m ON m.k = n.k),
+    a AS (
+        SELECT list_slice(k, 1, x) AS k, sum(own) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+        FROM f, LATERAL unnest(range(0, d + 1)) AS u(x) GROUP BY 1)
+    SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, CAST(f.n_children AS BIGINT) AS n_children,
+           CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+    FROM f JOIN a ON a.k = f.k LEFT JOIN n up ON f.d > 0 AND up.k = list_slice(f.k, 1, f.d - 1)"""

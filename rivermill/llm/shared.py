@@ -127,7 +127,7 @@ def split_by_keys(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFram
     return both.filter(maybe).select(*columns), both.filter(~maybe).select(*columns)
 
 
-def grouped(rows: DataFrame, key: str, solve: Callable[[pa.Table], Sequence[np.ndarray]], schema: str) -> DataFrame:
+def grouped(rows: DataFrame, key: str, solve: Callable[[pa.Table], Sequence[np.ndarray | pa.Array]], schema: str) -> DataFrame:
     """Apply solve, from a table to arrays, to the rows of each key, which lie together in a
     task and pass it one key after the other."""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -137,7 +137,7 @@ def grouped(rows: DataFrame, key: str, solve: Callable[[pa.Table], Sequence[np.n
 
         def solved(table: pa.Table) -> pa.RecordBatch:
             out = solve(table)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+            return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names)
 
         for batch in batches:
             keys = batch.column(key).to_numpy()
