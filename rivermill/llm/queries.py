@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, mixing, pii, prefix_trie, substring_dedup, token_counts, token_files, toxicity, warc
+from . import decontamination, exact_dedup, jaccard_join, mixing, pii, prefix_trie, spelling, substring_dedup, token_counts, token_files, toxicity, warc
 from .shared import shared_path
 
 
@@ -71,7 +71,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(rebuilt(sequences)).drop("turn_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts, op12_prefix_trie)}
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words_of(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts, op12_prefix_trie, op13_spelling)}
 
 #: Runs of white space, and words, in RE2.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
@@ -122,9 +126,9 @@ MIX_SQL = rf"""
 
 ORACLE_SQL["op8_mixing"] = MIX_SQL.format(documents="documents", columns="doc_id, size, source_size, target")
 
-#: The crc32 of a decimal number, bit by bit.
-_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS UBIGINT))),
-              lambda a, b: list_reduce(list_prepend(xor(a, b), [1, 2, 3, 4, 5, 6, 7, 8]::UBIGINT[]), lambda v, k: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT)"""
+#: The crc32 of the list of bytes b, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, b),
+              lambda a, x: list_reduce(list_prepend(xor(a, x), [1, 2, 3, 4, 5, 6, 7, 8]::UBIGINT[]), lambda v, k: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT)"""
 
 ORACLE_SQL["op12_prefix_trie"] = rf"""
     WITH e AS (
@@ -132,7 +136,7 @@ ORACLE_SQL["op12_prefix_trie"] = rf"""
                CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS w
         FROM conversations WHERE conv_id IS NOT NULL),
     t AS (SELECT c, k, w, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS i FROM e),
-    i AS (SELECT c, {_CRC} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+    i AS (SELECT c, {_CRC} % 4 AS h FROM (SELECT DISTINCT c, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS UBIGINT)) AS b FROM t)),
     r AS (
         SELECT i.c, t.i, t.k, t.w FROM i JOIN t ON t.c = i.c - i.c % 20 AND t.i <= i.h
         UNION ALL SELECT i.c, t.i, t.k, t.w FROM i JOIN t ON t.c = i.c AND t.i > i.h),
@@ -152,3 +156,32 @@ ORACLE_SQL["op12_prefix_trie"] = rf"""
     SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, CAST(f.n_children AS BIGINT) AS n_children,
            CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
     FROM f JOIN a ON a.k = f.k LEFT JOIN n up ON f.d > 0 AND up.k = list_slice(f.k, 1, f.d - 1)"""
+
+#: Words one edit apart become equal by at most one deletion on either side: equal masked
+#: strings join them, and a length or the one masked letter tells the kind of edit.
+ORACLE_SQL["op13_spelling"] = rf"""
+    WITH RECURSIVE r AS (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+    l AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM r),
+    g AS (SELECT id, w, count(*) AS n FROM l WHERE length(w) >= 5 GROUP BY id, w),
+    b AS (
+        SELECT w, n, list_transform(string_split(regexp_replace(hex(encode(id || ':' || w)), '(..)', '\1 ', 'g').rtrim(), ' '), lambda x: CAST('0x' || x AS UBIGINT)) AS b
+        FROM g),
+    h AS (SELECT w, n, {_CRC} AS h FROM b),
+    m AS (
+        SELECT CASE WHEN h % 97 = 0 THEN left(w, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word, n
+        FROM h),
+    v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM m WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    d AS (SELECT word, n, unnest(list_transform(range(0, length(word)), lambda i: {{'i': i, 's': left(word, i) || substr(word, i + 2)}})) AS d FROM v),
+    p AS (
+        SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.d.s = b.d.s AND a.d.i = b.d.i AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM d a JOIN v b ON a.d.s = b.word
+        UNION SELECT a.word, b.word, b.n FROM v a JOIN d b ON a.word = b.d.s),
+    q AS (SELECT word, count(*) AS n_near, min({{'less': -n, 'other': other}}) AS best FROM p GROUP BY word),
+    f AS (
+        SELECT v.word, v.n, coalesce(q.n_near, 0) AS n_near, CASE WHEN -q.best.less >= 2 * v.n THEN q.best.other END AS form,
+               CASE WHEN -q.best.less >= 2 * v.n THEN -q.best.less END AS form_n
+        FROM v LEFT JOIN q ON q.word = v.word),
+    w AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT w.word, f.word, f.form FROM w JOIN f ON f.word = w.next)
+    SELECT f.word, f.form, w.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+    FROM f JOIN w ON w.word = f.word AND w.next IS NULL"""

@@ -197,6 +197,20 @@ class Texts:
         first, second = self._chained([_STEP, _BASE])
         return first, second
 
+    def distinct_words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Different words: the first hash of each in ascending order, its second hash, a
+        word that has them; and of every word which of these it is."""
+        names, checks = self.word_names()
+        keys, at, which = np.unique(names, return_index=True, return_inverse=True)
+        if not np.array_equal(checks, checks[at][which]):  # two words share half a name
+            order = np.lexsort((checks, names))
+            new = np.ones(len(order), bool)
+            new[1:] = (names[order][1:] != names[order][:-1]) | (checks[order][1:] != checks[order][:-1])
+            at, which = order[new], np.empty(len(order), np.int64)
+            which[order] = np.cumsum(new) - 1
+            keys = names[at]
+        return keys, checks[at], at, which
+
     def _chained(self, factors: list[np.uint64]) -> list[np.ndarray]:
         """A hash for each factor: eight bytes after the other are added and mixed in."""
         size = self.end - self.start

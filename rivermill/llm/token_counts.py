@@ -80,16 +80,9 @@ class Pieces:
 
     def find(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Of each piece: its place among first; and where the tokens of each piece end up."""
-        names, checks = texts.word_names()
-        keys, at, piece = np.unique(names, return_index=True, return_inverse=True)
-        if not np.array_equal(checks, checks[at][piece]):  # two pieces share half a name
-            order = np.lexsort((checks, names))
-            new = np.ones(len(order), bool)
-            new[1:] = (names[order][1:] != names[order][:-1]) | (checks[order][1:] != checks[order][:-1])
-            at, piece = order[new], np.empty(len(order), np.int64)
-            keys, piece[order] = names[at], np.cumsum(new) - 1
+        keys, checks, at, piece = texts.distinct_words()
         place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = (self.keys[place] == keys) & (self.checks[place] == checks[at]) if len(self.keys) else np.zeros(len(keys), bool)
+        known = (self.keys[place] == keys) & (self.checks[place] == checks) if len(self.keys) else np.zeros(len(keys), bool)
         new = [x.decode("utf-8") for x in texts.spans(at[~known], at[~known] + 1)]
         # Few at a time: encodings are large objects.
         ids = [e.ids for k in range(0, len(new), 256) for e in self.tokens.encode_batch_fast(new[k : k + 256], add_special_tokens=False)]
@@ -100,7 +93,7 @@ class Pieces:
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
         if len(self.keys) + len(new) <= REMEMBERED:
             where = np.searchsorted(self.keys, keys[~known])
-            self.keys, self.checks, self.slots = (np.insert(a, where, b[~known]) for a, b in ((self.keys, keys), (self.checks, checks[at]), (self.slots, slots)))
+            self.keys, self.checks, self.slots = (np.insert(a, where, b[~known]) for a, b in ((self.keys, keys), (self.checks, checks), (self.slots, slots)))
         slot = slots[piece]
         return slot, np.concatenate([[0], np.cumsum(self.first[slot + 1] - self.first[slot])])
 
