@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, mixing, pii, prefix_trie, spelling, substring_dedup, token_counts, token_files, toxicity, warc
+from . import decontamination, exact_dedup, jaccard_join, mixing, packing, pii, prefix_trie, spelling, substring_dedup, token_counts, token_files, toxicity, warc
 from .shared import shared_path
 
 
@@ -54,6 +54,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def rebuilt(sequences: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
     """Conversations that begin with the first h turns of the one whose id is the next lower
     multiple of `every` (as the remainder of SQL counts), and go on with their own after
@@ -75,7 +79,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.words_of(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts, op12_prefix_trie, op13_spelling)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_token_files, op4_jaccard_join, op5_exact_dedup, op6_decontamination, op7_toxicity, op8_mixing, op9_pii, op10_token_counts, op11_packing, op12_prefix_trie, op13_spelling)}
 
 #: Runs of white space, and words, in RE2.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"

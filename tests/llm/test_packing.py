@@ -1,0 +1,103 @@
+"""Packing: pieces tile the documents, windows are full, neighbours are the best unused ones."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rivermill.llm import packing
+
+LOWER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def encoded(texts):
+    tokens = Tokenizer.from_file(LOWER)
+    return [[*tokens.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
+
+
+def check(rows, docs, window):
+    """docs: (doc_id, ids) of each document; ids may repeat."""
+    by_doc, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    wanted = defaultdict(list)
+    for d, ids in docs:
+        wanted[d].append(ids)
+    assert set(by_doc) == set(wanted)
+    for d, pieces in by_doc.items():
+        crc = Counter((r.start, r.length, r.doc_tokens, r.ids_crc32) for r in pieces)
+        assert sum(r.length for r in pieces) == sum(map(len, wanted[d]))
+        if len(wanted[d]) == 1:
+            (ids,) = wanted[d]
+            at = 0
+            for start, length, total, value in sorted(crc):
+                assert (start, total) == (at, len(ids))
+                assert value == zlib.crc32(np.array(ids[at : at + length], "<u4").tobytes())
+                at += length
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at == window or (at < window and at & (at - 1) == 0)
+
+
+@pytest.mark.parametrize("window, shard_ids", [(4096, 1 << 20), (64, 1000)])
+def test_pieces_tile_documents_and_fill_windows(spark, monkeypatch, window, shard_ids):
+    monkeypatch.setattr(packing, "SHARD_IDS", shard_ids)
+    texts = [None, "", " \n", "one", "<|endoftext|> x <|endoftext|>", "naïve — Größe  ΣΑΣ x", "ha " * 9000, " ".join(f"w{i}" for i in range(300))]
+    texts += [" ".join(f"{'abcdefg'[(i * k) % 7]}{i % 13}" for i in range(5 * k)) for k in range(40)]
+    rows = [*enumerate(texts), (None, "nobody's words"), (None, None), (3, "one"), (3, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in "row start ids shard having length".split()})
+    got = packing.pack(df, LOWER, window=window).collect()
+    check(got, [(d, ids) for (d, _), ids in zip(rows, encoded(t for _, t in rows), strict=True)], window)
+    assert packing.pack(df.limit(0), LOWER).collect() == []
+
+
+def test_documents_on_the_table_tile(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = packing.pack(docs, LOWER, token_ids=True).collect()
+    check(got, list(zip((d for d, _ in rows), encoded(t for _, t in rows), strict=True)), 4096)
+    assert all(r.token_ids is None or zlib.crc32(np.array(r.token_ids, "<u4").tobytes()) == r.ids_crc32 for r in got)
+
+
+def test_scores_are_bm25():
+    rng = np.random.default_rng(1)
+    ids = [rng.integers(2, 40, n).astype("<u2") for n in (5, 30, 1, 60, 30, 12)] + [np.array([2], "<u2")]
+    rarity = rng.random(40)
+    index = packing.Index(ids, rarity, 20.0, 2)
+    for seed in range(len(ids)):
+        for other, x in enumerate(ids):
+            often = Counter(x.tolist())
+            wanted = sum(
+                rarity[t] * often[t] * (packing.K1 + 1) / (often[t] + packing.K1 * (1 - packing.B + packing.B * len(x) / 20.0))
+                for t in set(ids[seed].tolist()) - {2}
+                if often[t]
+            )
+            assert math.isclose(index.scores(seed)[other], wanted, abs_tol=1e-9)
+
+
+def test_windows_take_the_best_unused_neighbours():
+    table = np.array([[9, 1, 5, 2], [1, 9, 3, 4], [5, 3, 9, 7], [2, 4, 7, 9.0]])
+    made = packing.fill([4, 3, 4, 5], lambda seed: table[seed], 10)
+    # 0, its best neighbour 2, then 3, cut after two; 3 goes on, its best unused one is 1.
+    assert made == [(0, 0, 4, 0, 0), (2, 0, 4, 0, 4), (3, 0, 2, 0, 8), (3, 2, 3, 1, 0), (1, 0, 3, 1, 3)]
+    assert packing.split_last(made)[3:] == [(3, 2, 3, 1, 0), (1, 0, 1, 1, 3), (1, 1, 2, 2, 0)]
+
+
+def test_texts_of_a_kind_share_windows(spark):
+    kinds = [" ".join(f"{k}word{i}" for i in range(20)) for k in ("red", "blue", "green", "old")]
+    df = spark.createDataFrame([(i, kinds[i % 4]) for i in range(400)], "doc_id long, text string").coalesce(1)
+    got = packing.pack(df, LOWER, window=1024).collect()
+    mixed = defaultdict(Counter)
+    for r in got:
+        mixed[r.sequence_id][r.doc_id % 4] += r.length
+    alike = sum(max(c.values()) for c in mixed.values()) / sum(sum(c.values()) for c in mixed.values())
+    assert alike > 0.9
