@@ -18,7 +18,7 @@ from .shared import Texts, slices
 #: Bytes above which a text is encoded in chunks of so many characters, and their first overlap.
 CHUNK, OVERLAP = 1 << 15, 1 << 7
 #: Pieces that a Python worker remembers with their tokens, some 50 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 SPACES = " \t\n\r\x0b\x0c"
 
 
