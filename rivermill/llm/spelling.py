@@ -22,6 +22,8 @@ from .shared import Texts, materialise, slices, split_by_keys
 LETTERS = "".join(map(chr, [*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)]))
 #: Bytes of text that are counted at once; one longer text makes a part of its own.
 SLICE_BYTES = 4 << 20
+#: Words whose neighbourhoods a task generates, about.
+TASK_WORDS = 1 << 14
 #: Symbols of a reduced word: one character each, from here on.
 _FIRST_SYMBOL = ord("0")
 
@@ -133,10 +135,11 @@ def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
 
     Generated strings pass a Bloom filter of the reduced words before they are shuffled.
     """
-    if symbols is None:
-        symbols = symbols_for(words.count())
+    size = words.count()
+    symbols = symbols_for(size) if symbols is None else symbols
     short = materialise(words.withColumn("short", reduced(F.col("word"), symbols)), "reduced")
-    made = short.select("word", "n", F.explode(neighbourhood(F.col("short"), symbols)).alias("key"))
+    # A word becomes a hundred strings: few words a task.
+    made = short.repartition(size // TASK_WORDS + 1, "word").select("word", "n", F.explode(neighbourhood(F.col("short"), symbols)).alias("key"))
     maybe, _ = split_by_keys(made, F.col("key"), short.select("short").distinct())
     found = short.select(F.col("short").alias("key"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     return maybe.join(found, "key").filter(F.levenshtein("word", "other", 1) == 1).drop("key")
