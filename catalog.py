@@ -411,11 +411,13 @@ def q_starting_offsets(spark, d):
 # -- streams: message files in, all input read, results read back
 
 
-BATCHES = 4
+# Micro-batches, and the message files that each of them reads.
+BATCHES, FILES = 4, 4
 
 
-def _sent(spark, *frames):
-    """Each frame as a stream of message files, cut by time into BATCHES micro-batches.
+def _sent(spark, *frames, mixed=False):
+    """Each frame as a stream of message files, cut into BATCHES micro-batches by time, or by
+    the hash of the messages if `mixed`.
 
     All streams are in one session with the jobs' settings; the number of shuffle
     partitions is the caller's.
@@ -428,15 +430,19 @@ def _sent(spark, *frames):
         path = scratch(spark, "messages")
         msgs = msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE])
         at = F.unix_micros("timestamp")
-        lo, hi = msgs.agg(F.min(at), F.max(at)).head()
-        width = ((hi or 0) - (lo or 0)) // BATCHES + 1
-        # A file for each span of time, which the stream reads in that order.
-        ranged = msgs.withColumn("slice", F.floor((at - F.lit(lo or 0)) / width).cast("int")).persist()
+        if mixed:
+            slice_ = F.pmod(F.xxhash64("offset", "value"), F.lit(BATCHES)).cast("int")
+        else:
+            lo, hi = msgs.agg(F.min(at), F.max(at)).head()
+            width = ((hi or 0) - (lo or 0)) // BATCHES + 1
+            slice_ = F.floor((at - F.lit(lo or 0)) / width).cast("int")
+        # FILES files for each slice, which the stream reads in that order.
+        ranged = msgs.withColumn("slice", slice_).persist()
         for nth in range(BATCHES):
             part = ranged.filter(F.col("slice") == nth).drop("slice")
-            part.repartition(1).write.parquet(f"{path}/slice={nth}")
+            part.repartition(FILES).write.parquet(f"{path}/slice={nth}")
         ranged.unpersist()
-        streams.append(read_topic_files(own, f"{path}/*", 1))
+        streams.append(read_topic_files(own, f"{path}/*", FILES))
     return streams
 
 
@@ -494,10 +500,15 @@ def q_stream_change_dims(spark, d):
     )
 
 
-def q_stream_dau(spark, d):
+def q_stream_dau_late(spark, d):
+    """The same visits from messages in the order of a hash: most come days late."""
+    return q_stream_dau(spark, d, mixed=True)
+
+
+def q_stream_dau(spark, d, mixed=False):
     out, stored = scratch(spark, "dau"), scratch(spark, "dims")
     write_dims(_dim_rows(spark, d), stored, 0)
-    (msgs,) = _sent(spark, _page_messages(spark, d))
+    (msgs,) = _sent(spark, _page_messages(spark, d), mixed=mixed)
     ck = scratch(spark, "ck")
     _run(jobs.run_dau(msgs, stored, out, ck, as_of=as_of(), trigger=ALL_INPUT))
     # Columns that do not depend on which page of the day arrived first.
@@ -519,12 +530,12 @@ def q_stream_order_join(spark, d):
     return spark.read.schema(S.ORDER_WIDE).parquet(out)
 
 
-def _order_docs(spark, d):
+def _order_docs(spark, d, mixed=False):
     """Documents of the order job over all headers and lines."""
     out, stored = scratch(spark, "orders"), scratch(spark, "dims")
     write_dims(_dim_rows(spark, d), stored, 0)
     headers, lines = _sent(
-        spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d)
+        spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d), mixed=mixed
     )
     _run(
         jobs.run_order_wide(
@@ -534,9 +545,14 @@ def _order_docs(spark, d):
     return out
 
 
-def q_stream_order_wide(spark, d):
+def q_stream_order_late(spark, d):
+    """The same documents from messages in the order of a hash: most come years late."""
+    return q_stream_order_wide(spark, d, mixed=True)
+
+
+def q_stream_order_wide(spark, d, mixed=False):
     docs = read_docs(
-        spark, _order_docs(spark, d), S.ORDER_DOC, jobs.ORDER_KEYS, order_by=jobs.ORDER_LAST
+        spark, _order_docs(spark, d, mixed), S.ORDER_DOC, jobs.ORDER_KEYS, order_by=jobs.ORDER_LAST
     )
     return docs.select(
         "detail_id", "create_date", "order_id", "user_gender", "user_age", "province_name",
@@ -571,6 +587,8 @@ def _in_utc(query):
     @functools.wraps(query)
     def run(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        # Thousands of daily folders are listed by few tasks and not by one each.
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
         return query(spark, sf_dir)
 
     return run
@@ -632,6 +650,8 @@ def _queries() -> dict:
         "stream_dau": q_stream_dau,
         "stream_order_join": q_stream_order_join,
         "stream_order_wide": q_stream_order_wide,
+        "stream_order_late": q_stream_order_late,
+        "stream_dau_late": q_stream_dau_late,
         "quarantine_change": q_quarantine_change,
         "quarantine_page": q_quarantine_page,
         "quarantine_order": q_quarantine_order,

@@ -37,7 +37,7 @@ def arguments(argv=None):
     p.add_argument("--on-missing", default="null", choices=["null", "drop", "fail"])
     p.add_argument("--salt", type=int, default=8)
     p.add_argument("--as-of", help="date at which ages are taken; today by default")
-    p.add_argument("--bounded", action="store_true", help="forget devices after --lateness (dau)")
+    p.add_argument("--remember", action="store_true", help="keep devices in the state for ever (dau)")
     p.add_argument("--lateness", help="how far behind the newest message a row may be")
     p.add_argument("--retention", default="24 hours", help="how far apart a header and its lines arrive")
     p.add_argument("--partitions", type=int, help="partitions of the topics, named on a resume")
@@ -103,7 +103,7 @@ def start(spark, a):
             a.sink,
             a.checkpoint,
             a.seen,
-            bounded=a.bounded,
+            bounded=not a.remember,
             lateness=a.lateness or "1 day",
             **lookups,
             **common,

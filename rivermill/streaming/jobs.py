@@ -6,6 +6,7 @@ checkpoint's commit and is keyed by batch or document id, so a replay repeats no
 Messages that cannot be used go, as they came, to the topic S.BAD_TOPIC.
 """
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -31,15 +32,17 @@ from rivermill.plans.wide_tables import dau_dims, order_dims
 from rivermill.session import check
 from rivermill.sinks.docs import write_dims, write_docs
 from rivermill.sinks.topics import append_ledger, ledger_base, offset_ledger, write_topic
-from rivermill.sources.stores import first_batch, read_or_empty
-from rivermill.sources.tables import read_docs, read_provinces, read_table_list, read_users
+from rivermill.sources.pending import expire, is_late, late_pairs, newest_before, put_mark, put_pending
+from rivermill.sources.stores import first_batch, read_or_empty, read_store, write_batch
+from rivermill.sources.tables import doc_schema, read_docs, read_provinces, read_table_list, read_users
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 DAU_KEYS = ["dt", "mid"]
 ORDER_KEYS = ["create_date", "detail_id"]
 # What orders two stored rows of one order line: the arrival of the line's message.
 ORDER_LAST = tuple(f"line_{c}" for c in S.LINE_PLACE)
-_BAD = "bad_message"
+_RAW = "raw_message"
+RAW = T.StructType([T.StructField("kind", T.StringType()), *S.MESSAGE.fields])
 
 
 def run_log_split(
@@ -98,6 +101,9 @@ def run_change_split(
     return _each_batch(msgs, split, checkpoint, name, trigger)
 
 
+LATE_KEYS = T.StructType(
+    [*[T.StructField(c, T.StringType()) for c in DAU_KEYS], T.StructField("batch_id", T.LongType())]
+)
 PINNED = T.StructType([T.StructField("path", T.StringType())])
 
 
@@ -130,7 +136,7 @@ def run_dau(
     seen_path: str | None = None,
     as_of: Column | None = None,
     on_missing: str = "null",
-    bounded: bool = False,
+    bounded: bool = True,
     lateness: str = "1 day",
     salt: int = 8,
     bad: dict[str, str] | None = None,
@@ -140,13 +146,16 @@ def run_dau(
     """Page log -> first visit per device and day -> DAU_INFO documents.
 
     Dimensions are read as they stand when the micro-batch is written. `seen_path`, for
-    a fresh checkpoint over a sink that already has rows, holds the pinned snapshot. By
-    default devices are remembered for ever and no row is too late; `bounded` forgets
-    them after `lateness` and drops later rows. Unusable messages go to `bad`, by
-    default message files beside the sink.
+    a fresh checkpoint over a sink that already has rows, holds the pinned snapshot.
+    Unusable messages go to `bad`, by default message files beside the sink.
+
+    The state forgets a device `lateness` after its visit. No row is too late: later ones are
+    compared with the stored documents of their days, and the keys that they add, kept
+    beside the sink, with the visits that still come in time. With `bounded` off devices
+    are remembered for ever instead.
     """
     spark = msgs.sparkSession
-    bad = bad or {"path": f"{sink_path}_bad"}
+    bad, late_path = bad or {"path": f"{sink_path}_bad"}, f"{sink_path}_late"
     pages = dau.observe_pages(parse_page_log(msgs))
     visits = dau.observe_visits(
         dau.daily_first_visit(dau.first_pages(pages), bounded, lateness, salt)
@@ -154,7 +163,16 @@ def run_dau(
     seen = pin_seen(spark, sink_path, seen_path) if seen_path else None
     first = first_batch(spark, checkpoint, sink_path, *_folder(bad))
 
-    def store(rows: DataFrame, batch_id: int) -> None:
+    def late_visits(rows: DataFrame, opened: DataFrame, newest: int, earlier: Column) -> DataFrame:
+        """First visits too late for the state, of devices not stored for their day."""
+        late = dau.daily_first_visit(opened.filter(is_late(F.timestamp_millis("ts"), newest, lateness)))
+        days = [r.dt for r in late.select("dt").distinct().collect()]
+        stored = read_store(rows.sparkSession, sink_path, doc_schema(S.DAU_INFO))
+        late = dau.rebuild_seen(late, stored.filter(F.col("dt").isin(days) & earlier))
+        # Those that the state still took are among the rows.
+        return dau.rebuild_seen(late, rows)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
         new = rows if seen is None else dau.rebuild_seen(rows, at_hand(seen, rows.select(*DAU_KEYS)))
         wide = dau_dims(
             new,
@@ -166,8 +184,26 @@ def run_dau(
         )
         write_docs(wide, sink_path, DAU_KEYS, ["ts"], batch_id, day="dt", unique=True)
 
-    both = _with_bad(visits, quarantine_page(msgs))
-    return _each_batch(both, _apart(store, bad, first), checkpoint, name, trigger)
+    def store(rows: DataFrame, raw: Callable[[str], DataFrame], batch_id: int) -> None:
+        spark = rows.sparkSession
+        newest = newest_before(spark, late_path, batch_id) if bounded else None
+        opened = dau.first_pages(parse_page_log(raw("page")))
+        if newest is None:
+            write(rows, batch_id)
+        else:
+            earlier = F.col("batch_id") < batch_id
+            late = late_visits(rows, opened, newest, earlier).persist()
+            try:
+                write_batch(late.select(*DAU_KEYS), f"{late_path}/keys", batch_id)
+                added = read_or_empty(spark, f"{late_path}/keys", LATE_KEYS).filter(earlier)
+                write(dau.rebuild_seen(rows, added).unionByName(late), batch_id)
+            finally:
+                late.unpersist()
+        if bounded:
+            put_mark(spark, late_path, batch_id, opened.agg(F.max(F.col("ts") * 1000)).head()[0])
+
+    both = _with_raw(visits, {"page": msgs})
+    return _each_batch(both, _apart(store, {"page": quarantine_page}, bad, first), checkpoint, name, trigger)
 
 
 def run_order_wide(
@@ -181,6 +217,8 @@ def run_order_wide(
     on_missing: str = "null",
     salt: int = 8,
     lateness: str | None = None,
+    pending: str | None = None,
+    keep: str = "7 days",
     bad: dict[str, str] | None = None,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
@@ -189,31 +227,50 @@ def run_order_wide(
 
     Dimensions are added after the join, so the join state holds narrow headers and a
     restart is not needed to see new dimension rows. Of several rows of an order line the
-    one whose message arrived last counts. State is kept for `retention` and `lateness`
-    (by default the same again): a row further behind the newest message is dropped.
+    one whose message arrived last counts.
+
+    State is kept for `retention` and `lateness` (by default the same again). No row is too
+    late for a document: headers and lines are also kept in `pending` (by default beside
+    the sink), where rows that the state has no partners for any more find them, until all
+    rows of their batch are `keep` behind the newest.
     """
     spark = info_msgs.sparkSession
     bad = bad or {"path": f"{sink_path}_bad"}
-    headers = create_parts(parse_order_info(info_msgs))
-    lines = parse_order_detail(detail_msgs, tuple(S.LINE_PLACE[1:]))
-    joined = orders.order_wide_join(headers, lines, retention, salt, lateness)
+    pending, delay = pending or f"{sink_path}_pending", lateness or retention
+    parsed = {
+        "info": lambda msgs: create_parts(parse_order_info(msgs)),
+        "detail": lambda msgs: parse_order_detail(msgs, tuple(S.LINE_PLACE[1:])),
+    }
+    sides = {"info": info_msgs, "detail": detail_msgs}
+    joined = orders.order_wide_join(parsed["info"](info_msgs), parsed["detail"](detail_msgs), retention, salt, lateness)
     first = first_batch(spark, checkpoint, sink_path, *_folder(bad))
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, raw: Callable[[str], DataFrame], batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = newest_before(spark, pending, batch_id)
+        new = {side: parsed[side](raw(side)) for side in sides}
+        for side, rows in new.items():
+            put_pending(rows, pending, side, batch_id, newest, delay)
+        if newest is not None:
+            late = late_pairs(spark, pending, batch_id, new["info"].schema, new["detail"].schema, retention, salt)
+            batch = batch.unionByName(late)
         rows = orders.merge_order_wide(batch, place=True)
         wide = order_dims(
             rows,
             _needed_users(rows, dims_path),
-            read_provinces(rows.sparkSession, dims_path),
+            read_provinces(spark, dims_path),
             as_of,
             on_missing,
             salt,
         )
         write_docs(wide, sink_path, ORDER_KEYS, list(ORDER_LAST), batch_id, day="create_date")
+        arrivals = new["info"].select("arrival").unionByName(new["detail"].select("arrival"))
+        put_mark(spark, pending, batch_id, arrivals.agg(F.max(F.unix_micros("arrival"))).head()[0])
+        expire(spark, pending, keep)
 
-    unusable = quarantine_order(info_msgs, "info").unionByName(quarantine_order(detail_msgs, "detail"))
-    both = _with_bad(joined, unusable)
-    return _each_batch(both, _apart(store, bad, first), checkpoint, name, trigger)
+    both = _with_raw(joined, sides)
+    unusable = {side: lambda msgs, side=side: quarantine_order(msgs, side) for side in sides}
+    return _each_batch(both, _apart(store, unusable, bad, first), checkpoint, name, trigger)
 
 
 def _folder(target: dict[str, str]) -> list[str]:
@@ -224,23 +281,33 @@ def _bad_messages(msgs: DataFrame, topic: str = S.BAD_TOPIC) -> DataFrame:
     return msgs.select(F.lit(topic).alias("topic"), F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def _with_bad(rows: DataFrame, bad: DataFrame) -> DataFrame:
-    """Rows of the job and, in the same micro-batches, the messages it cannot use."""
-    message = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.MESSAGE])
-    marked = rows.withColumn(_BAD, F.lit(None).cast(S.MESSAGE))
-    return marked.unionByName(bad.select(message.alias(_BAD)), allowMissingColumns=True)
+def _with_raw(rows: DataFrame, msgs: dict[str, DataFrame]) -> DataFrame:
+    """Rows of the job and, in the same micro-batches, the messages they come from."""
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.MESSAGE]
+    both = rows.withColumn(_RAW, F.lit(None).cast(RAW))
+    for kind, frame in msgs.items():
+        message = F.struct(F.lit(kind).alias("kind"), *fields)
+        both = both.unionByName(frame.select(message.alias(_RAW)), allowMissingColumns=True)
+    return both
 
 
-def _apart(store: Callable, bad: dict[str, str], first: int) -> Callable:
-    """Store the rows of a micro-batch, and send the unusable messages to `bad`."""
+def _apart(store: Callable, unusable: dict[str, Callable], bad: dict[str, str], first: int) -> Callable:
+    """Store the rows of a micro-batch, and send the messages that cannot be used to `bad`."""
 
     def both(batch: DataFrame, batch_id: int) -> None:
         # Kept, because running the batch again would run its stateful steps again.
         kept = batch.persist()
+
+        def raw(kind: str) -> DataFrame:
+            of_kind = F.col(f"{_RAW}.kind") == kind
+            return kept.filter(of_kind).select(*[F.col(_RAW)[c].alias(c) for c in S.MESSAGE.names])
+
         try:
-            store(kept.filter(F.col(_BAD).isNull()).drop(_BAD), first + batch_id)
-            messages = kept.filter(F.col(_BAD).isNotNull()).select(f"{_BAD}.*")
-            write_topic(_bad_messages(messages), bad, first + batch_id)
+            if kept.isEmpty():  # a batch that only moved the watermark
+                return
+            store(kept.filter(F.col(_RAW).isNull()).drop(_RAW), raw, first + batch_id)
+            messages = [_bad_messages(find(raw(kind))) for kind, find in unusable.items()]
+            write_topic(functools.reduce(DataFrame.unionByName, messages), bad, first + batch_id)
         finally:
             kept.unpersist()
 

@@ -14,8 +14,10 @@ from rivermill.functions.scalars import create_parts
 from rivermill.operators import changes, dau, logs
 from rivermill.operators.orders import merge_order_wide, order_wide_join
 from rivermill.plans.wide_tables import dau_wide, order_dims
+from rivermill.sinks import docs
 from rivermill.sinks.docs import write_dims, write_docs
 from rivermill.sinks.topics import read_ledger, write_topic
+from rivermill.sources import pending
 from rivermill.sources.stores import snapshot
 from rivermill.sources.tables import (
     compact_dims,
@@ -297,24 +299,13 @@ def test_order_stream_equals_batch(spark, sf, tmp_path, dims_path, salt):
 
 @pytest.mark.parametrize("first", ["info", "detail"])
 def test_sides_in_different_batches_across_a_restart(spark, tmp_path, dims_path, first):
-    at = lambda hour: F.lit(f"2024-01-01 {hour:02d}:00:00").cast("timestamp")
-
-    def message(topic, value, hour, n):
-        return spark.range(1).select(
-            F.lit(None).cast("string").alias("key"),
-            F.lit(value).alias("value"),
-            F.lit(topic).alias("topic"),
-            F.lit(0).alias("partition"),
-            F.lit(n).cast("bigint").alias("offset"),
-            at(hour).alias("timestamp"),
-        )
-
+    at = lambda hour: f"2024-01-01 {hour:02d}:00:00"
     header = '{"id":1,"user_id":4,"province_id":7,"create_time":"2024-01-01 10:00:00"}'
     line = '{"id":11,"order_id":1,"sku_num":2,"create_time":"2024-01-01 10:01:00"}'
     hours = {"info": 10, "detail": 12} if first == "info" else {"info": 12, "detail": 10}
     made = {
-        "info": message(S.ORDER_INFO_TOPIC, header, hours["info"], 0),
-        "detail": message(S.ORDER_DETAIL_TOPIC, line, hours["detail"], 0),
+        "info": message(spark, S.ORDER_INFO_TOPIC, header, at(hours["info"]), 0),
+        "detail": message(spark, S.ORDER_DETAIL_TOPIC, line, at(hours["detail"]), 0),
     }
     empty = made["info"].limit(0)
     second = "detail" if first == "info" else "info"
@@ -330,6 +321,88 @@ def test_sides_in_different_batches_across_a_restart(spark, tmp_path, dims_path,
     ]
 
 
+def message(spark, topic, value, when, n):
+    return spark.range(1).select(
+        F.lit(None).cast("string").alias("key"),
+        F.lit(value).alias("value"),
+        F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.lit(n).cast("bigint").alias("offset"),
+        F.lit(when).cast("timestamp").alias("timestamp"),
+    )
+
+
+def order_message(spark, side, n, when):
+    """Header n, or line n of order n."""
+    value = {"info": f'{{"id":{n},"create_time":"{when}"}}', "detail": f'{{"id":{n},"order_id":{n},"create_time":"{when}"}}'}[side]
+    return message(spark, {"info": S.ORDER_INFO_TOPIC, "detail": S.ORDER_DETAIL_TOPIC}[side], value, when, n)
+
+
+@pytest.mark.parametrize("late", ["info", "detail", "both"])
+def test_rows_behind_the_watermark_find_their_partners(spark, tmp_path, dims_path, late):
+    """Order 1 is of the first day; the newest message is nine days on when the late side comes.
+    A header that comes in time may still belong to a line that came late before."""
+    old, new = "2024-01-01 10:00:00", "2024-01-10 10:00:00"
+    batches = [{"info": [(9, new)], "detail": [(9, new)]}, {"info": [], "detail": []}, {"info": [(8, new)], "detail": [(8, new)]}]
+    for side in ("info", "detail"):
+        batches[1 if late in (side, "both") else 0][side].append((1, old))
+    # The line is a day and an hour behind the newest, its header is not.
+    batches[1]["detail"].append((2, "2024-01-09 09:00:00"))
+    batches[2]["info"].append((2, "2024-01-09 10:30:00"))
+    for k, batch in enumerate(batches):
+        for side, made in batch.items():
+            frame = order_message(spark, side, 0, old).limit(0)
+            for n, when in made:
+                frame = frame.unionByName(order_message(spark, side, n, when))
+            append_file(frame, f"{tmp_path}/{side}")
+        query = order_job(spark, tmp_path, dims_path, keep="30 days")
+        if k == 1:
+            assert sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"]) > 0
+    assert rows(stored_orders(spark, tmp_path), "detail_id", "order_id") == [(1, 1), (2, 2), (8, 8), (9, 9)]
+
+
+def test_kept_rows_expire(spark, tmp_path):
+    path, headers = f"{tmp_path}/pending", lambda day: parse.parse_order_info(order_message(spark, "info", 1, f"2024-01-{day:02d} 10:00:00"))
+    for batch, day in enumerate((1, 2, 9, 3)):
+        newest = pending.newest_before(spark, path, batch)
+        pending.put_pending(headers(day), path, "info", batch, newest, "24 hours")
+        pending.put_mark(spark, path, batch, headers(day).agg(F.max(F.unix_micros("arrival"))).head()[0])
+    pending.expire(spark, path, "150 hours")
+    kept = spark.read.parquet(f"{path}/info").select("batch_id", "late").collect()
+    assert sorted((r.batch_id, r.late) for r in kept) == [(2, "false"), (3, "true")]
+    assert pending.newest_before(spark, path, 9) == 1_704_794_400_000_000
+
+
+def test_devices_days_late_are_seen_once_and_state_ends(spark, sf, tmp_path, dims_path):
+    """Messages in the order of a hash, over some days: every batch has rows days late."""
+    msgs = page_messages(spark, sf)
+    for k in range(3):
+        append_file(msgs.filter(F.pmod(F.xxhash64("offset"), F.lit(3)) == k), f"{tmp_path}/pages")
+    query = run_dau(spark, tmp_path, dims_path, salt=1)
+    batch = dau_wide(parse.parse_page_log(msgs), read_users(spark, dims_path), read_provinces(spark, dims_path), as_of())
+    assert rows(stored_dau(spark, tmp_path), *STEADY) == rows(batch, *STEADY)
+    assert spark.read.parquet(f"{tmp_path}/dau").count() == batch.count()
+    assert spark.read.parquet(f"{tmp_path}/dau_late/keys").count() > 0
+    newest = batch.agg(F.max("dt")).head()[0]
+    recent = batch.filter(F.datediff(F.lit(newest), "dt") <= 2).count()
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= recent < batch.count()
+
+
+def test_a_day_has_one_file_unless_it_is_large(spark, tmp_path):
+    few = spark.range(3000).select((F.col("id") % 300).cast("string").alias("dt"), "id").repartition(16)
+    write_docs(few, f"{tmp_path}/few", ["dt", "id"], ["id"], 0, unique=True)
+    files = lambda name: spark.read.parquet(f"{tmp_path}/{name}").select("dt", F.input_file_name().alias("f")).distinct().groupBy("dt").count()
+    assert {r["count"] for r in files("few").collect()} == {1}
+    hot = spark.range(4000).select(F.when(F.col("id") < 40, F.col("id").cast("string")).alias("dt"), "id")
+    with_hot = docs.by_day(hot, "dt", file_rows=500)
+    per_task = [r["count"] for r in with_hot.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) < 700 and len(per_task) == 8 + 8
+    assert rows(with_hot) == rows(hot)
+    placed, tasks = docs.day_tasks([(f"d{k}", 10) for k in range(1000)] + [("big", 2_500_000)], 8)
+    assert tasks == 8 + 3 and placed[-1] == ("big", 8, 3)
+    assert docs.day_tasks([], 8) == ([], 1)
+
+
 def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
     docs = C.visits(spark, sf)
     path = f"{tmp_path}/docs"
