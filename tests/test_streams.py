@@ -18,8 +18,9 @@ from rivermill.sinks import docs
 from rivermill.sinks.docs import write_dims, write_docs
 from rivermill.sinks.topics import read_ledger, write_topic
 from rivermill.sources import pending
-from rivermill.sources.stores import snapshot
+from rivermill.sources.stores import read_store, snapshot
 from rivermill.sources.tables import (
+    DIM_STORE,
     compact_dims,
     compact_docs,
     compact_ledger,
@@ -493,3 +494,23 @@ def test_folded_stores_read_the_same(spark, sf, tmp_path):
     wanted = rows(read_dims(spark, dims), "dim_key", "op", "data")
     compact_dims(spark, dims, delete=True)
     assert rows(read_dims(spark, dims), "dim_key", "op", "data") == wanted
+
+
+def test_a_lookup_reads_the_buckets_of_its_keys(spark, sf, tmp_path, dims_path):
+    path = f"{tmp_path}/dims"
+    write_dims(C._dim_rows(spark, sf), path, 0)
+    assert compact_dims(spark, path) == 0
+    assert snapshot(spark, path).buckets == 16
+    every = read_users(spark, path)
+    assert rows(every) == rows(read_users(spark, dims_path)) and every.count() > 100
+    few = every.select("id").orderBy("id").limit(5)
+    got = read_store(spark, path, DIM_STORE, few).filter("table = 'user_info'")
+    read = got.select(F.input_file_name().alias("f")).distinct().count()
+    assert 0 < read <= 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    asked = read_users(spark, path, ids=few)
+    assert rows(asked) == rows(every.join(few, "id", "left_semi"))
+    # Rows that came after the fold count too, whatever their bucket.
+    write_dims(C._dim_rows(spark, sf).filter("id = '1'").withColumns({"op": F.lit("D"), "timestamp": F.lit("2030-01-01").cast("timestamp")}), path, 1)
+    assert read_users(spark, path, "remove", ids=every.select("id").filter("id = '1'")).count() == 0
