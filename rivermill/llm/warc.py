@@ -160,15 +160,16 @@ def reassemble(records: DataFrame) -> DataFrame:
     return whole.unionByName(joined.drop("origin", "parts", "total"))
 
 
-BODY = "record_type string, page_id long, url string, refers_to long, complete boolean, payload_bytes long, payload_digest string, payload binary"
+BODY = "record_type string, page_id long, url string, refers_to long, complete boolean, payload_bytes long, payload_digest string, payload binary, digest string"
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The pages of the archives: record_type, page_id, url, refers_to, complete,
     payload_bytes, payload_digest and, if asked for, payload.
 
-    Chunked framing is decoded. A revisit gets length, digest and payload of the response
-    it refers to. `complete` is false, and the digest that of what is there, where segments are
+    Chunked framing is decoded. A revisit gets length and payload of the response with the
+    id it refers to and the digest in its own header; without one it has that digest and
+    no payload. `complete` is false then; it is false too, and the digest that of what is there, where segments are
     missing or the payload does not match the digest in its header.
     """
 
@@ -180,14 +181,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
             right = (rows["payload_digest"] == rows["digest"]) | rows["digest"].isna() | (rows["record_type"] == "revisit")
             rows["complete"] = rows["complete"] & pd.Series([ok for _, ok in found], index=rows.index) & right
             rows["payload"] = [p for p, _ in found] if payloads else None
-            yield rows.drop(columns=["block", "digest"])
+            yield rows.drop(columns=["block"])
 
     made = materialise(reassemble(read_records(spark, path)).mapInPandas(bodies, BODY), "bodies")
-    responses = made.filter("record_type = 'response'")
-    body = ["complete", "payload_bytes", "payload_digest", "payload"]
-    origin = responses.filter("page_id is not null").select(F.col("page_id").alias("refers_to"), *body).dropDuplicates(["refers_to"])
-    wanted = made.filter("record_type = 'revisit'").select("record_type", "page_id", "url", "refers_to")
-    revisits = wanted.join(materialise(origin.join(wanted.select("refers_to").distinct(), "refers_to", "left_semi"), "origins"), "refers_to", "left")
+    responses = made.filter("record_type = 'response'").drop("digest")
+    # Ids may repeat with other payloads: a revisit's own header says which one it means.
+    key = ["refers_to", "payload_digest"]
+    origin = responses.filter("page_id is not null").select(F.col("page_id").alias("refers_to"), "complete", "payload_bytes", "payload_digest", "payload").dropDuplicates(key)
+    wanted = made.filter("record_type = 'revisit'").select("record_type", "page_id", "url", "refers_to", F.col("digest").alias("payload_digest"))
+    revisits = wanted.join(materialise(origin.join(wanted.select(*key).distinct(), key, "left_semi"), "origins"), key, "left")
     pages = responses.unionByName(revisits.withColumn("complete", F.coalesce("complete", F.lit(False))))
     return pages if payloads else pages.drop("payload")
 

@@ -499,3 +499,12 @@ def test_words_made_to_collide_keep_apart(spark):
     lower = Tokenizer.from_file(LOWER)
     got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, LOWER).collect()}
     assert got == {i: len(lower.encode(w, add_special_tokens=False).ids) for i, w in enumerate(words)}
+
+
+def test_revisits_keep_their_own_payload_where_ids_repeat(spark, tmp_path):
+    a, b = "a" * 200, "b" * 200
+    pages = spark.createDataFrame([(1, "u", a), (1, "u", b), (3, "u", b)], "page_id long, url string, html string")
+    warc.write_warc(pages, f"{tmp_path}/warc")
+    got = warc.read_warc(spark, f"{tmp_path}/warc").collect()
+    digest = {x: hashlib.sha256(x.encode()).hexdigest() for x in (a, b)}
+    same([(r.page_id, r.payload_digest, r.payload.decode(), r.complete) for r in got], [(1, digest[a], a, True), (1, digest[b], b, True), (3, digest[b], b, True)])
