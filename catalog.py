@@ -15,6 +15,7 @@ from rivermill.plans.wide_tables import dau_wide, order_wide
 from rivermill.sinks.docs import split_by_day, upsert_docs, write_dims, write_docs
 from rivermill.sinks.topics import offset_ledger
 from rivermill.session import SETTINGS
+from rivermill.sources.state import held_pending
 from rivermill.sources.tables import compact_dims, compact_docs, read_dims, read_docs, read_sink_field
 from rivermill.sources.topics import batch_offsets, read_topic_files, starting_offsets
 from rivermill.streaming import jobs
@@ -530,6 +531,30 @@ def q_stream_order_join(spark, d):
     return spark.read.schema(S.ORDER_WIDE).parquet(out)
 
 
+def _joining(spark, d):
+    """Checkpoint of the order join over all headers and lines, none of which has expired."""
+    ck = scratch(spark, "ck")
+    headers, lines = _sent(
+        spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d)
+    )
+    joined = orders.order_wide_join(
+        parse.parse_order_info(headers), parse.parse_order_detail(lines), "10000 days", salt=2
+    )
+    writer = joined.writeStream.option("checkpointLocation", ck).format("noop")
+    _run(writer.trigger(**ALL_INPUT).start())
+    return ck
+
+
+def q_stream_pending_details(spark, d):
+    return held_pending(spark, _joining(spark, d), "detail").select(*LINE)
+
+
+def q_stream_pending_orders(spark, d):
+    return held_pending(spark, _joining(spark, d), "info").select(
+        "id", "user_id", "total_amount", "create_time"
+    )
+
+
 def _order_docs(spark, d, mixed=False):
     """Documents of the order job over all headers and lines."""
     out, stored = scratch(spark, "orders"), scratch(spark, "dims")
@@ -651,6 +676,8 @@ def _queries() -> dict:
         "stream_order_join": q_stream_order_join,
         "stream_order_wide": q_stream_order_wide,
         "stream_order_late": q_stream_order_late,
+        "stream_pending_details": q_stream_pending_details,
+        "stream_pending_orders": q_stream_pending_orders,
         "stream_dau_late": q_stream_dau_late,
         "quarantine_change": q_quarantine_change,
         "quarantine_page": q_quarantine_page,

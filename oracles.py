@@ -238,6 +238,8 @@ def oracle_sql() -> dict[str, str]:
     found = _oracles()
     # Message order changes no result.
     found["stream_order_late"], found["stream_dau_late"] = found["stream_order_wide"], found["stream_dau"]
+    for name in ("pending_details", "pending_orders"):
+        found[f"stream_{name}"] = found[name]
     return found
 
 
