@@ -62,19 +62,19 @@ def load(path: str):
 
 
 @functools.cache
-def known_pieces(path: str) -> Pieces:
+def known_pieces(path: str, most: int = REMEMBERED) -> Pieces:
     """The pieces that this Python worker remembers, over the tasks that it runs."""
-    return Pieces(load(path))
+    return Pieces(load(path), most)
 
 
 class Pieces:
     """Tokens of the pieces of texts, by the 128-bit name of a piece.
 
-    The first REMEMBERED different pieces of a worker are kept: frequent ones come early.
+    The first `most` different pieces of a worker are kept: frequent ones come early.
     """
 
-    def __init__(self, tokens) -> None:
-        self.tokens = tokens
+    def __init__(self, tokens, most: int = REMEMBERED) -> None:
+        self.tokens, self.most = tokens, most
         self.keys, self.checks, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
@@ -91,7 +91,7 @@ class Pieces:
         slots[~known] = len(self.first) - 1 + np.arange(len(new))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
-        if len(self.keys) + len(new) <= REMEMBERED:
+        if len(self.keys) + len(new) <= self.most:
             where = np.searchsorted(self.keys, keys[~known])
             self.keys, self.checks, self.slots = (np.insert(a, where, b[~known]) for a, b in ((self.keys, keys), (self.checks, checks), (self.slots, slots)))
         slot = slots[piece]

@@ -27,6 +27,8 @@ HEAD = np.dtype([("magic", "S8"), ("bytes", "<u8"), ("docs", "<u8"), ("ids", "<u
 BLOCK_IDS, RANK_BITS = 1 << 19, 512
 #: Bytes of text that are encoded at once; one longer text makes a part of its own.
 SLICE_BYTES = 1 << 19
+#: Pieces that a worker remembers, beside the blocks that it builds.
+REMEMBERED = 400_000
 #: Text bytes that go to one file, about.
 FILE_BYTES = 24 << 20
 #: Bytes that begin a character other than white space, whatever follows them.
@@ -167,7 +169,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = load(tokenizer)
         special = [t.content.encode() for t in tokens.get_added_tokens_decoder().values()]
-        known, held, size = known_pieces(tokenizer), [], 0
+        known, held, size = known_pieces(tokenizer, REMEMBERED), [], 0
         for batch in batches:
             for lo, hi, texts in slices(batch.column("text"), SLICE_BYTES):
                 ids, first = known.ids(pieces(texts, special))
