@@ -17,42 +17,74 @@ from .shared import Texts, clean_words, gram_hashes, mix, slices, whole_grams
 SIMILARITY, RECALL = 0.8, 0.99
 #: Words of the benchmark that one pass over the documents looks for.
 BLOCK_WORDS = 1 << 20
-#: Items of fewer words are not told from chance and are left out.
-LEAST_WORDS = 5
 #: Words that one walk goes over, and positions of it in a key.
 STRETCH, KEY_POSITIONS = 10, 2
-#: Pairs of an item and its edited copy by which the number of keys is measured; most keys.
-TRIALS, MOST_KEYS = 1000, 96
+#: Pairs of an item and its edited copy by which the number of keys is measured; keys that are
+#: tried first, twice as many until they are enough.
+TRIALS, FIRST_KEYS = 1000, 96
 LARGEST_GRAM = 4
 #: Windows that are embedded at once.
 WINDOWS = 1 << 13
 
 
+def run_size(length: int, edits: int) -> int:
+    """Words of the runs by which windows are found: at least one is whole after any edits."""
+    return min(LARGEST_GRAM, max(1, (length - edits) // (edits + 1)))
+
+
 def tables_for(recall: float, length: int, edits: int) -> int:
     """Keys for each window of `length` words, so that at least one agrees with probability
-    `recall` with that of a copy in which `edits` words were substituted.
+    `recall` with that of a copy in which `edits` words were substituted, inserted or deleted.
 
-    Measured on drawn pairs with the very keys that are used, the edits being anywhere, evenly
-    spread, at the front or at the end; half of the allowed misses are left for chance. The
-    floor is what keys need of which each position agrees in half of all cases.
+    Measured on drawn pairs with the very keys and windows that are used, substitutions being
+    anywhere, evenly spread, at the front or at the end, the others anywhere; half of the
+    allowed misses are left for chance. The floor is what keys need of which each position
+    agrees in half of all cases.
     """
-    floor = math.ceil(math.log(1 - recall) / math.log(1 - 0.5**KEY_POSITIONS))
+    most = math.ceil(math.log(1 - recall) / math.log(1 - 0.5**KEY_POSITIONS))
     if not edits:
         return 1
     rng = np.random.default_rng(length)
     trials = max(100, min(TRIALS, (1 << 21) // length))
-    words = rng.integers(1, 1 << 63, (trials, length), np.uint64)
-    keys, most = keys_of(words, MOST_KEYS), floor
+    words = _drawn(rng, trials, length)
     anywhere = rng.permuted(np.tile(np.arange(length), (trials, 1)), axis=1)[:, :edits]
     for places in (anywhere, np.arange(edits) * length // edits, np.arange(edits), np.arange(length - edits, length)):
         other = words.copy()
-        np.put_along_axis(other, np.broadcast_to(places, (trials, edits)), rng.integers(1, 1 << 63, (trials, edits), np.uint64), 1)
-        met = np.logical_or.accumulate(keys == keys_of(other, MOST_KEYS), axis=1).mean(0)
-        enough = met >= 1 - (1 - recall) / 2
-        most = max(most, int(enough.argmax()) + 1 if enough.any() else MOST_KEYS)
+        np.put_along_axis(other, np.broadcast_to(places, (trials, edits)), _drawn(rng, trials, edits), 1)
+        most = max(most, _enough(words, [other], recall, 0))
+    margin = _drawn(rng, trials, edits)
+    kept = np.sort(rng.permuted(np.tile(np.arange(length), (trials, 1)), axis=1)[:, edits:], axis=1)
+    shorter = np.hstack([margin, np.take_along_axis(words, kept, 1), margin])
+    places = np.sort(rng.permuted(np.tile(np.arange(length + edits), (trials, 1)), axis=1)[:, :length], axis=1)
+    longer = _drawn(rng, trials, length + edits)
+    np.put_along_axis(longer, places, words, 1)
+    for copy in (shorter, longer):
+        most = max(most, _enough(words, [copy[:, k : k + length] for k in range(edits + 1)], recall, run_size(length, edits)))
     return most
 
 
+def _drawn(rng: np.random.Generator, rows: int, width: int) -> np.ndarray:
+    return rng.integers(1, 1 << 63, (rows, width), np.uint64)
+
+
+def _enough(words: np.ndarray, windows: list[np.ndarray], recall: float, run: int) -> int:
+    """Keys until those of some window agree; a window is looked at only if it has `run`
+    successive words at their places."""
+    looked_at = []
+    for w in windows:
+        same = np.pad(np.cumsum(w == words, axis=1), ((0, 0), (1, 0)))
+        looked_at.append(np.flatnonzero((same[:, run:] - same[:, : same.shape[1] - run] == run).any(1)))
+    tried = FIRST_KEYS
+    while True:
+        keys, met = keys_of(words, tried), np.zeros((len(words), tried), bool)
+        for w, rows in zip(windows, looked_at, strict=True):
+            met[rows] |= keys[rows] == keys_of(w[rows], tried)
+        enough = np.logical_or.accumulate(met, axis=1).mean(0) >= 1 - (1 - recall) / 2
+        if enough.any():
+            return int(enough.argmax()) + 1
+        tried *= 2
+
+
 @dataclass
 class Items:
     """A block of benchmark items, ready to be searched for."""
@@ -70,11 +102,11 @@ class Items:
         by_gram: dict[int, list[tuple[int, int, int]]] = {}
         by_length: dict[int, list[int]] = {}
         for i, words in enumerate(self.words):
-            size = min(LARGEST_GRAM, max(1, (len(words) - self.edits[i]) // (self.edits[i] + 1)))
-            by_gram.setdefault(int(size), []).extend((g, len(words), o) for o, g in enumerate(gram_hashes(words, int(size)).tolist()))
+            size = run_size(len(words), int(self.edits[i]))
+            by_gram.setdefault(size, []).extend((g, len(words), o) for o, g in enumerate(gram_hashes(words, size).tolist()))
             by_length.setdefault(len(words), []).append(i)
             # Each edit breaks at most `size` runs, so so many are left, and how far they spread.
-            self.need[len(words)] = (len(words) - int(size) + 1 - int(size * self.edits[i]), len(words) + int(self.edits[i]))
+            self.need[len(words)] = (len(words) - size + 1 - size * int(self.edits[i]), len(words) + int(self.edits[i]))
         for size, found in by_gram.items():
             found = np.array(sorted(set(found)), dtype=np.uint64)
             seen = np.zeros(1 << 20, bool)
@@ -213,7 +245,7 @@ def blocks(benchmark: DataFrame, similarity: float, recall: float, id_col: str =
             hashes = clean.word_hashes()
             hashes[hashes == 0] = 1
             for r in range(hi - lo):
-                if clean.first[r + 1] - clean.first[r] >= LEAST_WORDS:
+                if clean.first[r + 1] > clean.first[r]:
                     ids.append(table["id"][lo + r].as_py())
                     found.append(hashes[clean.first[r] : clean.first[r + 1]])
         edits = np.array([int((1 - similarity) * len(w) + 1e-9) for w in found], np.int64)
@@ -232,8 +264,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     for each length follows from `recall`, measured at the most edits. Only the benchmark is sent to the tasks, in blocks of bounded
     size with a pass over the documents for each; nothing is shuffled.
 
-    Null and empty texts hold nothing, items of fewer than LEAST_WORDS words are left out,
-    repeated rows repeat, ids may be null, other columns are ignored.
+    Null and empty texts hold nothing and items without words are in none; items of one to
+    four words have no edits, so only whole occurrences count; repeated rows repeat, ids
+    may be null, other columns are ignored.
 
     Returns a row for each text and item that it holds, at its best place: doc_id, item_id,
     edits, item_words, start and stop (code points of the text).

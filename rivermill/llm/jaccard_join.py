@@ -19,9 +19,12 @@ TOKENS = 64
 #: A bucket of more sets is split again, up to DEEPEST times, which the join's runs allow for;
 #: levels that runs_for counts if none are named.
 LIMIT, DEEPEST, LEVELS = 512, 6, 4
-#: Sets that are compared at once, and how much lower a sketch's estimate may be than SIMILARITY.
-BLOCK, SLACK = 512, 0.2
-_SALTS = np.random.default_rng(5).integers(1, 1 << 62, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Sets that are compared at once.
+BLOCK = 512
+#: Hash functions of a sketch, whose least shingles it keeps a byte of (those of the tokens come
+#: first), and how much lower its estimate may be than SIMILARITY: 4.5 standard deviations.
+PRINTS, SLACK = 192, 0.13
+_SALTS = np.random.default_rng(5).integers(1, 1 << 62, PRINTS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def runs_for(recall: float, similarity: float, levels: int = LEVELS) -> int:
@@ -63,48 +66,60 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(whose, np.arange(len(texts) + 1)), values
 
 
+def set_names(first: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set; sets without members get 0."""
+    some = first[1:] > first[:-1]
+    name = np.zeros(len(some), np.uint64)
+    if some.any():
+        with np.errstate(over="ignore"):
+            name[some] = mix(np.add.reduceat(mix(values), first[:-1][some]) + np.diff(first)[some].astype(np.uint64))
+    return name
+
+
 def sketches(first: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit name of each set and its TOKENS sampled tokens; sets without members get 0."""
+    """TOKENS sampled tokens of each set, and PRINTS bytes; those of sets without members are 0."""
     some = first[1:] > first[:-1]
-    name, tokens = np.zeros(len(some), np.uint64), np.zeros((len(some), TOKENS), np.uint32)
+    tokens, prints = np.zeros((len(some), TOKENS), np.uint32), np.zeros((len(some), PRINTS), np.uint8)
     if some.any():
         at = first[:-1][some]
-        with np.errstate(over="ignore"):
-            name[some] = mix(np.add.reduceat(mix(values), at) + np.diff(first)[some].astype(np.uint64))
-            for k, salt in enumerate(_SALTS):
-                tokens[some, k] = np.minimum.reduceat((values * salt >> np.uint64(32)).astype(np.uint32), at)
-    return name, tokens
+        for k, salt in enumerate(_SALTS):
+            with np.errstate(over="ignore"):
+                least = np.minimum.reduceat((values * salt >> np.uint64(32)).astype(np.uint32), at)
+            prints[some, k] = least.astype(np.uint8)
+            if k < TOKENS:
+                tokens[some, k] = least
+    return tokens, prints
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, texts in slices(batch.column("text")):
             first, values = shingles(texts)
-            name, tokens = sketches(first, values)
-            arrays = [batch.column("doc_id")[lo:hi], batch.column("text_key")[lo:hi], pa.array(name.view(np.int64)), pa.array(np.diff(first), pa.int32()), lists(np.arange(hi - lo + 1) * TOKENS, tokens.ravel().view(np.int32), pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "cls", "n", "tokens"])
+            tokens, prints = sketches(first, values)
+            ends = pa.py_buffer((np.arange(hi - lo + 1) * PRINTS).astype(np.int32))
+            arrays = [batch.column("doc_id")[lo:hi], batch.column("text_key")[lo:hi], pa.array(set_names(first, values).view(np.int64)), pa.array(np.diff(first), pa.int32())]
+            arrays += [lists(np.arange(hi - lo + 1) * TOKENS, tokens.ravel().view(np.int32), pa.int32()), pa.Array.from_buffers(pa.binary(), hi - lo, [None, ends, pa.py_buffer(prints)])]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "cls", "n", "tokens", "prints"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, texts in slices(batch.column("text")):
             first, values = shingles(texts)
-            name, _ = sketches(first, values)
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), lists(first, values.view(np.int64), pa.int64())], ["cls", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array(set_names(first, values).view(np.int64)), lists(first, values.view(np.int64), pa.int64())], ["cls", "members"])
 
 
 # -- paths ---------------------------------------------------------------------------
 
 
-def leaves(sets: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
-    """(leaf, cls), the small buckets of all runs that hold more than one set; and (a, b), edges
-    that join the sets of each large one.
+def leaves(sets: DataFrame, runs: int) -> DataFrame:
+    """leaf, cls, side: what is compared, the small buckets of all runs that hold more than one
+    set, and large ones in pairs of blocks (side).
 
     A bucket is a path of tokens. Its own hash chooses which sampled tokens split it, so
     all its sets are split alike. Buckets of one set are dropped, those of up to LIMIT sets
     are leaves, larger ones are split again. A bucket that is still larger at the deepest level
-    is not compared: all its sets are joined to the least of them, so that the exact check has
-    them in one group.
+    is dealt into blocks of about BLOCK sets, each pair of which is a leaf.
     """
     here = sets.select("cls", "tokens", F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run")).select("cls", "tokens", F.xxhash64("run").alias("path"))
     done = None
@@ -116,33 +131,37 @@ def leaves(sets: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
         split = here.select("cls", "tokens", "path", chosen.alias("at")).select("cls", F.xxhash64("path", "at", F.element_at("tokens", F.col("at") + 1)).alias("path"))
         split = materialise(split, f"level{level}")
         sizes = materialise(split.groupBy("path").count().filter("count > 1"), f"sizes{level}")
-        found = split.join(sizes.filter(F.col("count") <= LIMIT), "path", "left_semi").select(F.col("path").alias("leaf"), "cls")
+        found = split.join(sizes.filter(F.col("count") <= LIMIT), "path", "left_semi").select(F.col("path").alias("leaf"), "cls", F.lit(0).alias("side"))
         done = found if done is None else done.unionByName(found)
         large = sizes.filter(F.col("count") > LIMIT)
         if level == DEEPEST - 1 or not large.limit(1).count():
             break
         here = split.join(large, "path", "left_semi").join(sets.select("cls", "tokens"), "cls")
-    # Of a large bucket a task sees its own rows and one number, however many sets it holds.
-    rest = split.join(large, "path", "left_semi")
-    least = materialise(rest.groupBy("path").agg(F.min("cls").alias("b")), "pivots")
-    return materialise(done, "leaves"), rest.join(least, "path").filter("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+    dealt = split.join(large.select("path", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "path")
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = F.xxhash64("path", F.least("side", "other"), F.greatest("side", "other"))
+    return materialise(done.unionByName(dealt.select(pair.alias("leaf"), "cls", "side")), "leaves")
 
 
 def _alike(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join the sets of a leaf whose sketches say that they may be similar."""
-    cls = table["cls"].to_numpy()
-    tokens = table["tokens"].combine_chunks().flatten().to_numpy().reshape(-1, TOKENS)
-    cls, at = np.unique(cls, return_index=True)
-    tokens = tokens[at].astype(np.uint8)
+    """Edges that join the sets of a leaf whose sketches say that they may be similar; of a pair
+    of blocks, only sets of different blocks are compared."""
+    cls, at = np.unique(table["cls"].to_numpy(), return_index=True)
+    packed = table["prints"].combine_chunks()
+    begin = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset]
+    prints = np.frombuffer(packed.buffers()[2], np.uint8, len(packed) * PRINTS, begin).reshape(-1, PRINTS)[at]
+    side = table["side"].to_numpy()[at]
+    blocks = [np.flatnonzero(side == s) for s in np.unique(side)]
+    mine, others = blocks[0], blocks[-1]
     root = np.arange(len(cls))
-    for lo in range(0, len(cls), 256):
-        for other in range(lo, len(cls), 256):
-            a, b = tokens[lo : lo + 256], tokens[other : other + 256]
+    for lo in range(0, len(mine), 256):
+        for other in range(lo if others is mine else 0, len(others), 256):
+            a, b = mine[lo : lo + 256], others[other : other + 256]
             same = np.zeros((len(a), len(b)), np.uint8)
-            for k in range(TOKENS):
-                same += a[:, k, None] == b[None, :, k]
-            x, y = np.nonzero(same >= (SIMILARITY - SLACK) * TOKENS)
-            merge(root, x + lo, y + other)
+            for k in range(PRINTS):
+                same += prints[a, k, None] == prints[None, b, k]
+            x, y = np.nonzero(same >= (SIMILARITY - SLACK) * PRINTS)
+            merge(root, a[x], b[y])
     joined = root != np.arange(len(cls))
     return cls[joined], cls[root[joined]]
 
@@ -199,18 +218,17 @@ def _links(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_key, cls, n, tokens of each document; cls names its set of shingles."""
+    """doc_id, text_key, cls, n, tokens, prints of each document; cls names its set of shingles."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
-    return materialise(own.mapInArrow(_sketch, "doc_id long, text_key long, cls long, n int, tokens array<int>"), "sketches")
+    return materialise(own.mapInArrow(_sketch, "doc_id long, text_key long, cls long, n int, tokens array<int>, prints binary"), "sketches")
 
 
 def similar_classes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, recall: float) -> DataFrame:
     """cls, root, links of the classes that are similar to another one: the least class of
     their group, and how many documents of other classes each of their documents is similar to."""
-    sets = materialise(rows.filter("n > 0").groupBy("cls", "tokens").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("size")), "classes")
-    leaf, near = leaves(sets, runs_for(recall, SIMILARITY, DEEPEST))
-    compared = grouped(leaf.join(sets.select("cls", "tokens"), "cls"), "leaf", _alike, "a long, b long")
-    groups = components(compared.unionByName(near))
+    sets = materialise(rows.filter("n > 0").groupBy("cls", "tokens", "prints").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("size")), "classes")
+    leaf = leaves(sets, runs_for(recall, SIMILARITY, DEEPEST))
+    groups = components(grouped(leaf.join(sets.select("cls", "prints"), "cls"), "leaf", _alike, "a long, b long"))
     wanted = materialise(groups.join(sets.select("cls", "one", "size"), groups["node"] == F.col("cls")).select("cls", "root", "one.*", "size"), "wanted")
     # One document of each class is read again, for its whole set; of repeated rows one is left.
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
@@ -238,7 +256,8 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL, id_col: str = "doc_id"
     Documents of one set of shingles form a class, and only one of each goes on. It is
     stood for by its least shingles under TOKENS hash functions. In each of several runs the
     classes are split by sampled tokens that they share, bucket by bucket, until buckets are
-    small; there all sketches are compared. Sets that no split parts are joined without. `recall` sets the number of runs. What is
+    small; there all sketches are compared, and those of buckets that no split parts in pairs of
+    blocks of BLOCK sets. `recall` sets the number of runs. What is
     alike in any run forms groups, and within each group all sets are compared exactly, large
     groups in pairs of blocks of BLOCK sets, so counts of links are complete for a group.
     The work of that last step grows with the square of a group's different texts; no pairs

@@ -48,7 +48,9 @@ _DOT = "(?:" + "|".join(DOT_WORDS) + ")"
 ODD = re.compile("[" + re.escape("".join(map(chr, LOOKALIKES)) + HIDDEN) + "！-～٠-٩۰-۹०-९\U0001d7ce-\U0001d7ff]")
 BRACKETED = re.compile(rf"[\[({{<][\x20\t]?(?:(?P<at>at|arroba|@)|(?P<dot>{_DOT}|\.))[\x20\t]?[\])}}>]", re.I)
 _AFTER_AT = rf"[A-Za-z0-9-]+(?:[\x20]{_DOT}[\x20]|\.)[A-Za-z0-9-]"
-SPACED_AT = re.compile(rf"(?<=[A-Za-z0-9_%+-])\x20[aA][tT]\x20(?={_AFTER_AT})")
+SPACED_AT = re.compile(rf"(?<=[A-Za-z0-9_%+-])\x20at\x20(?={_AFTER_AT})", re.I)
+#: Letters one by one in front of an at sign in brackets.
+SPACED_NAME = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9](?:\x20[A-Za-z0-9]){2,}(?=\x20?[\[({<][\x20\t]?(?:at|arroba|@)[\x20\t]?[\])}>])", re.I)
 SPACED_DOT = re.compile(rf"(?<=[A-Za-z0-9-])\x20{_DOT}\x20(?=[A-Za-z0-9])", re.I)
 SPELLED = re.compile(rf"(?:\b(?:plus|más|mas)[\x20-]+)?\b(?:{_D}|[0-9]+)(?:(?:[\x20,-]{{1,2}}|[\x20]{_DOT}[\x20])(?:{_D}|[0-9]+)\b){{3,}}", re.I)
 SPELLED_PART = re.compile(rf"(?P<plus>\b(?:plus|más|mas)[\x20-]+)|(?P<digit>{_D})|(?P<dot>[\x20]{_DOT}[\x20])|(?P<gap>[\x20,-]{{1,2}})|[0-9]+", re.I)
@@ -60,8 +62,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Base spans are those of the plain patterns, leftmost and not overlapping within a kind.
     Besides, texts that hold lookalike letters, hidden characters, odd digits, spelled
     digits, or at and dot in brackets or between spaces are rewritten to plain form, and
-    each written character remembers where it came from. What the patterns find there, and
-    what uses a rewritten character and touches no base span of its kind, is added.
+    each written character remembers where it came from. What the patterns find there with
+    a rewritten character in it is added, unless a base span of its kind covers it; a base span
+    that is part of a longer disguised one stays beside it.
 
     Positions are code points, the end excluded. A null text counts as empty and has no
     spans; rows pass one by one, so repeated rows give repeated rows; ids may be null;
@@ -102,7 +105,7 @@ def spans(text: str) -> tuple[Spans, Spans]:
         for k, own in enumerate(detect(plain)):
             for a, b in own:
                 lo, hi = begin[a], end[b - 1]
-                if changed[b] > changed[a] and not any(x < hi and lo < y for x, y in base[k]):
+                if changed[b] > changed[a] and not any(x <= lo and hi <= y for x, y in base[k]):
                     more[k].append((lo, hi))
     return base, more
 
@@ -154,6 +157,8 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
             hi += text[hi : hi + 1] in (" ", "\t")
             found.append((lo, hi, "@" if m["at"] else "."))
             disguised = True
+        for m in SPACED_NAME.finditer(text):
+            found += [(k, k + 1, "") for k in range(m.start() + 1, m.end(), 2)]
     for m in SPACED_AT.finditer(text):
         found.append((*m.span(), "@"))
         disguised = True
@@ -161,9 +166,9 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), ".") for m in SPACED_DOT.finditer(text)]
     for run in SPELLED.finditer(text) if has_spelled(text) else ():
         parts = list(SPELLED_PART.finditer(text, *run.span()))
-        if sum(p.lastgroup == "digit" for p in parts) < 3:
-            continue
         kinds = [p.lastgroup for p in parts]
+        if max(kinds.count("digit"), kinds.count("dot")) < 3:
+            continue
         for k, p in enumerate(parts):
             between = 0 < k < len(parts) - 1 and "digit" in (kinds[k - 1], kinds[k + 1])
             if kinds[k] == "digit":
@@ -183,15 +188,17 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
 
 
 def has_spelled(text: str) -> bool:
-    """Whether three number words follow each other, other digits and dots aside."""
-    run = 0
+    """Whether three number words, or three dots in words, stand between numbers only."""
+    run = dots = 0
     for w in text.lower().replace("-", " ").replace(",", " ").split():
         if w in WORD_DIGIT:
             run += 1
-            if run == 3:
-                return True
-        elif run and not (w in DOT_WORDS or w.isdigit()):
-            run = 0
+        elif w in DOT_WORDS:
+            dots += 1
+        elif not w.isdigit():
+            run = dots = 0
+        if max(run, dots) == 3:
+            return True
     return False
 
 

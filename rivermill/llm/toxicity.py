@@ -21,6 +21,9 @@ MOST_EACH, LEAST_DOCS = 10_000, 3
 LEAST_SPREADS = 2
 #: How many times more common it must be under one label than under the other.
 LEAST_LIFT = 2
+#: Most telling terms beside which others are counted too, and how many times its spread such a
+#: term's share must differ: there are LEADS times as many shares that may differ by chance.
+LEADS, LEAST_PAIR_SPREADS = 64, 3
 #: Leading bytes of a word that are terms of their own: they stand for inflected forms.
 STEMS = (4, 5)
 ROUNDS, RATE, SHRINK = 200, 0.05, 1e-3
@@ -72,6 +75,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Of each label the `most_each` rows with the least hash of their id are read, a bound on
     what the driver holds; a label that was cut weighs more in turn. Equal texts count once.
+    The model's terms are those that tell the labels apart, and those that do so in the rows
+    of one of the LEADS most telling ones.
     A null label is no label; an id with several is toxic if one says so. Without rows of
     both labels every score is the share of label 1, or 0.
     """
@@ -95,11 +100,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         if len(totals) < 2:
             share = float(sum(totals) / max(1, len(totals)))
             return Model(np.log((share + 1e-6) / (1 - share + 1e-6)), np.full(TERMS, -1), np.zeros(1), np.zeros((1, FACTORS)))
-        p, q = F.col("pos") / totals[1], (F.col("n") - F.col("pos")) / totals[0]
-        spread = F.sqrt((p + F.lit(1 / totals[1])) / totals[1] + (q + F.lit(1 / totals[0])) / totals[0])
-        telling = (p >= LEAST_LIFT * q) | (q >= LEAST_LIFT * p)
-        clear = counts.withColumn("z", F.abs(p - q) / spread).filter(telling & (F.col("z") >= LEAST_SPREADS))
+        counts = counts.withColumns({"toxic": F.lit(totals[1]), "clean": F.lit(totals[0])})
+        p, q, z = _shares()
+        clear = counts.withColumn("z", z).filter(((p >= LEAST_LIFT * q) | (q >= LEAST_LIFT * p)) & (F.col("z") >= LEAST_SPREADS))
         used = [r[0] for r in clear.orderBy("z", "term", ascending=[False, True]).limit(USED).select("term").collect()]
+        used += _telling_beside(rows, used[:LEADS], used)
         slot = np.full(TERMS, -1, np.int32)
         slot[np.array(used, np.int64)] = np.arange(len(used))
         # At most 2 * most_each rows of USED small numbers.
@@ -113,6 +118,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return _train(y, weight / weight.mean(), np.repeat(np.arange(len(y)), lengths), slots, slot, len(used))
 
 
+def _shares() -> tuple[Column, Column, Column]:
+    """A term's share of the toxic and of the clean rows, and how many spreads they differ by."""
+    p, q = F.col("pos") / F.col("toxic"), (F.col("n") - F.col("pos")) / F.col("clean")
+    spread = F.sqrt((p + 1 / F.col("toxic")) / F.col("toxic") + (q + 1 / F.col("clean")) / F.col("clean"))
+    return p, q, F.abs(p - q) / spread
+
+
+def _telling_beside(rows: DataFrame, leads: list[int], used: list[int]) -> list[int]:
+    """Terms that are more common in toxic rows among those with one of the leads, the clearest
+    first. By themselves they may tell nothing, as a group's name does without an insult.
+
+    Only terms that speak for toxic rows are asked for: beside any lead long texts are
+    over-represented, and in them all common words.
+    """
+    beside = rows.select("y", "terms", F.explode(F.array_intersect("terms", F.lit(leads).cast("array<int>"))).alias("lead"))
+    sizes = beside.groupBy("lead").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).filter("toxic > 0 and clean > 0")
+    counts = beside.select("y", "lead", F.explode("terms").alias("term")).groupBy("lead", "term").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    p, q, z = _shares()
+    found = counts.join(F.broadcast(sizes), "lead").withColumn("z", z).filter((p >= LEAST_LIFT * q) & (F.col("z") >= LEAST_PAIR_SPREADS))
+    best = found.groupBy("term").agg(F.max("z").alias("z")).filter(~F.array_contains(F.lit(used).cast("array<int>"), F.col("term")))
+    return [r[0] for r in best.orderBy("z", "term", ascending=[False, True]).limit(USED - len(used)).select("term").collect()]
+
+
 def _train(y: np.ndarray, weight: np.ndarray, whose: np.ndarray, slots: np.ndarray, slot: np.ndarray, size: int) -> Model:
     """Log loss, by Adam over all rows at once; the start is fixed, so reruns agree."""
     order = np.lexsort((slots, whose, y[whose]))
