@@ -37,7 +37,7 @@ def tables_for(recall: float, length: int, edits: int) -> int:
     `recall` with that of a copy in which `edits` words were substituted, inserted or deleted.
 
     Measured on drawn pairs with the very keys and windows that are used, substitutions being
-    anywhere, evenly spread, at the front or at the end, the others anywhere; half of the
+    anywhere, evenly spread, at the front or at the end, the others anywhere; three quarters of the
     allowed misses are left for chance. The floor is what keys need of which each position
     agrees in half of all cases.
     """
@@ -79,7 +79,7 @@ def _enough(words: np.ndarray, windows: list[np.ndarray], recall: float, run: in
         keys, met = keys_of(words, tried), np.zeros((len(words), tried), bool)
         for w, rows in zip(windows, looked_at, strict=True):
             met[rows] |= keys[rows] == keys_of(w[rows], tried)
-        enough = np.logical_or.accumulate(met, axis=1).mean(0) >= 1 - (1 - recall) / 2
+        enough = np.logical_or.accumulate(met, axis=1).mean(0) >= 1 - (1 - recall) / 4
         if enough.any():
             return int(enough.argmax()) + 1
         tried *= 2
