@@ -13,13 +13,15 @@ from rivermill.operators import changes, dau, dims, logs, orders
 from rivermill.operators.records import copy_matching, to_message
 from rivermill.plans.wide_tables import dau_wide, order_wide
 from rivermill.sinks.docs import split_by_day, upsert_docs, write_dims, write_docs
-from rivermill.sinks.topics import offset_ledger
+from rivermill.sinks.commits import HEADERS, commit, last_committed, read_commits, read_committed, stamp, visible
+from rivermill.sinks.topics import message_columns, offset_ledger, write_topic
 from rivermill.session import SETTINGS
 from rivermill.sources.state import held_pending
 from rivermill.sources.tables import compact_dims, compact_docs, read_dims, read_docs, read_sink_field
 from rivermill.sources.topics import batch_offsets, read_topic_files, starting_offsets
 from rivermill.streaming import jobs
 from rivermill.streaming.jobs import DAU_KEYS
+from rivermill.streaming.metrics import MetricTable, read_metrics
 
 ALL_INPUT = {"availableNow": True}
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -309,12 +311,13 @@ def q_read_sink_field(spark, d):
 
 
 def q_partition_counts(spark, d):
-    """Rows over all partitions before and after the dedup, dealt out anew before it."""
-    total = lambda df, stage: dau.partition_counts(df).agg(
-        F.lit(stage).alias("stage"), F.sum("rows").alias("rows")
+    """Rows of each partition before and after the dedup, dealt out by time."""
+    dealt = lambda df, n: df.repartitionById(n, F.pmod("ts", F.lit(n)).cast("int"))
+    counted = lambda df, n, stage: dau.partition_counts(dealt(df, n)).select(
+        F.lit(stage).alias("stage"), "partition", "rows"
     )
-    before = total(page_log(spark, d).repartition(5, "mid"), "before")
-    return before.unionByName(total(visits(spark, d), "after"))
+    before = counted(page_log(spark, d), 5, "before")
+    return before.unionByName(counted(visits(spark, d), 3, "after"))
 
 
 def q_split_by_day(spark, d):
@@ -488,6 +491,33 @@ def _change_split(spark, d):
     return out, stored
 
 
+def q_read_committed(spark, d):
+    """Messages of a batch that was sent in part, then whole, and some of it by two tasks."""
+    topic, commits = scratch(spark, "topic"), scratch(spark, "commits")
+    msgs = logs.fan_out(log(spark, d))
+    failed = stamp(msgs.filter(F.col("topic") == S.PAGE_TOPIC), "log_split", "failed", 0)
+    message_columns(failed).write.parquet(f"{topic}/sent=0")
+    message_columns(stamp(msgs, "log_split", "whole", 0)).write.parquet(f"{topic}/sent=1")
+    twice = spark.read.parquet(f"{topic}/sent=1").filter(F.col("topic") == S.DISPLAY_TOPIC)
+    twice.write.parquet(f"{topic}/sent=2")
+    commit(spark, commits, "log_split", "whole", 0)
+    sent = spark.read.schema(f"topic string, key string, value string, headers {HEADERS}").parquet(topic)
+    return _message_fields(read_committed(sent, read_commits(spark, commits)))
+
+
+def q_stream_change_commits(spark, d):
+    """Facts of the committed batches, where one more batch failed after its facts were written."""
+    lists, out, stored, commits = (scratch(spark, n) for n in ("lists", "facts", "dims", "commits"))
+    X.lists(spark).write.parquet(lists)
+    (msgs,) = _sent(spark, X.change_log(spark, d))
+    ck = scratch(spark, "ck")
+    _run(jobs.run_change_split(msgs, lists, {"path": out}, stored, ck, commits=commits, trigger=ALL_INPUT))
+    schema = f"key string, value string, headers {HEADERS}, topic string, batch_id long"
+    sent = spark.read.schema(schema).parquet(out)
+    write_topic(sent, {"path": out}, last_committed(spark, commits) + 1)
+    return _fact_fields(visible(spark.read.schema(schema).parquet(out), read_commits(spark, commits)))
+
+
 def q_stream_change_facts(spark, d):
     facts, _ = _change_split(spark, d)
     schema = "key string, value string, topic string, batch_id long"
@@ -518,6 +548,25 @@ def q_stream_dau(spark, d, mixed=False):
     )
 
 
+def q_stream_stage_counts(spark, d):
+    """Counts of the stages of a running job, summed over the table of its micro-batches."""
+    out, stored, path = (scratch(spark, n) for n in ("dau", "dims", "metrics"))
+    write_dims(_dim_rows(spark, d), stored, 0)
+    (msgs,) = _sent(spark, _page_messages(spark, d))
+    own = msgs.sparkSession
+    table = MetricTable(own, path, ["dau"])
+    own.streams.addListener(table)
+    try:
+        ck = scratch(spark, "ck")
+        _run(jobs.run_dau(msgs, stored, out, ck, as_of=as_of(), name="dau", trigger=ALL_INPUT))
+        if not table.ended.wait(120):
+            raise RuntimeError("the listener has not heard of the query's end")
+    finally:
+        own.streams.removeListener(table)
+    total = lambda name: F.sum(F.when(F.col("metric") == name, F.col("value"))).alias(name)
+    return read_metrics(spark, path).agg(total("pages"), total("first_pages"), total("first_visits"))
+
+
 def q_stream_order_join(spark, d):
     out = scratch(spark, "joined")
     headers, lines = _sent(
@@ -679,6 +728,9 @@ def _queries() -> dict:
         "stream_pending_details": q_stream_pending_details,
         "stream_pending_orders": q_stream_pending_orders,
         "stream_dau_late": q_stream_dau_late,
+        "stream_stage_counts": q_stream_stage_counts,
+        "stream_change_commits": q_stream_change_commits,
+        "read_committed": q_read_committed,
         "quarantine_change": q_quarantine_change,
         "quarantine_page": q_quarantine_page,
         "quarantine_order": q_quarantine_order,

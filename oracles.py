@@ -234,6 +234,14 @@ _OFFSETS = """SELECT CAST(event_id % 3 AS INTEGER) AS part, min(event_id) AS lo,
   max(event_id) + 1 AS hi FROM events GROUP BY 1"""
 
 
+STAGE_COUNTS = f"""WITH {_PAGES}
+          SELECT count(*) AS pages,
+                 count(*) FILTER (WHERE last_page_id IS NULL) AS first_pages,
+                 count(DISTINCT CASE WHEN last_page_id IS NULL
+                                     THEN {_DT} || ' ' || mid END) AS first_visits
+          FROM pages_"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = _oracles()
     # Message order changes no result.
@@ -291,6 +299,8 @@ def _oracles() -> dict[str, str]:
           FROM changes WHERE id % 10 <> 3 AND tbl IN ({_listed("dim")})""",
         "stream_log_split": FAN_OUT,
         "stream_change_facts": ROUTE_FACTS,
+        "stream_change_commits": ROUTE_FACTS,
+        "read_committed": FAN_OUT,
         "stream_change_dims": _latest_dims(""),
         "stream_dau": f"""WITH {_FIRST}, {_LATEST_USERS}
           SELECT dt, mid, user_id, l.gender AS user_gender,
@@ -377,15 +387,12 @@ def _oracles() -> dict[str, str]:
         "read_sink_field": f"WITH {_FIRST} SELECT mid FROM visits WHERE dt = '2024-01-10'",
         "split_by_day": f"""WITH {_FIRST}
           SELECT 'dau_info_' || dt AS index_name, count(*) AS docs FROM visits GROUP BY 1""",
-        "stage_counts": f"""WITH {_PAGES}
-          SELECT count(*) AS pages,
-                 count(*) FILTER (WHERE last_page_id IS NULL) AS first_pages,
-                 count(DISTINCT CASE WHEN last_page_id IS NULL
-                                     THEN {_DT} || ' ' || mid END) AS first_visits
-          FROM pages_""",
+        "stage_counts": STAGE_COUNTS,
+        "stream_stage_counts": STAGE_COUNTS,
         "partition_counts": f"""WITH {_FIRST}
-          SELECT 'before' AS stage, CAST(count(*) AS BIGINT) AS rows FROM pages_
-          UNION ALL SELECT 'after', CAST(count(*) AS BIGINT) FROM visits""",
+          SELECT 'before' AS stage, CAST(ts % 5 AS INTEGER) AS partition, count(*) AS rows
+          FROM pages_ GROUP BY ts % 5
+          UNION ALL SELECT 'after', CAST(ts % 3 AS INTEGER), count(*) FROM visits GROUP BY ts % 3""",
         "parse_order_info": f"""WITH {_ALL_INFO}
           SELECT * REPLACE (epoch_ms(arrival) AS arrival),
                  CAST(NULL AS VARCHAR) AS expire_time,

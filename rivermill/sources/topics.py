@@ -26,6 +26,17 @@ def read_topic(
     )
 
 
+def stamped_options(topic: str, options: dict[str, str]) -> dict[str, str]:
+    """Options of a read of all messages so far, with the headers that say who sent them."""
+    return {**options, "subscribe": topic, "startingOffsets": "earliest", "includeHeaders": "true"}
+
+
+def read_stamped_topic(spark: SparkSession, topic: str, options: dict[str, str]) -> DataFrame:
+    """All messages of a topic with their headers, for `sinks.commits.read_committed`."""
+    msgs = spark.read.format("kafka").options(**stamped_options(topic, options)).load()
+    return msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE], "headers")
+
+
 def read_topic_files(
     spark: SparkSession, path: str, files_per_batch: int | None = None
 ) -> DataFrame:

@@ -30,6 +30,7 @@ from rivermill.operators.changes import map_op, route_dims, route_facts
 from rivermill.operators.logs import fan_out
 from rivermill.plans.wide_tables import dau_dims, order_dims
 from rivermill.session import check
+from rivermill.sinks.commits import commit, is_committed, new_attempt, stamp
 from rivermill.sinks.docs import write_dims, write_docs
 from rivermill.sinks.topics import append_ledger, ledger_base, offset_ledger, write_topic
 from rivermill.sources.pending import expire, is_late, late_pairs, newest_before, put_mark, put_pending
@@ -50,14 +51,22 @@ def run_log_split(
     target: dict[str, str],
     checkpoint: str,
     bad_topic: str = S.BAD_TOPIC,
+    commits: str | None = None,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
-    """Raw behaviour logs -> the five detail topics and the bad one, one pass, no shuffle."""
-    first = first_batch(msgs.sparkSession, checkpoint, *_folder(target))
+    """Raw behaviour logs -> the five detail topics and the bad one, one pass, no shuffle.
+
+    With `commits`, the path of a commit table, messages are stamped and a batch counts
+    once all of it is sent.
+    """
+    first = first_batch(msgs.sparkSession, checkpoint, *_folder(target), *_paths(commits))
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        write_topic(fan_out(parse_log(batch), bad_topic), target, first + batch_id)
+        def send(stamped: Callable[[DataFrame], DataFrame]) -> None:
+            write_topic(stamped(fan_out(parse_log(batch), bad_topic)), target, first + batch_id)
+
+        _once(batch.sparkSession, commits, name or "log_split", first + batch_id, send)
 
     return _each_batch(msgs, split, checkpoint, name, trigger)
 
@@ -71,19 +80,27 @@ def run_change_split(
     ledger_path: str | None = None,
     group: str = "change_split",
     bad_topic: str = S.BAD_TOPIC,
+    commits: str | None = None,
     name: str | None = None,
     trigger: dict = EVERY_FIVE_SECONDS,
 ) -> StreamingQuery:
     """Database changes -> fact topics and the dimension store.
 
     The table lists are read anew for every micro-batch, so routing changes without a
-    restart. The batch is kept for its uses.
+    restart. The batch is kept for its uses. With `commits`, the path of a commit table,
+    facts, dimensions, bad messages and ledger of a batch have one number, and readers that
+    ask for committed batches see all four or none.
     """
     spark = msgs.sparkSession
-    first = first_batch(spark, checkpoint, dims_path, *_folder(target))
-    base = first_batch(spark, f"{checkpoint}/ledger", ledger_path) if ledger_path else 0
+    first = first_batch(spark, checkpoint, dims_path, *_folder(target), *_paths(commits, commits and ledger_path))
+    base = first
+    if ledger_path and not commits:
+        base = first_batch(spark, f"{checkpoint}/ledger", ledger_path)
 
     def split(batch: DataFrame, batch_id: int) -> None:
+        _once(batch.sparkSession, commits, group, first + batch_id, lambda stamped: send(batch, batch_id, stamped))
+
+    def send(batch: DataFrame, batch_id: int, stamped: Callable[[DataFrame], DataFrame]) -> None:
         spark = batch.sparkSession
         rows = batch.persist()
         try:
@@ -91,7 +108,7 @@ def run_change_split(
             facts = read_table_list(spark, lists_path, "fact")
             dims = read_table_list(spark, lists_path, "dim")
             sent = route_facts(changes, facts).unionByName(_bad_messages(quarantine_change(rows), bad_topic))
-            write_topic(sent, target, first + batch_id)
+            write_topic(stamped(sent), target, first + batch_id)
             write_dims(route_dims(changes, dims), dims_path, first + batch_id)
             if ledger_path:
                 append_ledger(offset_ledger(rows, group, base + batch_id), ledger_path, base + batch_id)
@@ -274,7 +291,21 @@ def run_order_wide(
 
 
 def _folder(target: dict[str, str]) -> list[str]:
-    return [target["path"]] if "path" in target else []
+    return _paths(target.get("path"))
+
+
+def _paths(*paths: str | None) -> list[str]:
+    return [p for p in paths if p]
+
+
+def _once(spark: SparkSession, commits: str | None, producer: str, batch_id: int, send: Callable) -> None:
+    """Send a batch unless it is committed, and commit it when all of it is written."""
+    if commits is None:
+        send(lambda msgs: msgs)
+    elif not is_committed(spark, commits, batch_id):
+        attempt = new_attempt()
+        send(lambda msgs: stamp(msgs, producer, attempt, batch_id))
+        commit(spark, commits, producer, attempt, batch_id)
 
 
 def _bad_messages(msgs: DataFrame, topic: str = S.BAD_TOPIC) -> DataFrame:
