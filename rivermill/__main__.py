@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from rivermill import schemas as S
 from rivermill.session import builder
+from rivermill.sinks.commits import read_commits
 from rivermill.sinks.topics import read_ledger
 from rivermill.sources import tables
 from rivermill.sources.topics import read_topic, read_topic_files, resume_point
 from rivermill.streaming import jobs
 from rivermill.streaming.ledger import OffsetLedger
+from rivermill.streaming.metrics import MetricTable
 
 TOPICS = {
     "log_split": [S.LOG_TOPIC],
@@ -34,6 +36,8 @@ def arguments(argv=None):
     p.add_argument("--seen", help="pinned snapshot folder for a fresh checkpoint (dau)")
     p.add_argument("--bad-topic", default=S.BAD_TOPIC, help="topic for unusable messages")
     p.add_argument("--ledger", help="offset ledger folder")
+    p.add_argument("--commits", help="commit table of the batches (log_split, change_split, compact)")
+    p.add_argument("--metrics", help="table of the counts that a job observes (dau)")
     p.add_argument("--on-missing", default="null", choices=["null", "drop", "fail"])
     p.add_argument("--salt", type=int, default=8)
     p.add_argument("--as-of", help="date at which ages are taken; today by default")
@@ -77,13 +81,17 @@ def start(spark, a):
     by_message = a.ledger if a.job == "change_split" and not a.brokers else None
     if a.ledger and not by_message:
         spark.streams.addListener(OffsetLedger(spark, a.ledger, [a.job]))
+    if a.metrics:
+        spark.streams.addListener(MetricTable(spark, a.metrics, [a.job]))
     msgs = list(sources(spark, a))
     lookups = {"on_missing": a.on_missing, "salt": a.salt}
     lookups["as_of"] = F.lit(a.as_of).cast("date") if a.as_of else None
     if a.brokers:
         lookups["bad"] = target
     if a.job == "log_split":
-        return jobs.run_log_split(*msgs, target, a.checkpoint, a.bad_topic, **common)
+        return jobs.run_log_split(
+            *msgs, target, a.checkpoint, a.bad_topic, commits=a.commits, **common
+        )
     if a.job == "change_split":
         return jobs.run_change_split(
             *msgs,
@@ -94,6 +102,7 @@ def start(spark, a):
             by_message,
             a.job,
             bad_topic=a.bad_topic,
+            commits=a.commits,
             **common,
         )
     if a.job == "dau":
@@ -121,7 +130,10 @@ def start(spark, a):
 
 
 def compact(spark, a):
-    """Fold the stores that are named; a reader then lists the snapshot and what came after."""
+    """Fold the stores that are named; a reader then lists the snapshot and what came after.
+
+    With --commits the committed batches of dimensions and ledger alone are folded."""
+    commits = read_commits(spark, a.commits) if a.commits else None
     if a.sink and a.kind == "dau":
         tables.compact_docs(spark, a.sink, S.DAU_INFO, jobs.DAU_KEYS, delete=a.delete)
     elif a.sink:
@@ -129,9 +141,9 @@ def compact(spark, a):
             spark, a.sink, S.ORDER_DOC, jobs.ORDER_KEYS, jobs.ORDER_LAST, delete=a.delete
         )
     if a.dims:
-        tables.compact_dims(spark, a.dims, delete=a.delete)
+        tables.compact_dims(spark, a.dims, delete=a.delete, commits=commits)
     if a.ledger:
-        tables.compact_ledger(spark, a.ledger, delete=a.delete)
+        tables.compact_ledger(spark, a.ledger, delete=a.delete, commits=commits)
 
 
 def main(argv=None):

@@ -30,8 +30,9 @@ def test_from_raw_log_to_daily_devices(spark, sf, folder):
     run("log_split", "--out", f"{folder}/topics")
     run(
         "change_split", "--out", f"{folder}/facts", "--lists", f"{folder}/lists",
-        "--dims", f"{folder}/dims", "--ledger", f"{folder}/ledger",
+        "--dims", f"{folder}/dims", "--ledger", f"{folder}/ledger", "--commits", f"{folder}/commits",
     )
+    assert spark.read.parquet(f"{folder}/commits").count() == 1
     pages = spark.read.parquet(f"{folder}/topics").filter(f"topic = '{S.PAGE_TOPIC}'")
     sent = pages.selectExpr(
         "key", "value", "topic", "0 AS partition", "0L AS offset",
