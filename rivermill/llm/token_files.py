@@ -157,10 +157,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     """Encode every text, append end_id, and write the ids in ascending order of doc_id.
 
     tokenizer is the path of a byte-level BPE .json file. A null text is empty and gives
-    end_id alone. Null ids come first; rows with the same id keep no fixed order among
-    them. An empty table gives a folder without blocks. Documents are dealt out by ranges
-    of their ids, so files follow each other in order and no task holds more than its
-    range; a task holds one block at a time.
+    end_id alone. Null ids come first; rows with the same id are in the order of a hash of
+    their texts, so reruns agree and an id that very many rows have is spread over files.
+    Repeated rows repeat. An empty table gives a folder without blocks. Documents are dealt
+    out by ranges of id and hash, so files follow each other in order; a task holds one
+    block at a time, and a row with a very long text is a block of its own.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if files is None:
@@ -181,7 +182,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if held:
             yield packed(held)
 
-    ordered = own.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    place = (F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    ordered = own.repartitionByRange(files, *place).sortWithinPartitions(*place)
     ordered.mapInArrow(encode, "block binary").select(F.col("block").cast("string").alias("value")).write.text(path)
 
 
@@ -209,8 +211,13 @@ def read_token_files(spark: SparkSession, path: str, ids: bool = False) -> DataF
 
     rows = materialise(spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, schema), "tokens")
     per_block = rows.groupBy("path", "nth").agg(F.min("doc_id").alias("least"), F.sum("n_tokens").alias("n"))
-    # One row for each block of half a million ids.
-    before = Window.orderBy(F.col("least").asc_nulls_first(), "path", "nth").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialise(per_block.select("path", "nth", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "offsets")
+    # One row for each block of half a million ids, summed by file before all files meet.
+    per_file = per_block.groupBy("path").agg(F.min("least").alias("least"), F.sum("n").alias("n"))
+    earlier = Window.orderBy(F.col("least").asc_nulls_first(), "path").rowsBetween(Window.unboundedPreceding, -1)
+    per_file = per_file.select(F.col("path").alias("file"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
+    above = Window.partitionBy("path").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    per_block = per_block.select("path", "nth", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
+    offsets = per_block.join(per_file, F.col("path") == F.col("file")).select("path", "nth", (F.col("earlier") + F.col("above")).alias("before"))
+    offsets = materialise(offsets, "offsets")
     out = rows.join(offsets, ["path", "nth"]).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", *["token_ids"] * ids)
     return out
