@@ -124,6 +124,15 @@ def test_hot_order_is_split_in_the_full_join(spark, small_skew):
     assert "skew=true" in text
 
 
+def test_pending_rows_are_merged(spark):
+    lines = hot_lines(spark, 100)
+    headers = headers_of(lines).filter("id % 2 = 1")
+    pending = orders.pending_details(headers, lines)
+    for df in (pending, orders.distinct_pending(pending), orders.pending_orders(headers, lines)):
+        assert "Broadcast" not in physical(df)
+    assert rows(pending, "id") == rows(lines.filter("order_id % 2 = 0"), "id")
+
+
 def test_hot_and_missing_users_are_split(spark, small_skew):
     lines = hot_lines(spark)
     users = spark.range(0, 30_000, 1, 8).select(
