@@ -133,6 +133,14 @@ def test_pending_rows_are_merged(spark):
     assert rows(pending, "id") == rows(lines.filter("order_id % 2 = 0"), "id")
 
 
+@pytest.mark.parametrize("salt", [1, 4])
+def test_headers_of_the_wide_join_are_merged(spark, salt):
+    lines = hot_lines(spark, 100)
+    joined = orders.order_wide_join(headers_of(lines), lines, salt=salt)
+    assert "Broadcast" not in physical(joined)
+    assert joined.count() == 100
+
+
 def test_hot_and_missing_users_are_split(spark, small_skew):
     lines = hot_lines(spark)
     users = spark.range(0, 30_000, 1, 8).select(
