@@ -1,5 +1,6 @@
 """Streams over message files: equal to batch, restartable, replayable."""
 
+import os
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from rivermill.sources.tables import (
     read_provinces,
     read_users,
 )
+from rivermill.sources.state import join_state
 from rivermill.sources.topics import read_topic_files, resume_point
 from rivermill.streaming import jobs
 
@@ -514,3 +516,9 @@ def test_a_lookup_reads_the_buckets_of_its_keys(spark, sf, tmp_path, dims_path):
     # Rows that came after the fold count too, whatever their bucket.
     write_dims(C._dim_rows(spark, sf).filter("id = '1'").withColumns({"op": F.lit("D"), "timestamp": F.lit("2030-01-01").cast("timestamp")}), path, 1)
     assert read_users(spark, path, "remove", ids=every.select("id").filter("id = '1'")).count() == 0
+
+
+def test_a_join_has_one_store_for_a_partition(spark, sf):
+    ck = C._joining(spark, sf)
+    assert not os.path.exists(f"{ck}/state/0/0/left-keyToNumValues")
+    assert join_state(spark, ck, "detail").count() == C.detail(spark, sf).count()
