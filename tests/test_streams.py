@@ -522,3 +522,13 @@ def test_a_join_has_one_store_for_a_partition(spark, sf):
     ck = C._joining(spark, sf)
     assert not os.path.exists(f"{ck}/state/0/0/left-keyToNumValues")
     assert join_state(spark, ck, "detail").count() == C.detail(spark, sf).count()
+
+
+def test_every_slice_has_as_many_files(spark, tmp_path):
+    # Twenty messages, all in one task, are a slice.
+    msgs = spark.range(0, 4020, 1, 24).withColumn("slice", F.expr("if(id < 20, 3, id % 3)"))
+    files = C._write_slices(msgs, f"{tmp_path}/sent")
+    assert files == 18
+    for nth in range(4):
+        assert len(spark.read.parquet(f"{tmp_path}/sent/slice={nth}").inputFiles()) == files
+    assert rows(spark.read.parquet(f"{tmp_path}/sent"), "id", "slice") == rows(msgs, "id", "slice")
