@@ -1,6 +1,8 @@
 """Streams over message files: equal to batch, restartable, replayable."""
 
 import os
+import re
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from rivermill.sinks import docs
 from rivermill.sinks.docs import write_dims, write_docs
 from rivermill.sinks.topics import read_ledger, write_topic
 from rivermill.sources import pending
-from rivermill.sources.stores import read_store, snapshot
+from rivermill.sources.stores import read_store, snapshot, split_columns, write_batch
 from rivermill.sources.tables import (
     DIM_STORE,
     compact_dims,
@@ -35,6 +37,7 @@ from rivermill.sources.topics import read_topic_files, resume_point
 from rivermill.streaming import jobs
 
 KIND = "kind string, table string"
+physical = lambda df: df._jdf.queryExecution().executedPlan().toString()
 # One row per device and day in the DAU table whose columns do not depend on which of
 # the day's pages arrived first.
 STEADY = ["dt", "mid", "user_id", "province_name", "user_gender", "user_age"]
@@ -406,6 +409,37 @@ def test_a_day_has_one_file_unless_it_is_large(spark, tmp_path):
     assert docs.day_tasks([], 8) == ([], 1)
 
 
+def test_days_of_few_rows_share_their_month(spark, tmp_path):
+    day = lambda n: F.date_add(F.lit("2023-12-01").cast("date"), F.expr(n)).cast("string")
+    few = spark.range(3000).select(day("cast(id % 300 as int)").alias("dt"), "id").repartition(16)
+    hot = spark.range(5000, 5600).select(day("7").alias("dt"), "id")
+    made = few.unionByName(hot).unionByName(spark.range(2).select(F.lit(None).cast("string").alias("dt"), "id"))
+    write_batch(docs.by_span(made, "dt", span_rows=500), f"{tmp_path}/docs", 0, "span")
+    spans = spark.read.parquet(f"{tmp_path}/docs").select("span", F.input_file_name().alias("f")).distinct()
+    assert sorted(r.span for r in spans.collect()) == sorted(["2023-12", "2023-12-08", "None", *[f"2024-{m:02d}" for m in range(1, 10)]])
+    write_docs(few.filter("id < 300"), f"{tmp_path}/docs", ["dt", "id"], ["id"], 1, spans=True)
+    row = made.schema
+    assert rows(read_docs(spark, f"{tmp_path}/docs", row, ["dt", "id"])) == rows(made)
+    for when in ("2023-12-08", "2024-01-31"):
+        one = read_docs(spark, f"{tmp_path}/docs", row, ["dt", "id"], when)
+        assert rows(one) == rows(made.filter(F.col("dt") == when))
+        assert re.search(rf"PartitionFilters: \[span#\d+ IN \({when},{when[:7]}\)\]", physical(one))
+    compact_docs(spark, f"{tmp_path}/docs", row, ["dt", "id"])
+    assert rows(read_docs(spark, f"{tmp_path}/docs", row, ["dt", "id"])) == rows(made)
+
+
+def test_a_store_begun_by_day_goes_on_by_day(spark, sf, tmp_path, dims_path):
+    info, detail = order_messages(spark, sf)
+    append_file(info.filter("offset < 200"), f"{tmp_path}/info")
+    append_file(detail.filter("offset < 1600"), f"{tmp_path}/detail")
+    first = spark.createDataFrame([("2000-01-01", 0, 0)], "create_date string, detail_id long, order_id long")
+    write_docs(first, f"{tmp_path}/wide", jobs.ORDER_KEYS, ["order_id"], 0, day="create_date")
+    order_job(spark, tmp_path, dims_path)
+    assert split_columns(spark, f"{tmp_path}/wide") == ["create_date"]
+    assert split_columns(spark, f"{tmp_path}/none") == []
+    assert stored_orders(spark, tmp_path).count() > 1
+
+
 def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
     docs = C.visits(spark, sf)
     path = f"{tmp_path}/docs"
