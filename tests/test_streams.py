@@ -440,6 +440,16 @@ def test_a_store_begun_by_day_goes_on_by_day(spark, sf, tmp_path, dims_path):
     assert stored_orders(spark, tmp_path).count() > 1
 
 
+def test_rows_in_time_are_not_joined_again(spark, tmp_path):
+    """Without late rows no pair of the store is asked for."""
+    at = "2024-01-01 10:00:00"
+    made = {"info": parse.parse_order_info(order_message(spark, "info", 1, at)), "detail": parse.parse_order_detail(order_message(spark, "detail", 1, at))}
+    for side, frame in made.items():
+        pending.put_pending(frame, f"{tmp_path}/pending", side, 0, None, "24 hours")
+    pairs = pending.late_pairs(spark, f"{tmp_path}/pending", 0, made["info"].schema, made["detail"].schema, "24 hours", 8)
+    assert pairs.count() == 0 and "Exchange" not in physical(pairs) and "Join" not in physical(pairs)
+
+
 def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
     docs = C.visits(spark, sf)
     path = f"{tmp_path}/docs"
