@@ -6,9 +6,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import Texts, clean_words, lists, slices
@@ -94,22 +93,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id").select("y", "text")
     rows = texts.groupBy("text").agg(F.max("y").alias("y")).mapInArrow(read, "y int, terms array<int>").persist()
+    counts = rows.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"))
+    counts = counts.filter(F.col("n") >= LEAST_DOCS).persist()  # at most TERMS rows
     try:
-        counts = rows.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_DOCS)
         totals = {y: n for y, n in rows.groupBy("y").count().collect()}
         if len(totals) < 2:
             share = float(sum(totals) / max(1, len(totals)))
             return Model(np.log((share + 1e-6) / (1 - share + 1e-6)), np.full(TERMS, -1), np.zeros(1), np.zeros((1, FACTORS)))
-        counts = counts.withColumns({"toxic": F.lit(totals[1]), "clean": F.lit(totals[0])})
         p, q, z = _shares()
-        clear = counts.withColumn("z", z).filter(((p >= LEAST_LIFT * q) | (q >= LEAST_LIFT * p)) & (F.col("z") >= LEAST_SPREADS))
+        clear = counts.withColumns({"toxic": F.lit(totals[1]), "clean": F.lit(totals[0])}).withColumn("z", z).filter(((p >= LEAST_LIFT * q) | (q >= LEAST_LIFT * p)) & (F.col("z") >= LEAST_SPREADS))
         used = [r[0] for r in clear.orderBy("z", "term", ascending=[False, True]).limit(USED).select("term").collect()]
-        used += _telling_beside(rows, used[:LEADS], used)
+        used += _telling_beside(rows, counts, used[:LEADS], used)
         slot = np.full(TERMS, -1, np.int32)
         slot[np.array(used, np.int64)] = np.arange(len(used))
         # At most 2 * most_each rows of USED small numbers.
         kept = rows.select("y", F.array_intersect("terms", F.lit(used).cast("array<int>")).alias("terms")).toArrow()
     finally:
+        counts.unpersist()
         rows.unpersist()
     y = kept["y"].to_numpy().astype(float)
     lengths = kept["terms"].combine_chunks().value_lengths().to_numpy()
@@ -125,22 +125,52 @@ def _shares() -> tuple[Column, Column, Column]:
     return p, q, F.abs(p - q) / spread
 
 
-def _telling_beside(rows: DataFrame, leads: list[int], used: list[int]) -> list[int]:
+def _telling_beside(rows: DataFrame, counts: DataFrame, leads: list[int], used: list[int]) -> list[int]:
     """Terms that are more common in toxic rows among those with one of the leads, the clearest
     first. By themselves they may tell nothing, as a group's name does without an insult.
 
     Only terms that speak for toxic rows are asked for: beside any lead long texts are
-    over-represented, and in them all common words.
+    over-represented, and in them all common words. A share of `pos` rows differs by at most
+    pos / sqrt(pos + 1) spreads, so terms of fewer toxic rows need not be counted beside leads.
     """
-    beside = rows.select("y", "terms", F.explode(F.array_intersect("terms", F.lit(leads).cast("array<int>"))).alias("lead"))
-    sizes = beside.groupBy("lead").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")).filter("toxic > 0 and clean > 0")
-    counts = beside.select("y", "lead", F.explode("terms").alias("term")).groupBy("lead", "term").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    asked = counts.filter(F.col("term").isin(leads) | (F.col("pos") / F.sqrt(F.col("pos") + 1) >= 0.999 * LEAST_PAIR_SPREADS))
+    asked = asked.select("term").toArrow()["term"].to_numpy()  # TERMS numbers at most
+    found = rows.mapInArrow(_beside(leads, asked), "lead int, term int, pos long, n long")
+    found = found.groupBy("lead", "term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    found = found.withColumn("own", F.max(F.when(F.col("term") == F.col("lead"), F.struct("pos", "n"))).over(Window.partitionBy("lead")))
+    found = found.withColumns({"toxic": F.col("own.pos"), "clean": F.col("own.n") - F.col("own.pos")}).filter("toxic > 0 and clean > 0")
     p, q, z = _shares()
-    found = counts.join(F.broadcast(sizes), "lead").withColumn("z", z).filter((p >= LEAST_LIFT * q) & (F.col("z") >= LEAST_PAIR_SPREADS))
+    found = found.filter(F.col("n") >= LEAST_DOCS).withColumn("z", z).filter((p >= LEAST_LIFT * q) & (F.col("z") >= LEAST_PAIR_SPREADS))
     best = found.groupBy("term").agg(F.max("z").alias("z")).filter(~F.array_contains(F.lit(used).cast("array<int>"), F.col("term")))
     return [r[0] for r in best.orderBy("z", "term", ascending=[False, True]).limit(USED - len(used)).select("term").collect()]
 
 
+def _beside(leads: list[int], asked: np.ndarray):
+    """Toxic rows and rows with each pair of a lead and a term that is asked for, as a batch
+    of rows has them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.zeros(TERMS, bool)
+        wanted[asked] = True
+        for batch in batches:
+            column = batch.column("terms")
+            terms, whose = column.flatten().to_numpy(), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+            toxic = batch.column("y").to_numpy() == 1
+            kept = wanted[terms]
+            terms, whose = terms[kept], whose[kept]
+            for lead in leads:
+                held = np.zeros(len(column), bool)
+                held[whose[terms == lead]] = True
+                beside = held[whose]
+                n = np.bincount(terms[beside], minlength=TERMS)
+                pos = np.bincount(terms[beside & toxic[whose]], minlength=TERMS)
+                at = np.flatnonzero(n)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), lead), pa.int32()), pa.array(at, pa.int32()), pa.array(pos[at], pa.int64()), pa.array(n[at], pa.int64())], ["lead", "term", "pos", "n"])
+
+    return count
+
+
 def _train(y: np.ndarray, weight: np.ndarray, whose: np.ndarray, slots: np.ndarray, slot: np.ndarray, size: int) -> Model:
     """Log loss, by Adam over all rows at once; the start is fixed, so reruns agree."""
     order = np.lexsort((slots, whose, y[whose]))
@@ -171,16 +201,16 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
     # A fixed size: TERMS and USED numbers.
     shared = spark.sparkContext.broadcast((model.bias, model.slot, model.w, model.v))
 
-    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(*shared.value)
         for column in parts:
             out = [np.zeros(0)]
-            for lo, hi, texts in slices(pa.array(column, pa.string())):
+            for lo, hi, texts in slices(column):
                 whose, terms = hashed_terms(texts, m.slot >= 0)
                 out.append(sigmoid(m.scores(whose, m.slot[terms], hi - lo)))
-            yield pd.Series(np.concatenate(out))
+            yield pa.array(np.concatenate(out))
 
-    return F.pandas_udf(scored, "double")(text)
+    return F.arrow_udf(scored, "double")(text)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

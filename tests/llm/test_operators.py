@@ -462,6 +462,21 @@ def test_scores_are_the_sum_over_pairs():
     assert np.allclose(got, wanted)
 
 
+def test_terms_beside_leads_are_counted_by_batch(spark, monkeypatch):
+    """Few rows leave a batch, however often its terms stand beside leads, and none that tells is lost."""
+    monkeypatch.setattr(toxicity, "LEAST_DOCS", 1)
+    made = [(int(i % 3 == 0), [1, 2, *range(10, 40 + i % 5)] + [99] * (i % 3 == 0)) for i in range(60)]
+    rows = spark.createDataFrame(made, "y int, terms array<int>").coalesce(1)
+    counted = toxicity._beside([1, 2, 7], np.array([1, 2, 10, 99]))(iter(rows.toArrow().combine_chunks().to_batches()))
+    got = Counter()
+    for batch in counted:
+        for r in batch.to_pylist():
+            got[r["lead"], r["term"], r["pos"], r["n"]] += 1
+    assert got == {(lead, term, 20, n): 1 for lead in (1, 2) for term, n in ((1, 60), (2, 60), (10, 60), (99, 20))}
+    counts = rows.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    assert toxicity._telling_beside(rows, counts, [1, 2, 7], [1, 2]) == [99]
+
+
 def test_toxicity_on_given_labels(spark):
     folder = "/root/testdata/sf0.1"
     got = toxicity.toxicity(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
