@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -301,13 +300,14 @@ def _finder(items: Items):
 
 
 def is_clean(text: Column, items: Items) -> Column:
-    """Whether a text holds none of the items."""
+    """Whether a text holds none of the items. Texts stay in Arrow's buffers: as Python strings
+    a batch would take their memory twice more."""
 
-    def clean(column: pd.Series) -> pd.Series:
+    def clean(column: pa.Array) -> pa.Array:
         out = np.ones(len(column), bool)
-        for lo, _, texts in slices(pa.array(column, pa.string())):
+        for lo, _, texts in slices(column):
             for hit in search(clean_words(texts), items):
                 out[lo + hit[0]] = False
-        return pd.Series(out)
+        return pa.array(out)
 
-    return F.pandas_udf(clean, "boolean")(text)
+    return F.arrow_udf(clean, "boolean")(text)

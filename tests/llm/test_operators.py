@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 from tokenizers import Tokenizer
 
 from rivermill.llm import (
@@ -377,6 +378,17 @@ def test_leaks_at_the_most_edits(length, where):
     assert len(found & {(k, k) for k in range(150)}) >= 0.98 * 150
 
 
+def test_texts_are_searched_and_scored_in_arrow_buffers(spark, odd):
+    """No copy of a batch as Python strings, which an executor's memory has to hold beside it."""
+    model = toxicity.Model(0.0, np.full(toxicity.TERMS, -1), np.zeros(1), np.zeros((1, toxicity.FACTORS)))
+    [items] = decontamination.blocks(spark.createDataFrame([(1, "cat sat on the mat")], "item_id long, text string"), 0.8, 0.99)
+    found = odd.select("text", decontamination.is_clean(F.col("text"), items).alias("clean"), toxicity.score(spark, model, F.col("text")).alias("s"))
+    kinds = re.findall(r"ArrowEvalPython .*?\], (\d+)", found._jdf.queryExecution().executedPlan().toString())
+    assert kinds and set(kinds) == {str(PythonEvalType.SQL_SCALAR_ARROW_UDF), str(PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF)}
+    for r in found.collect():
+        assert r.s == 0.5 and r.clean == ("cat" not in (r.text or ""))
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4])
 def test_short_items_are_found_whole(spark, size):
     item = [f"q{k}" for k in range(size)]
