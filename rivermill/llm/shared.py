@@ -92,22 +92,21 @@ def bloom_bits(key: Column) -> Column:
 
 
 def pack_bloom(bits: DataFrame) -> DataFrame:
-    """(part, flags): the set bits (part, bit) packed, a row of 8 KB for each part."""
+    """(part, flags): the set bits (part, bit) packed in longs, a row of 8 KB for each part."""
 
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         flags = np.zeros(PART_BITS, np.uint8)
         flags[group["bit"].to_numpy()] = 1
-        return pd.DataFrame({"part": [key[0]], "flags": [np.packbits(flags).tobytes()]})
+        return pd.DataFrame({"part": [key[0]], "flags": [np.packbits(flags, bitorder="little").view("<i8")]})
 
-    return materialise(bits.groupBy("part").applyInPandas(pack, "part int, flags binary"), "filter")
+    return materialise(bits.groupBy("part").applyInPandas(pack, "part int, flags array<bigint>"), "filter")
 
 
 def in_bloom(bits: Column, flags: Column) -> Column:
     """Whether all bits are set; false where the part has no flags."""
     found = F.lit(True)
     for i in range(len(SEEDS)):
-        byte = F.conv(F.hex(F.substr(flags, (bits[i] / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        found = found & (F.getbit(byte, F.lit(7) - bits[i] % 8) == 1)
+        found = found & (F.getbit(F.get(flags, F.shiftright(bits[i], 6)), bits[i] % 64) == 1)
     return F.coalesce(found, F.lit(False))
 
 

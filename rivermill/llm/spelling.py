@@ -115,18 +115,27 @@ def reduced(word: Column, symbols: int) -> Column:
     return F.translate(word, LETTERS, to)
 
 
-def neighbourhood(short: Column, symbols: int) -> Column:
-    """The reduced word itself and all that differ from it by one symbol, each once. The word
-    itself is among them, because two letters may have the same symbol."""
-    every = F.array(*[F.lit(chr(_FIRST_SYMBOL + s)) for s in range(symbols)])
-    size = F.length(short)
-    before = lambda i: F.substring(short, F.lit(1), i)
-    behind = lambda i: F.substring(short, i + 1, size)
-    places, gaps = F.sequence(F.lit(0), size - 1), F.sequence(F.lit(0), size)
-    less = F.transform(places, lambda i: F.concat(before(i), behind(i + 1)))
-    other = F.flatten(F.transform(places, lambda i: F.transform(every, lambda s: F.concat(before(i), s, behind(i + 1)))))
-    more = F.flatten(F.transform(gaps, lambda i: F.transform(every, lambda s: F.concat(before(i), s, behind(i)))))
-    return F.array_distinct(F.concat(less, other, more))
+def with_neighbours(words: DataFrame, symbols: int) -> DataFrame:
+    """words (with `short`, the reduced word) and key: a row for the reduced word itself and each
+    string that differs from it by one symbol, each once. The word itself is among them,
+    because two letters may have the same symbol.
+
+    An edit is a place, a symbol or none that is put there, and whether the symbol that was
+    there goes. Of edits with one result that at the first place counts: a symbol is not put
+    behind its like, nor does one behind its like go. Rows are made by generators, whose
+    strings compiled code builds; lambdas over arrays would be interpreted.
+    """
+    signs = ["", *[chr(_FIRST_SYMBOL + s) for s in range(symbols)]]
+    edits = F.array(*[F.struct(F.lit(s).alias("sign"), F.lit(goes).alias("goes")) for s in signs for goes in (0, 1)])
+    size = F.length("short")
+    made = words.select("*", F.explode(F.sequence(F.lit(0), size)).alias("at")).select("*", F.inline(edits))
+    here = F.substring("short", F.col("at") + 1, F.lit(1))
+    before = F.when(F.col("at") > 0, F.substring("short", F.col("at"), F.lit(1))).otherwise("")
+    sign, goes = F.col("sign"), F.col("goes") == 1
+    put = ~goes & (((sign == "") & (F.col("at") == 0)) | ((sign != "") & (sign != before)))
+    swapped = goes & (F.col("at") < size) & (sign != here) & ((sign != "") | (here != before))
+    key = F.concat(F.substring("short", F.lit(1), F.col("at")), sign, F.substring("short", F.col("at") + 1 + F.col("goes"), size))
+    return made.filter(put | swapped).select(*words.columns, key.alias("key"))
 
 
 def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
@@ -139,7 +148,7 @@ def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
     symbols = symbols_for(size) if symbols is None else symbols
     short = materialise(words.withColumn("short", reduced(F.col("word"), symbols)), "reduced")
     # A word becomes a hundred strings: few words a task.
-    made = short.repartition(size // TASK_WORDS + 1, "word").select("word", "n", F.explode(neighbourhood(F.col("short"), symbols)).alias("key"))
+    made = with_neighbours(short.repartition(size // TASK_WORDS + 1, "word"), symbols).drop("short")
     maybe, _ = split_by_keys(made, F.col("key"), short.select("short").distinct())
     found = short.select(F.col("short").alias("key"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     return maybe.join(found, "key").filter(F.levenshtein("word", "other", 1) == 1).drop("key")

@@ -84,3 +84,16 @@ def test_ties_and_long_ways_to_the_root(spark):
 def test_no_words(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert spelling.variants(spelling.words_of(docs)).collect() == []
+
+
+@pytest.mark.parametrize("symbols", [1, 3])
+def test_neighbours_come_once_each_as_rows(spark, symbols):
+    """Without an array of them, which interpreted lambdas would fill."""
+    signs, shorts = [chr(spelling._FIRST_SYMBOL + s) for s in range(symbols)], ["0", "00", "0000", "01210"[:3 + symbols // 2]]
+    made = spelling.with_neighbours(spark.createDataFrame([(w,) for w in shorts], "short string"), symbols)
+    wanted = set()
+    for w in shorts:
+        for i in range(len(w) + 1):
+            wanted |= {(w, w), *((w, w[:i] + x + w[i:]) for x in signs), *((w, w[:i] + x + w[i + 1 :]) for x in ["", *signs] if i < len(w))}
+    assert sorted(map(tuple, made.collect())) == sorted(wanted)
+    assert "lambda" not in made._jdf.queryExecution().toString()
