@@ -22,6 +22,8 @@ COMMIT = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+# Tasks for each input partition of `read_committed`.
+DEALT = 8
 HEADERS = "array<struct<key:string,value:binary>>"
 # Message headers, and the types of their values.
 STAMP = {"producer": "string", "attempt": "string", "batch_id": "bigint", "seq": "bigint"}
@@ -87,4 +89,8 @@ def read_committed(msgs: DataFrame, commits: DataFrame, salt: int = 8) -> DataFr
     named = named.withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(salt)).cast("int"))
     asked = every_salt(commits.select(*COMMIT.names).distinct(), salt)
     kept = named.join(asked, [*COMMIT.names, "salt"], "left_semi").drop("salt")
+    # Dealt by place before any task remembers a message, to tasks that follow the input: what one
+    # of them holds stays bounded, however large a split or few the session's partitions.
+    tasks = max(int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions")), DEALT * msgs.rdd.getNumPartitions())
+    kept = kept.repartition(tasks, "topic", *STAMP)
     return kept.dropDuplicates(["topic", *STAMP, *[c for c in ("key", "value") if c in msgs.columns]])
