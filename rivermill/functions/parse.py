@@ -39,15 +39,34 @@ def quarantine(msgs: DataFrame) -> DataFrame:
 _CHANGE_KEYS = "type IS NOT NULL AND table IS NOT NULL"
 
 
+def read_change(msgs: DataFrame) -> DataFrame:
+    """Envelope columns plus type, table and data (the row's JSON text) of all messages, parsed once."""
+    return _fields(msgs, S.CHANGE, *msgs.columns)
+
+
+def narrow_change(read: DataFrame) -> DataFrame:
+    """The rows of `read_change` with the text of unusable messages alone: the others are in their columns."""
+    return read.withColumn("value", F.when(~F.expr(_CHANGE_KEYS), F.col("value")))
+
+
+def usable_change(read: DataFrame) -> DataFrame:
+    """The messages of `read_change` that name a table and a change type."""
+    return read.filter(_CHANGE_KEYS)
+
+
+def unusable_change(read: DataFrame) -> DataFrame:
+    """The others, which name no table or no change type, or are not JSON."""
+    return read.filter(f"NOT ({_CHANGE_KEYS})")
+
+
 def parse_change(msgs: DataFrame) -> DataFrame:
-    """Envelope columns plus type, table and data (the row's JSON text) of usable changes."""
-    return _fields(msgs, S.CHANGE, *msgs.columns).filter(_CHANGE_KEYS)
+    """Envelope columns plus type, table and data of usable changes."""
+    return usable_change(read_change(msgs))
 
 
 def quarantine_change(msgs: DataFrame) -> DataFrame:
     """Messages that name no table or no change type, or are not JSON."""
-    bad = _fields(msgs, S.CHANGE, *msgs.columns).filter(f"NOT ({_CHANGE_KEYS})")
-    return bad.select(*msgs.columns)
+    return unusable_change(read_change(msgs)).select(*msgs.columns)
 
 
 def _typed_row(

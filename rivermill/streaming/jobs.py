@@ -15,14 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 from rivermill import schemas as S
 from rivermill.functions.keyed import at_hand
 from rivermill.functions.parse import (
-    parse_change,
+    narrow_change,
     parse_log,
     parse_order_detail,
     parse_order_info,
     parse_page_log,
-    quarantine_change,
     quarantine_order,
     quarantine_page,
+    read_change,
+    unusable_change,
+    usable_change,
 )
 from rivermill.functions.scalars import create_parts
 from rivermill.operators import dau, orders
@@ -87,7 +89,8 @@ def run_change_split(
     """Database changes -> fact topics and the dimension store.
 
     The table lists are read anew for every micro-batch, so routing changes without a
-    restart. The batch is kept for its uses. With `commits`, the path of a commit table,
+    restart. The batch is parsed once and kept so for its uses, with the text of unusable messages
+    alone. With `commits`, the path of a commit table,
     facts, dimensions, bad messages and ledger of a batch have one number, and readers that
     ask for committed batches see all four or none.
     """
@@ -102,12 +105,13 @@ def run_change_split(
 
     def send(batch: DataFrame, batch_id: int, stamped: Callable[[DataFrame], DataFrame]) -> None:
         spark = batch.sparkSession
-        rows = batch.persist()
+        rows = narrow_change(read_change(batch)).persist()
         try:
-            changes = map_op(parse_change(rows))
+            rows.count()  # parsed here; two scans at once would each begin to
+            changes = map_op(usable_change(rows))
             facts = read_table_list(spark, lists_path, "fact")
             dims = read_table_list(spark, lists_path, "dim")
-            sent = route_facts(changes, facts).unionByName(_bad_messages(quarantine_change(rows), bad_topic))
+            sent = route_facts(changes, facts).unionByName(_bad_messages(unusable_change(rows), bad_topic))
             write_topic(stamped(sent), target, first + batch_id)
             write_dims(route_dims(changes, dims), dims_path, first + batch_id)
             if ledger_path:
