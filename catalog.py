@@ -206,14 +206,16 @@ def q_route_facts(spark, d):
 
 
 def _fact_fields(msgs):
-    field = lambda path: F.get_json_object("value", path)
-    return msgs.select(
+    # One parse of the row's text gives all of its fields.
+    parsed = msgs.select("topic", F.from_json("value", "map<string,string>").alias("row"))
+    field = lambda name: F.col("row")[name]
+    return parsed.select(
         "topic",
-        field("$.id").cast("bigint").alias("id"),
-        F.coalesce(field("$.order_status"), field("$.sku_name"), field("$.name")).alias("field"),
-        F.coalesce(field("$.total_amount"), field("$.order_price")).cast("double").alias("amount"),
-        field("$.create_time").alias("create_time"),
-        F.size(F.json_object_keys("value")).alias("fields"),
+        field("id").cast("bigint").alias("id"),
+        F.coalesce(field("order_status"), field("sku_name"), field("name")).alias("field"),
+        F.coalesce(field("total_amount"), field("order_price")).cast("double").alias("amount"),
+        field("create_time").alias("create_time"),
+        F.size("row").alias("fields"),
     )
 
 
@@ -429,13 +431,14 @@ def _sent(spark, *frames, mixed=False):
     own = spark.newSession()
     for key, value in [*SETTINGS.items(), (PARTITIONS, spark.conf.get(PARTITIONS))]:
         own.conf.set(key, value)
+    cutting = _cutting(spark)
     streams = []
     for msgs in frames:
         path, kept = scratch(spark, "messages"), scratch(spark, "kept")
         msgs = msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE])
         # Derived once; the slices are read out of it.
         msgs.write.option("compression", "zstd").parquet(kept)
-        msgs = spark.read.schema(S.MESSAGE).parquet(kept)
+        msgs = cutting.read.schema(S.MESSAGE).parquet(kept)
         at = F.unix_micros("timestamp")
         if mixed:
             slice_ = F.pmod(F.xxhash64("offset", "value"), F.lit(BATCHES)).cast("int")
@@ -443,23 +446,48 @@ def _sent(spark, *frames, mixed=False):
             lo, hi = msgs.agg(F.min(at), F.max(at)).head()
             width = ((hi or 0) - (lo or 0)) // BATCHES + 1
             slice_ = F.floor((at - F.lit(lo or 0)) / width).cast("int")
-        streams.append(read_topic_files(own, f"{path}/*", _write_slices(msgs.withColumn("slice", slice_), path)))
+        cut = lambda df, slice_=slice_: df.withColumn("slice", slice_)
+        some = lambda files, cut=cut: cut(cutting.read.schema(S.MESSAGE).parquet(*files))
+        streams.append(read_topic_files(own, f"{path}/*", _write_slices(cut(msgs), path, some)))
     return streams
 
 
-def _write_slices(msgs, path) -> int:
+def _cutting(spark):
+    """A session whose reads have a task for each file, or for each 128 MB of a larger one."""
+    found = spark.newSession()
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        found.conf.set(f"spark.sql.files.{key}", "128m")
+    found.conf.set(PARTITIONS, spark.conf.get(PARTITIONS))
+    return found
+
+
+def _write_slices(msgs, path, some=None) -> int:
     """Write the slices of the messages one after the other, which the stream reads in that
-    order, and give the number of files of each: the same for all, more for more messages."""
+    order, and give the number of files of each: the same for all, more for more messages.
+
+    `some` reads the messages of some of their files, for messages out of files: a slice is
+    read out of those that hold rows of it, so that its tasks can be merged without a shuffle.
+    """
     spark = msgs.sparkSession
-    counts = dict(msgs.groupBy("slice").count().filter("slice IS NOT NULL").collect())
-    tasks = msgs.rdd.getNumPartitions()
-    files = max(1, min([max(FILES, tasks * 3 // 4), *counts.values()]))
+    where = [F.input_file_name().alias("file"), F.spark_partition_id().alias("task")]
+    held = msgs.select("slice", *where).filter("slice IS NOT NULL").groupBy("slice", "file", "task").count().collect()
+    counts, tasks, of = {}, {}, {}
+    for r in held:
+        counts[r.slice] = counts.get(r.slice, 0) + r["count"]
+        tasks.setdefault(r.slice, set()).add(r.task)
+        of.setdefault(r.slice, set()).add(r.file)
+    usual = sorted(map(len, tasks.values()))[(len(tasks) - 1) // 2] if tasks else 1
+    files = max(1, min([max(FILES, usual * 3 // 4), *counts.values()]))
     for nth in sorted(counts) or [0]:
-        part, at = msgs.filter(F.col("slice") == nth).drop("slice"), f"{path}/slice={nth}"
-        write = lambda df: df.write.mode("overwrite").option("compression", "zstd").parquet(at)
-        if tasks >= files:
+        rows = some(sorted(of[nth])) if some and nth in of else msgs
+        part, at = rows.filter(F.col("slice") == nth).drop("slice"), f"{path}/slice={nth}"
+        # Row groups of 8 MB: several tasks of a micro-batch can read one file.
+        options = {"compression": "zstd", "parquet.block.size": 8 << 20}
+        write = lambda df: df.write.mode("overwrite").options(**options).parquet(at)
+        enough = len(tasks.get(nth, ())) >= files
+        if enough:
             write(part.coalesce(files))
-        if tasks < files or len(spark.read.parquet(at).inputFiles()) != files:
+        if not enough or len(spark.read.parquet(at).inputFiles()) != files:
             # A task without rows writes no file: these have as many tasks as rows at the least.
             few = counts.get(nth, 0) < 1000 * files
             write((part.coalesce(1) if few else part).repartition(files))
@@ -529,7 +557,8 @@ def q_stream_change_commits(spark, d):
     ck = scratch(spark, "ck")
     _run(jobs.run_change_split(msgs, lists, {"path": out}, stored, ck, commits=commits, trigger=ALL_INPUT))
     schema = f"key string, value string, headers {HEADERS}, topic string, batch_id long"
-    sent = spark.read.schema(schema).parquet(out)
+    # In the job's session, whose settings hold for what a job writes.
+    sent = msgs.sparkSession.read.schema(schema).parquet(out)
     write_topic(sent, {"path": out}, last_committed(spark, commits) + 1)
     return _fact_fields(visible(spark.read.schema(schema).parquet(out), read_commits(spark, commits)))
 

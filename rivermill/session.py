@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.compression.codec": "zstd",
     # A join has one store for a partition and not four; older checkpoints keep theirs.
     "spark.sql.streaming.join.stateFormatVersion": "3",
+    # Tasks that write few topics or tables keep a file of each open; without, they sort their rows first, and spill.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     # A join's state may only go once both inputs have passed it.
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
