@@ -1,9 +1,10 @@
 """The registered queries: each runs one operator or job over whole tables."""
 
+import contextlib
 import functools
 import tempfile
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F, types as T
 
 import fixtures as X
 from rivermill import schemas as S
@@ -15,7 +16,7 @@ from rivermill.plans.wide_tables import dau_wide, order_wide
 from rivermill.sinks.docs import split_by_day, upsert_docs, write_dims, write_docs
 from rivermill.sinks.commits import HEADERS, commit, last_committed, read_commits, read_committed, stamp, visible
 from rivermill.sinks.topics import message_columns, offset_ledger, write_topic
-from rivermill.session import SETTINGS
+from rivermill.session import FREE, FREE_EVERY, SETTINGS, free_shuffles
 from rivermill.sources.state import held_pending
 from rivermill.sources.tables import compact_dims, compact_docs, read_dims, read_docs, read_sink_field
 from rivermill.sources.topics import batch_offsets, read_topic_files, starting_offsets
@@ -25,6 +26,7 @@ from rivermill.streaming.metrics import MetricTable, read_metrics
 
 ALL_INPUT = {"availableNow": True}
 PARTITIONS = "spark.sql.shuffle.partitions"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def as_of():
@@ -419,6 +421,10 @@ def q_starting_offsets(spark, d):
 
 # Micro-batches of a stream of message files, and the least files that each of them reads.
 BATCHES, FILES = 4, 4
+# Row groups of 8 MB: several tasks of a micro-batch can read one file.
+_MESSAGE_FILES = {"compression": "zstd", "parquet.block.size": 8 << 20}
+# A task keeps a file of each slice open, without a sort of its messages, and shuffle files go with the write.
+_ONE_PASS = {key: SETTINGS[key] for key in ("spark.sql.maxConcurrentOutputFileWriters", FREE)}
 
 
 def _sent(spark, *frames, mixed=False):
@@ -431,27 +437,80 @@ def _sent(spark, *frames, mixed=False):
     own = spark.newSession()
     for key, value in [*SETTINGS.items(), (PARTITIONS, spark.conf.get(PARTITIONS))]:
         own.conf.set(key, value)
-    cutting = _cutting(spark)
     streams = []
     for msgs in frames:
-        path, kept = scratch(spark, "messages"), scratch(spark, "kept")
+        path = scratch(spark, "messages")
         msgs = msgs.select(*[F.col(f.name).cast(f.dataType) for f in S.MESSAGE])
-        # Derived once; the slices are read out of it.
-        msgs.write.option("compression", "zstd").parquet(kept)
-        msgs = cutting.read.schema(S.MESSAGE).parquet(kept)
         at = F.unix_micros("timestamp")
         if mixed:
             slice_ = F.pmod(F.xxhash64("offset", "value"), F.lit(BATCHES)).cast("int")
         else:
-            lo, hi = msgs.agg(F.min(at), F.max(at)).head()
+            with _settings(spark, _ONE_PASS):
+                lo, hi = msgs.agg(F.min(at), F.max(at)).head()
             width = ((hi or 0) - (lo or 0)) // BATCHES + 1
             slice_ = F.floor((at - F.lit(lo or 0)) / width).cast("int")
-        cut = lambda df, slice_=slice_: df.withColumn("slice", slice_)
-        some = lambda files, cut=cut: cut(cutting.read.schema(S.MESSAGE).parquet(*files))
-        streams.append(read_topic_files(own, f"{path}/*", _write_slices(cut(msgs), path, some)))
+        files = _deal_slices(msgs.withColumn("slice", slice_), path)
+        if files is None:
+            cutting, whole, path = _cutting(spark), path, scratch(spark, "messages")
+            sliced = T.StructType([*S.MESSAGE.fields, T.StructField("slice", T.IntegerType())])
+            some = lambda files, whole=whole: cutting.read.schema(sliced).option("basePath", whole).parquet(*files)
+            files = _write_slices(some([whole]), path, some)
+        streams.append(read_topic_files(own, f"{path}/slice=*", files))
+    free_shuffles(spark)
     return streams
 
 
+@contextlib.contextmanager
+def _settings(spark, settings):
+    """The session with these settings, for a while."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _deal_slices(msgs, path) -> int | None:
+    """Write the slices of the messages in one pass, each task into a file for each slice, and
+    give the number of files of each: the same for all, as a slice with fewer gets files without rows.
+
+    The stream reads the oldest file first, so the files of a slice are dated later than those of the one
+    before. None where the file system does not keep such dates.
+    """
+    spark = msgs.sparkSession
+    with _settings(spark, _ONE_PASS):
+        msgs.filter("slice IS NOT NULL").write.options(**_MESSAGE_FILES).partitionBy("slice").parquet(path)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    named = [(x.getPath().getName(), x.getPath()) for x in fs.listStatus(root)]
+    of = {int(name.removeprefix("slice=")): at for name, at in named if name.startswith("slice=")}
+    if not of:  # no messages: one file without rows
+        spark.createDataFrame([], S.MESSAGE).coalesce(1).write.parquet(f"{path}/slice=0")
+        return 1
+    parts = lambda at: [x for x in fs.listStatus(at) if x.getPath().getName().endswith(".parquet")]
+    files = max(len(parts(at)) for at in of.values())
+    if any(len(parts(at)) < files for at in of.values()):
+        none = scratch(spark, "none")
+        spark.createDataFrame([], S.MESSAGE).coalesce(1).write.parquet(none)
+        (empty,) = parts(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(none))
+        copy = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy
+        for at in of.values():
+            for n in range(files - len(parts(at))):
+                to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at, f"none-{n}.parquet")
+                copy(fs, empty.getPath(), fs, to, False, spark.sparkContext._jsc.hadoopConfiguration())
+    newest = max(x.getModificationTime() for at in of.values() for x in parts(at)) // 1000
+    for nth, at in of.items():
+        dated = (newest - len(of) + sorted(of).index(nth)) * 1000
+        for x in parts(at):
+            fs.setTimes(x.getPath(), dated, -1)
+        if any(x.getModificationTime() != dated for x in parts(at)):
+            return None
+    return files
+
+
 def _cutting(spark):
     """A session whose reads have a task for each file, or for each 128 MB of a larger one."""
     found = spark.newSession()
@@ -481,9 +540,7 @@ def _write_slices(msgs, path, some=None) -> int:
     for nth in sorted(counts) or [0]:
         rows = some(sorted(of[nth])) if some and nth in of else msgs
         part, at = rows.filter(F.col("slice") == nth).drop("slice"), f"{path}/slice={nth}"
-        # Row groups of 8 MB: several tasks of a micro-batch can read one file.
-        options = {"compression": "zstd", "parquet.block.size": 8 << 20}
-        write = lambda df: df.write.mode("overwrite").options(**options).parquet(at)
+        write = lambda df: df.write.mode("overwrite").options(**_MESSAGE_FILES).parquet(at)
         enough = len(tasks.get(nth, ())) >= files
         if enough:
             write(part.coalesce(files))
@@ -496,7 +553,8 @@ def _write_slices(msgs, path, some=None) -> int:
 
 def _run(query, least=BATCHES):
     """Wait until all input is read, and see that it came in several micro-batches."""
-    query.awaitTermination()
+    while not query.awaitTermination(FREE_EVERY):
+        free_shuffles(SparkSession.active())
     ran = [p for p in query.recentProgress if p.numInputRows]
     if len(ran) < min(least, 2):
         raise RuntimeError(f"{len(ran)} micro-batches ran")
@@ -631,6 +689,8 @@ def _joining(spark, d):
     headers, lines = _sent(
         spark, X.order_info_messages(spark, d), X.order_detail_messages(spark, d)
     )
+    # Read as a whole right after: out of snapshots, without going over the changes of all batches again.
+    headers.sparkSession.conf.set(CHANGELOG, "false")
     joined = orders.order_wide_join(
         parse.parse_order_info(headers), parse.parse_order_detail(lines), "10000 days", salt=2
     )

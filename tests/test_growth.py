@@ -1,5 +1,9 @@
 """What grows with the input: parses, shuffles and the rows that one task holds."""
 
+import os
+import time
+
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from streams import NOW, append_file, finish
@@ -84,3 +88,69 @@ def test_slices_in_few_tasks_are_merged_without_a_shuffle(spark, tmp_path, monke
     for nth in range(4):
         assert len(spark.read.parquet(f"{tmp_path}/sent/slice={nth}").inputFiles()) == files
     assert rows(spark.read.parquet(f"{tmp_path}/sent"), "id", "slice") == rows(msgs, "id", "slice")
+
+
+def _messages(spark, n, tasks):
+    at = F.expr("timestamp_seconds(id)").alias("timestamp")
+    cells = [F.col("id").cast("string").alias("value"), F.lit(0).alias("partition"), F.col("id").alias("offset"), at]
+    return spark.range(0, n, 1, tasks).select(F.lit(None).cast("string").alias("key"), F.lit("t").alias("topic"), *cells)
+
+
+def test_messages_of_a_stream_are_written_once_and_in_order(spark, monkeypatch):
+    made = []
+
+    def scratch(spark, name, new=C.scratch):
+        made.append((name, new(spark, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(C, "scratch", scratch)
+    monkeypatch.setattr(C, "_write_slices", None)
+    C._sent(spark, _messages(spark, 4000, 6))
+    kept = [name for name, at in made if os.path.exists(at) and not spark.read.parquet(at).isEmpty()]
+    assert kept == ["messages"]
+    path = dict(made)["messages"]
+    dates, files = [], set()
+    for nth in range(C.BATCHES):
+        found = [x for x in os.listdir(f"{path}/slice={nth}") if x.endswith(".parquet")]
+        files.add(len(found))
+        dates.append({os.path.getmtime(f"{path}/slice={nth}/{x}") for x in found})
+        got = spark.read.parquet(f"{path}/slice={nth}").select("offset")
+        assert rows(got) == [(n,) for n in sorted(range(1000 * nth, 1000 * nth + 1000), key=str)]
+    assert len(files) == 1 and all(max(a) < min(b) for a, b in zip(dates, dates[1:]))
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_each_micro_batch_is_a_slice_of_the_messages(spark, monkeypatch, dated):
+    if not dated:  # a store that keeps no dates: the slices are written one after the other
+        deal = C._deal_slices
+        monkeypatch.setattr(C, "_deal_slices", lambda msgs, path: deal(msgs, path) and None)
+    (msgs,) = C._sent(spark, _messages(spark, 4000, 6).unionByName(_messages(spark, 10, 1)))
+    batches, ck = [], C.scratch(spark, "ck")
+    keep = lambda batch, n: batches.append(sorted(r.offset for r in batch.select("offset").collect()))
+    finish(msgs.writeStream.option("checkpointLocation", ck).foreachBatch(keep).trigger(**NOW).start())
+    assert batches == [sorted([*range(1000 * n, 1000 * n + 1000), *(range(10) if n == 0 else [])]) for n in range(4)]
+
+
+def test_state_that_is_read_as_a_whole_is_kept_in_snapshots(spark, sf):
+    ck = C._joining(spark, sf)
+    names = [x for _, _, found in os.walk(f"{ck}/state") for x in found]
+    assert not [x for x in names if x.endswith(".changelog")]
+    assert [x for x in names if x.endswith(".zip")]
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    own = spark.newSession()
+    for key, value in SETTINGS.items():
+        own.conf.set(key, value)
+    shuffles = lambda: {f.getName().split("_")[1] for f in _each(local.getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = shuffles()
+    assert own.range(0, 1000, 1, 4).groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+
+
+def _each(found):
+    return [found.apply(n) for n in range(found.size())]
