@@ -25,6 +25,8 @@ SETTINGS = {
     "spark.sql.streaming.join.stateFormatVersion": "3",
     # Tasks that write few topics or tables keep a file of each open; without, they sort their rows first, and spill.
     "spark.sql.maxConcurrentOutputFileWriters": "32",
+    # Kept rows go to disk a hundred of these pieces at a time: 10,000 rows of texts each, as by default, fill an executor.
+    "spark.sql.inMemoryColumnarStorage.batchSize": "1000",
     FREE: "true",
     # A join's state may only go once both inputs have passed it.
     "spark.sql.streaming.multipleWatermarkPolicy": "min",

@@ -3,6 +3,7 @@
 import os
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ import fixtures as X
 from rivermill import schemas as S
 from rivermill.functions import parse
 from rivermill.session import SETTINGS
+from rivermill.sinks.topics import write_topic
 from rivermill.sources.topics import read_topic_files
 from rivermill.streaming import jobs
 
@@ -154,3 +156,18 @@ def test_shuffle_files_go_with_their_query(spark):
 
 def _each(found):
     return [found.apply(n) for n in range(found.size())]
+
+
+def test_a_task_holds_a_bounded_part_of_each_topic(spark, tmp_path):
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(n)), 512) for n in "abcd"])
+    msgs = spark.range(0, 100_000, 1, 1).select(F.lit("t").alias("topic"), F.lit(None).cast("string").alias("key"), text.alias("value"))
+    write_topic(msgs, {"path": f"{tmp_path}/out"})
+    (at,) = [f"{d}/{x}" for d, _, found in os.walk(f"{tmp_path}/out") for x in found if x.endswith(".parquet")]
+    meta = pq.read_metadata(at)
+    held = [sum(meta.row_group(n).column(c).total_compressed_size for c in range(meta.num_columns)) for n in range(meta.num_row_groups)]
+    assert len(held) > 1 and max(held) < 12 << 20
+
+
+def test_a_task_holds_few_rows_of_a_kept_batch_while_it_moves_them_to_disk(spark):
+    # A hundred pieces are held at a time there.
+    assert int(SETTINGS.get("spark.sql.inMemoryColumnarStorage.batchSize", 10_000)) <= 1000
