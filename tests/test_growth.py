@@ -1,5 +1,6 @@
 """What grows with the input: parses, shuffles and the rows that one task holds."""
 
+import datetime
 import os
 import time
 
@@ -171,3 +172,37 @@ def test_a_task_holds_a_bounded_part_of_each_topic(spark, tmp_path):
 def test_a_task_holds_few_rows_of_a_kept_batch_while_it_moves_them_to_disk(spark):
     # A hundred pieces are held at a time there.
     assert int(SETTINGS.get("spark.sql.inMemoryColumnarStorage.batchSize", 10_000)) <= 1000
+
+
+ORDER_VALUES = ['{"id": "1", "order_id": 2, "sku_num": 3}', '{"id": "x", "order_id": 2}', '{"order_id": 2}', '{"id": 1}', "not json", "{}", None]
+
+
+@pytest.mark.parametrize("kind", ["info", "detail"])
+def test_order_messages_that_are_read_once_are_usable_or_as_they_came(spark, kind):
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.MESSAGE)
+    at = datetime.datetime(2024, 1, 1)
+    msgs = spark.createDataFrame([("k", v, "t", 0, n, at) for n, v in enumerate(ORDER_VALUES)], fields)
+    keep = ("partition", "offset") if kind == "detail" else ()
+    read = parse.read_order(msgs, kind, keep)
+    assert read.filter("(row IS NULL) = (message IS NULL)").isEmpty()
+    wanted = parse.parse_order_info(msgs) if kind == "info" else parse.parse_order_detail(msgs, keep)
+    got = read.filter("row IS NOT NULL").select("row.*")
+    assert got.columns == wanted.columns and rows(got) == rows(wanted)
+    assert rows(read.filter("message IS NOT NULL").select("message.*")) == rows(parse.quarantine_order(msgs, kind))
+
+
+def test_order_messages_are_not_parsed_again_when_a_batch_is_stored(spark, sf, tmp_path, monkeypatch):
+    bad = X.with_bad(X.order_detail_messages(spark, sf), "order_id")
+    append_file(X.order_info_messages(spark, sf), f"{tmp_path}/info")
+    append_file(bad, f"{tmp_path}/detail")
+    dims, out = f"{tmp_path}/dims", f"{tmp_path}/out"
+    C.write_dims(C._dim_rows(spark, sf), dims, 0)
+
+    calls = []
+    for name in ("parse_order_info", "parse_order_detail"):
+        monkeypatch.setattr(jobs, name, lambda *a, f=getattr(parse, name), name=name: calls.append(name) or f(*a))
+    streams = [read_topic_files(spark, f"{tmp_path}/{side}") for side in ("info", "detail")]
+    finish(jobs.run_order_wide(*streams, dims, out, f"{tmp_path}/ck", trigger=NOW))
+    assert calls == ["parse_order_info", "parse_order_detail"]
+    unusable = parse.quarantine_order(bad, "detail")
+    assert rows(spark.read.parquet(f"{out}_bad"), "value") == rows(unusable, "value")
