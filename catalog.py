@@ -691,6 +691,8 @@ def _joining(spark, d):
     )
     # Read as a whole right after: out of snapshots, without going over the changes of all batches again.
     headers.sparkSession.conf.set(CHANGELOG, "false")
+    # Files that a later batch's state has merged go while the query runs.
+    headers.sparkSession.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
     joined = orders.order_wide_join(
         parse.parse_order_info(headers), parse.parse_order_detail(lines), "10000 days", salt=2
     )
